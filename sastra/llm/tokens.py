@@ -29,21 +29,26 @@ TOKENIZERS = os.environ.get("SASTRA_TOKENIZERS", "/opt/tokenizers")
 #: Distinct pieces that a worker remembers; beyond it the memory starts anew, results stay the same.
 REMEMBERED = 400_000
 
-_models: dict[tuple[str, int], object] = {}
+_tables: dict[tuple[str, int], PieceTable] = {}
 
 
-def _model(kind: str, data: bytes):
+def _table(kind: str, data: bytes) -> PieceTable:
+    """The worker's table for a vocabulary; it stays from task to task."""
     key = (kind, hash(data))
-    if key not in _models:
+    if key not in _tables:
         ranks = read_ranks(data)
-        _models[key] = PrefixEncoder(ranks) if kind == "ids" else TrieCounter(ranks)
-    return _models[key]
+        if kind == "ids":
+            _tables[key] = PieceTable(PrefixEncoder(ranks).encode_all)
+        else:
+            count = TrieCounter(ranks).count
+            _tables[key] = PieceTable(lambda pieces: [[count(x)] for x in pieces])
+    return _tables[key]
 
 
 class PieceTable:
     """Distinct pieces and their tokens (or counts), growing as pieces are seen."""
 
-    def __init__(self, encode: Callable[[bytes], list[int]]):
+    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]]):
         self.encode = encode
         self.clear()
 
@@ -62,15 +67,16 @@ class PieceTable:
         first[local[::-1]] = np.arange(len(hashes))[::-1]
         get, ends = self.index.get, np.append(starts[1:], len(flat))
         rows = np.empty(len(names), np.int64)
-        new: list[list[int]] = []
+        unseen: list[bytes] = []
         for i, name in enumerate(names.tolist()):
             row = get(name)
             if row is None:
                 a, b = starts[first[i]], ends[first[i]]
                 row = self.index[name] = len(self.index)
-                new.append(self.encode(textops.as_text(flat[a:b]).encode("utf-8", "surrogatepass")))
+                unseen.append(textops.as_text(flat[a:b]).encode("utf-8", "surrogatepass"))
             rows[i] = row
-        if new:
+        if unseen:
+            new = self.encode(unseen)
             sizes = np.fromiter(map(len, new), np.int64, len(new))
             self.starts = np.concatenate((self.starts, self.starts[-1] + np.cumsum(sizes)))
             self.tokens = np.concatenate((self.tokens, np.fromiter((t for x in new for t in x), np.int32)))
@@ -102,7 +108,7 @@ def encode_corpus(df: DataFrame, file: str | None = None, id_col: str = "doc_id"
     vocabulary = _vocabulary(df, file or f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
 
     def run(batches):
-        table = PieceTable(_model("ids", vocabulary.value).encode)
+        table = _table("ids", vocabulary.value)
         for batch in batches:
             texts = batch.column(1)
             for a, b in textops.chunks(texts):
@@ -127,11 +133,7 @@ def token_counts(df: DataFrame, file: str | None = None, text_col: str = "text",
     source = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)], F.col(f"`{text_col}`").alias("__text"))
 
     def run(batches):
-        if exact:
-            table = PieceTable(_model("ids", vocabulary.value).encode)
-        else:
-            count = _model("count", vocabulary.value).count
-            table = PieceTable(lambda piece: [count(piece)])
+        table = _table("ids" if exact else "count", vocabulary.value)
         for batch in batches:
             texts = batch.column(len(names))
             for a, b in textops.chunks(texts):

@@ -11,6 +11,7 @@ links and, on each node, the number of tokens that following its failure link em
 from __future__ import annotations
 
 import base64
+from os.path import commonprefix
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -23,9 +24,14 @@ class PrefixEncoder:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.longest = max(map(len, ranks))
-        self.pairs: dict[tuple[int, int], bool] = {}
         self.bytes_of = {i: b for b, i in ranks.items()}
+        self.pairs: dict[int, bool] = {}
+        #: The longest token that ends in these three bytes.
+        self.reach: dict[bytes, int] = {}
+        for token in ranks:
+            end = token[-3:]
+            if len(end) == 3 and self.reach.get(end, 0) < len(token):
+                self.reach[end] = len(token)
 
     def merged(self, data: bytes) -> list[bytes]:
         """Plain BPE by lowest rank first; only run on two joined tokens, to judge a pair."""
@@ -44,27 +50,27 @@ class PrefixEncoder:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether the two tokens, side by side, are how their bytes are encoded."""
-        key = (left, right)
-        found = self.pairs.get(key)
-        if found is None:
-            a, b = self.bytes_of[left], self.bytes_of[right]
-            found = self.pairs[key] = self.merged(a + b) == [a, b]
+        a, b = self.bytes_of[left], self.bytes_of[right]
+        found = self.pairs[left << 32 | right] = self.merged(a + b) == [a, b]
         return found
 
     def extend(self, data: bytes, last: list[int]) -> list[int]:
         """Fills `last`, the last token of each prefix of `data`, from where it ends."""
-        ranks, bytes_of = self.ranks, self.bytes_of
+        get, pairs, reach = self.ranks.get, self.pairs.get, self.reach.get
         for end in range(len(last) + 1, len(data) + 1):
-            for size in range(min(end, self.longest), 0, -1):
-                token = ranks.get(data[end - size : end])
+            for size in range(min(end, reach(data[end - 3 : end], 2) if end > 2 else 2), 0, -1):
+                token = get(data[end - size : end])
                 if token is None:
                     continue
                 if size == end:
                     # a whole prefix is one token only if merging its bytes gives that token
-                    if size == 1 or self.merged(bytes_of[token]) == [bytes_of[token]]:
+                    if size == 1 or len(self.merged(data[:end])) == 1:
                         last.append(token)
                         break
-                elif self.fits(last[end - size - 1], token):
+                    continue
+                before = last[end - size - 1]
+                fits = pairs(before << 32 | token)
+                if self.fits(before, token) if fits is None else fits:
                     last.append(token)
                     break
             else:
@@ -80,19 +86,21 @@ class PrefixEncoder:
         return out[::-1]
 
     def encode(self, piece: bytes) -> list[int]:
-        token = self.ranks.get(piece)
-        if token is not None and (len(piece) < 2 or self.merged(piece) == [piece]):
-            return [token]
         return self.unwind(self.extend(piece, []))
 
     def reencode(self, old: bytes, last: list[int], new: bytes) -> list[int]:
         """The table of `new`, re-using that of `old` up to their first difference."""
-        same = 0
-        for a, b in zip(old, new):
-            if a != b:
-                break
-            same += 1
-        return self.extend(new, last[:same])
+        return self.extend(new, last[: len(commonprefix((old, new)))])
+
+    def encode_all(self, pieces: list[bytes]) -> list[list[int]]:
+        """The tokens of each piece. In sorted order, a piece re-uses its neighbour's table."""
+        out: list[list[int]] = [[]] * len(pieces)
+        old, last = b"", []
+        for i in sorted(range(len(pieces)), key=pieces.__getitem__):
+            last = self.reencode(old, last, pieces[i])
+            old = pieces[i]
+            out[i] = self.unwind(last)
+        return out
 
 
 class TrieCounter:
