@@ -21,6 +21,18 @@ def p2_groups(spark: SparkSession, sf: str) -> DataFrame:
     return NearDuplicates(_t(spark, sf, "documents")).groups().withColumnRenamed("id", "doc_id")
 
 
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.overlap import SplitOverlap
+
+    return SplitOverlap(_t(spark, sf, "manifest")).pairs()
+
+
+def p3_report(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.overlap import SplitOverlap
+
+    return SplitOverlap(_t(spark, sf, "manifest")).report()
+
+
 def p6_doc_tokens(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.tokens import token_counts
 
