@@ -45,6 +45,18 @@ def p6_budget(spark: SparkSession, sf: str) -> DataFrame:
     return token_budget(_t(spark, sf, "documents"))
 
 
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.lookalike import same_to_the_eye
+
+    return same_to_the_eye(_t(spark, sf, "documents"))
+
+
+def p7_forms(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.lookalike import one_form
+
+    return one_form(_t(spark, sf, "documents")).select("id", "form").toDF("doc_id", "form")
+
+
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.tokens import encode_corpus
 
