@@ -33,6 +33,24 @@ def p3_report(spark: SparkSession, sf: str) -> DataFrame:
     return SplitOverlap(_t(spark, sf, "manifest")).report()
 
 
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.lines import RepeatedLines
+
+    return RepeatedLines(_t(spark, sf, "documents")).frequent_lines().select("source", "line_key")
+
+
+def p4_sequences(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.lines import RepeatedLines
+
+    return RepeatedLines(_t(spark, sf, "documents")).sequences()
+
+
+def p4_cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.lines import RepeatedLines
+
+    return RepeatedLines(_t(spark, sf, "documents").select("doc_id", "source", "text")).cleaned()
+
+
 def p6_doc_tokens(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.tokens import token_counts
 
@@ -68,4 +86,13 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "p4_found": r"""
+            WITH lines AS (
+                SELECT DISTINCT doc_id, source, regexp_replace(trim(regexp_replace(line, '[ \t\r\x{A0}]+', ' ', 'g'), ' '), '[0-9\x{17E0}-\x{17E9}]+', '0', 'g') AS line_key
+                FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL)
+            ), sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+            counts AS (SELECT source, line_key, count(*) AS docs FROM lines WHERE regexp_matches(line_key, '\pL') GROUP BY source, line_key)
+            SELECT counts.source, line_key FROM counts JOIN sizes ON counts.source = sizes.source WHERE docs >= 4 AND docs * 10 >= n
+        """,
+    }
