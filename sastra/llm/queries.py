@@ -51,6 +51,19 @@ def p4_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return RepeatedLines(_t(spark, sf, "documents").select("doc_id", "source", "text")).cleaned()
 
 
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.sentences import sentence_ends
+
+    marked = _t(spark, sf, "sentence_docs").select("doc_id").distinct()
+    return sentence_ends(_t(spark, sf, "documents").join(marked, "doc_id", "left_semi"))
+
+
+def p5_sentences(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.sentences import sentence_units
+
+    return sentence_units(_t(spark, sf, "documents"))
+
+
 def p6_doc_tokens(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.tokens import token_counts
 
