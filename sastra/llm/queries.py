@@ -9,6 +9,23 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _common_words(spark: SparkSession, sf: str) -> list[str]:
+    # a fixed table of 228 words, whatever the corpus
+    return [r.word for r in _t(spark, sf, "common_words").select("word").distinct().collect()]
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.quality import flagged
+
+    return flagged(_t(spark, sf, "documents"), _common_words(spark, sf)).where("is_junk").select("doc_id")
+
+
+def p1_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.quality import flagged
+
+    return flagged(_t(spark, sf, "documents"), _common_words(spark, sf))
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.neardup import NearDuplicates
 
