@@ -198,7 +198,10 @@ def line_features(flat: np.ndarray, offsets: np.ndarray, words: CommonWords) ->
         out["ends"] = (last >= 0) & (role[last] & 1 > 0)
         begin = np.where(begin < b, begin, 0)
         nxt = np.minimum(begin + 1, max(n - 1, 0))
-        out["bullet"] = (role[begin] & 8 > 0) & (kind[nxt] == BLANK)
+        out["bullet"] = ((role[begin] & 8 > 0) | (flat[begin] == ord("o"))) & (kind[nxt] == BLANK) if n else np.zeros(len(a), bool)
+        for d in (1, 2, 3):  # an item's number
+            dot, after = np.minimum(begin + d, max(n - 1, 0)), np.minimum(begin + d + 1, max(n - 1, 0))
+            out["bullet"] |= (kind[begin] == DIGIT) & ((flat[dot] == 46) | (flat[dot] == 41)) & (kind[after] == BLANK) & ~out["ends"]
     else:
         out["ends"] = out["bullet"] = np.zeros(0, bool)
     return out
@@ -213,7 +216,7 @@ def running(f: dict[str, np.ndarray]) -> np.ndarray:
     worded = (f["letters"] >= 0.55 * filled) & (f["symbols"] <= 0.25 * filled)
     list_like = f["bullet"] | (f["leaders"] > 0) & (f["digits"] > 0) | (f["code"] > 0.12 * filled) | (f["separators"] > 0.10 * filled) | f["keyed"] & ~f["ends"] & (f["filled"] < 80)
     itemised = (f["joined"] > letters / 2) & (f["words"] > 5) & (f["filled"] / np.maximum(f["words"], 1) < PHRASE) & (f["marks"] <= 1) & (common < 0.15)
-    enough = np.where(latin, COMMON_SPACED, COMMON_JOINED)
+    enough = np.where(latin, np.where(f["letters"] < 120, COMMON_SPACED, 2.5 * COMMON_SPACED), COMMON_JOINED)
     return worded & ~list_like & ~itemised & ((common >= enough) | f["ends"] & ((common > 0.02) | (f["filled"] < 60)))
 
 
