@@ -111,6 +111,13 @@ def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encode_corpus(_t(spark, sf, "documents"))
 
 
+def p10_levels(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.reading import reading_levels
+
+    words = [(r.word, r.freq_rank) for r in _t(spark, sf, "common_words").select("word", "freq_rank").orderBy("word", "freq_rank").collect()]
+    return reading_levels(_t(spark, sf, "documents"), _t(spark, sf, "reading_grades"), words)
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k[:1] == "p" and k[1:2].isdigit()}
 
