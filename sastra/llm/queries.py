@@ -111,6 +111,18 @@ def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     return encode_corpus(_t(spark, sf, "documents"))
 
 
+def p9_mix(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.mixing import mixture
+
+    return mixture(_t(spark, sf, "documents"), _t(spark, sf, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.mixing import mixture_shares
+
+    return mixture_shares(_t(spark, sf, "documents"), _t(spark, sf, "mix_targets"))
+
+
 def p10_levels(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.reading import reading_levels
 
