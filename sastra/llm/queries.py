@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sastra.plans.stage import spread
+
 
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _texts(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    """Columns of a table of long texts, over all cores."""
+    return spread(_t(spark, sf, name).select(*columns))
+
+
 def _common_words(spark: SparkSession, sf: str) -> list[str]:
     # a fixed table of 228 words, whatever the corpus
     return [r.word for r in _t(spark, sf, "common_words").select("word").distinct().collect()]
@@ -17,55 +24,55 @@ def _common_words(spark: SparkSession, sf: str) -> list[str]:
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.quality import flagged
 
-    return flagged(_t(spark, sf, "documents"), _common_words(spark, sf)).where("is_junk").select("doc_id")
+    return flagged(_texts(spark, sf, "documents", "doc_id", "text"), _common_words(spark, sf)).where("is_junk").select("doc_id")
 
 
 def p1_statistics(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.quality import flagged
 
-    return flagged(_t(spark, sf, "documents"), _common_words(spark, sf))
+    return flagged(_texts(spark, sf, "documents", "doc_id", "text"), _common_words(spark, sf))
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.neardup import NearDuplicates
 
-    return NearDuplicates(_t(spark, sf, "documents")).pairs().toDF("doc_id_a", "doc_id_b")
+    return NearDuplicates(_texts(spark, sf, "documents", "doc_id", "text")).pairs().toDF("doc_id_a", "doc_id_b")
 
 
 def p2_groups(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.neardup import NearDuplicates
 
-    return NearDuplicates(_t(spark, sf, "documents")).groups().withColumnRenamed("id", "doc_id")
+    return NearDuplicates(_texts(spark, sf, "documents", "doc_id", "text")).groups().withColumnRenamed("id", "doc_id")
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.overlap import SplitOverlap
 
-    return SplitOverlap(_t(spark, sf, "manifest")).pairs()
+    return SplitOverlap(_texts(spark, sf, "manifest", "row_id", "split", "source", "answer")).pairs()
 
 
 def p3_report(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.overlap import SplitOverlap
 
-    return SplitOverlap(_t(spark, sf, "manifest")).report()
+    return SplitOverlap(_texts(spark, sf, "manifest", "row_id", "split", "source", "answer")).report()
 
 
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.lines import RepeatedLines
 
-    return RepeatedLines(_t(spark, sf, "documents")).frequent_lines().select("source", "line_key")
+    return RepeatedLines(_texts(spark, sf, "documents", "source", "text")).frequent_lines().select("source", "line_key")
 
 
 def p4_sequences(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.lines import RepeatedLines
 
-    return RepeatedLines(_t(spark, sf, "documents")).sequences()
+    return RepeatedLines(_texts(spark, sf, "documents", "source", "text")).sequences()
 
 
 def p4_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.lines import RepeatedLines
 
-    return RepeatedLines(_t(spark, sf, "documents").select("doc_id", "source", "text")).cleaned()
+    return RepeatedLines(_texts(spark, sf, "documents", "doc_id", "source", "text")).cleaned()
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -78,56 +85,56 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
 def p5_sentences(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.sentences import sentence_units
 
-    return sentence_units(_t(spark, sf, "documents"))
+    return sentence_units(_texts(spark, sf, "documents", "doc_id", "text"))
 
 
 def p6_doc_tokens(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.tokens import token_counts
 
-    return token_counts(_t(spark, sf, "documents"), keep=["doc_id", "source", "lang", "url", "license"])
+    return token_counts(_texts(spark, sf, "documents", "doc_id", "source", "lang", "url", "license", "text"), keep=["doc_id", "source", "lang", "url", "license"])
 
 
 def p6_budget(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.tokens import token_budget
 
-    return token_budget(_t(spark, sf, "documents"))
+    return token_budget(_texts(spark, sf, "documents", "source", "lang", "url", "license", "text"))
 
 
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.lookalike import same_to_the_eye
 
-    return same_to_the_eye(_t(spark, sf, "documents"))
+    return same_to_the_eye(_texts(spark, sf, "documents", "doc_id", "text"))
 
 
 def p7_forms(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.lookalike import one_form
 
-    return one_form(_t(spark, sf, "documents")).select("id", "form").toDF("doc_id", "form")
+    return one_form(_texts(spark, sf, "documents", "doc_id", "text")).select("id", "form").toDF("doc_id", "form")
 
 
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.tokens import encode_corpus
 
-    return encode_corpus(_t(spark, sf, "documents"))
+    return encode_corpus(_texts(spark, sf, "documents", "doc_id", "text"))
 
 
 def p9_mix(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.mixing import mixture
 
-    return mixture(_t(spark, sf, "documents"), _t(spark, sf, "mix_targets"))
+    return mixture(_texts(spark, sf, "documents", "doc_id", "source", "text"), _t(spark, sf, "mix_targets"))
 
 
 def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.mixing import mixture_shares
 
-    return mixture_shares(_t(spark, sf, "documents"), _t(spark, sf, "mix_targets"))
+    return mixture_shares(_texts(spark, sf, "documents", "doc_id", "source", "text"), _t(spark, sf, "mix_targets"))
 
 
 def p10_levels(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.reading import reading_levels
 
     words = [(r.word, r.freq_rank) for r in _t(spark, sf, "common_words").select("word", "freq_rank").orderBy("word", "freq_rank").collect()]
-    return reading_levels(_t(spark, sf, "documents"), _t(spark, sf, "reading_grades"), words)
+    return reading_levels(_texts(spark, sf, "documents", "doc_id", "text"), _t(spark, sf, "reading_grades"), words)
 
 
 def queries() -> dict:
