@@ -84,9 +84,14 @@ def sentences(c: str | Column) -> Column:
     return F.filter(F.transform(F.split(_c(c), f"(?<=[{TERMINATORS}])|\n+"), strip), lambda x: x != "")
 
 
+def inner_paragraphs(c: str | Column) -> Column:
+    """Pieces between blank lines, stripped, without empty ones."""
+    return F.filter(F.transform(F.split(_c(c), f"\n[{BLANKS}]*\n"), strip), lambda x: x != "")
+
+
 def paragraphs(c: str | Column) -> Column:
     """Pieces between blank lines, stripped; the whole text if that leaves none."""
-    parts = F.filter(F.transform(F.split(_c(c), f"\n[{BLANKS}]*\n"), strip), lambda x: x != "")
+    parts = inner_paragraphs(c)
     return F.when(F.size(parts) > 0, parts).otherwise(F.array(_c(c)))
 
 
@@ -107,6 +112,10 @@ def nfc(c: str | Column) -> Column:
     return F.coalesce(_nfc(F.when(_c(c).rlike(_MAY_CHANGE), _c(c))), _c(c))
 
 
+_CLUSTER = f"{ROBAT}*+(?:{COENG}.)*+[{SHIFTERS}]*+[{VOWELS}]*+[{ABOVE}]*+[{OTHER}]*+(?:{COENG}$)?"
+_IN_ORDER = f"(?s)^(?:[^{BASE}]++|[{BASE}]{_CLUSTER}(?![{MARKS}]))*+$"
+
+
 def reorder_clusters(c: str | Column) -> Column:
     """Each Khmer cluster's marks in storage order: ROBAT, subscripts, shifters, vowels, signs, others.
 
@@ -124,13 +133,14 @@ def reorder_clusters(c: str | Column) -> Column:
         )
         return F.concat(token.substr(1, 1), F.array_join(F.transform(F.array_sort(order), lambda x: x["u"]), ""))
 
-    fixed = F.transform(tokens, lambda t: F.when(t.rlike(f"(?s)^[{BASE}].."), ranked(t)).otherwise(t))
-    return F.when(_c(c) == "", _c(c)).otherwise(F.array_join(fixed, ""))
+    fixed = F.transform(tokens, lambda t: F.when(t.rlike(f"(?s)^[{BASE}]") & ~t.rlike(f"(?s)^.{_CLUSTER}$"), ranked(t)).otherwise(t))
+    # most texts are in order already, which one pass over them shows
+    return F.when(_c(c).rlike(_IN_ORDER), _c(c)).otherwise(F.array_join(fixed, ""))
 
 
 def even_blanks(c: str | Column) -> Column:
     """Zero-width joiners and spaces out, no-break spaces plain, runs of blanks and of line ends short."""
-    t = F.translate(_c(c), " ​‌‍", " ")
+    t = F.translate(_c(c), "\u00a0\u200b\u200c\u200d", " ")
     t = F.regexp_replace(F.regexp_replace(t, "[ \t]+", " "), " *\n *", "\n")
     return F.regexp_replace(t, "\n{3,}", "\n\n")
 
@@ -146,7 +156,8 @@ def normalize(c: str | Column) -> Column:
 def strip_markup(c: str | Column) -> Column:
     """Tags, style declarations, entities and addresses as single blanks, in that order."""
     t = F.regexp_replace(_c(c), "<[^>]+>", " ")
-    t = F.regexp_replace(t, rf"[\p{{L}}\p{{N}}_][\p{{L}}\p{{N}}_-]*[{BLANKS}]*:[{BLANKS}]*[^;{{}}]+;", " ")
+    # possessive and only at the start of a word: a failure is then not tried again from inside the word
+    t = F.regexp_replace(t, rf"(?<![\p{{L}}\p{{N}}_])[\p{{L}}\p{{N}}_][\p{{L}}\p{{N}}_-]*+[{BLANKS}]*+:[{BLANKS}]*[^;{{}}]++;", " ")
     t = F.regexp_replace(t, r"&(?:[a-zA-Z]+|#\p{Nd}+);", " ")
     return F.regexp_replace(t, f"https?://[^{BLANKS}]+", " ")
 
@@ -158,10 +169,11 @@ def clean_text(c: str | Column) -> Column:
 def char_shingles(c: str | Column, k: int = 5) -> Column:
     """The distinct k-grams of code points, line feeds as blanks; a text of up to k characters is its own.
 
-    One regex pass with look-ahead; substring per position would scan the text for each.
+    One regex pass with look-ahead, which also takes a character so that it never stops inside a surrogate
+    pair; substring per position would scan the text for each.
     """
     t = F.translate(_c(c), "\n", " ")
-    return F.when(F.length(t) <= k, F.array(t)).otherwise(F.array_distinct(F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1))))
+    return F.when(F.length(t) <= k, F.array(t)).otherwise(F.array_distinct(F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{k}}}))."), F.lit(1))))
 
 
 def est_tokens(chars: Column) -> Column:
@@ -173,6 +185,15 @@ def url_host(c: str | Column) -> Column:
     return F.try_parse_url(_c(c), F.lit("HOST"))
 
 
+def once(c: str | Column) -> Column:
+    """The same value, as a generator of one row: later steps then refer to it.
+
+    Without such a barrier the optimizer copies an expression into each place that uses it, and regular
+    expressions within higher-order functions are then run once per copy.
+    """
+    return F.explode(F.array(_c(c)))
+
+
 def uniform(seed: int, *keys: Column) -> Column:
     """A number in [0, 1) that depends on the keys only, not on partitions: for reproducible sampling."""
     return F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), *[k.cast("string") for k in keys])), 1, 12), 16, 10).cast("double") / F.lit(float(16**12))

@@ -14,8 +14,10 @@ def segments(docs: DataFrame, carry: list[str], text_col: str = "text", min_scri
     verdict: kept, dropped_short, dropped_long or dropped_script, tested in this order (length first).
     Null and empty texts give no row. A column named like an output must not be in `carry`.
     """
-    cleaned = docs.select(*carry, T.clean_text(F.coalesce(F.col(text_col), F.lit(""))).alias("__clean")).where("__clean <> ''")
-    parts = cleaned.select(*carry, F.posexplode(T.paragraphs("__clean")).alias("seg_no", "text"))
+    bare = docs.select(*carry, T.once(T.strip_markup(F.coalesce(F.col(text_col), F.lit("")))).alias("__bare"))
+    cleaned = bare.select(*carry, T.once(T.normalize("__bare")).alias("__clean")).where("__clean <> ''")
+    parts = cleaned.select(*carry, "__clean", F.posexplode_outer(T.inner_paragraphs("__clean")).alias("__no", "__part"))
+    parts = parts.select(*carry, F.coalesce("__no", F.lit(0)).alias("seg_no"), F.coalesce("__part", "__clean").alias("text"))
     measured = parts.withColumn("n_chars", F.length("text").cast("bigint")).withColumn("ratio", T.script_ratio("text", script))
     verdict = F.when(F.col("n_chars") < min_chars, "dropped_short").when(F.col("n_chars") > max_chars, "dropped_long").when(F.col("ratio") < min_script, "dropped_script").otherwise("kept")
     return measured.withColumn("verdict", verdict)

@@ -31,7 +31,8 @@ def mark_exact(docs: DataFrame, order: str = "doc_id", text_col: str = "text") -
 
 def near_candidates(texts: DataFrame, bands: int = 25, rows: int = 5) -> DataFrame:
     """(a, b), a < b: pairs of (id, text) rows that agree in a whole band of minima."""
-    keyed = texts.select("id", minhash(char_shingles("text")).alias("sig")).select("id", F.explode(band_keys(F.col("sig"), bands, rows)).alias("key"))
+    signed = stage(texts.select("id", minhash(char_shingles("text")).alias("sig")), "signatures")
+    keyed = signed.select("id", F.explode(band_keys(F.col("sig"), bands, rows)).alias("key"))
     return keyed.toDF("a", "key").join(keyed.toDF("b", "key"), "key").where("a < b").select("a", "b").distinct()
 
 
@@ -45,7 +46,7 @@ def near_pairs(texts: DataFrame, threshold: float = 0.8, bands: int = 25, rows:
         return met.withColumn("jaccard", F.lit(None).cast("double"))
     both = met.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
     x, y = char_shingles("x"), char_shingles("y")
-    both = both.select("a", "b", x.alias("x"), y.alias("y"))
+    both = both.select("a", "b", F.explode(F.array(F.struct(x.alias("x"), y.alias("y")))).alias("s")).select("a", "b", "s.x", "s.y")
     common = F.size(F.array_intersect("x", "y"))
     return both.select("a", "b", (common / (F.size("x") + F.size("y") - common)).alias("jaccard")).where(F.col("jaccard") >= threshold)
 

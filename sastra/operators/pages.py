@@ -17,8 +17,12 @@ SINGLE_COLUMN = ["article_single", "doc_with_table", "form_label_value", "mixed_
 
 
 def clean_leaves(blocks: DataFrame) -> DataFrame:
-    """Distinct rows, block types in lower case."""
-    return blocks.distinct().withColumn("block_type", F.lower("block_type"))
+    """One row per leaf (page_id, pos), block types in lower case.
+
+    Repeated rows of a leaf differ at most in what is missing: of each column the greatest value stands.
+    """
+    rest = [c for c in blocks.columns if c not in ("page_id", "pos")]
+    return blocks.withColumn("block_type", F.lower("block_type")).groupBy("page_id", "pos").agg(*[F.max(c).alias(c) for c in rest])
 
 
 def renderable(bbox: str = "bbox", text: str = "text") -> Column:

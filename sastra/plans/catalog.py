@@ -5,6 +5,7 @@ All run over whole tables and whole texts. A limit appears only where it is the
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from sastra.functions import boxes as B
 from sastra.functions import text as T
 from sastra.functions.minhash import minhash
 from sastra.operators import cleaning, dedup, exports, fonts, manifests, packaging, pages, quality, sampling
+from sastra.plans.stage import shared_dir, spread
 from sastra.sources import readers
 from sastra.streaming import incremental
 
@@ -32,6 +34,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def texts(self, *columns: str) -> DataFrame:
+        """Columns of the documents for work that is heavy per text, over all cores."""
+        return spread(self.documents.select(*columns))
+
 
 def query(sql: str | None = None):
     def add(f):
@@ -89,7 +95,7 @@ def _reorder(x: str) -> str:
 
 
 def _even(x: str) -> str:
-    x = f"translate({x}, ' ​‌‍', ' ')"
+    x = f"translate({x}, '\u00a0\u200b\u200c\u200d', ' ')"
     x = f"regexp_replace({x}, '[ \t]+', ' ', 'g')"
     x = f"regexp_replace({x}, ' *\n *', {_NL}, 'g')"
     return f"regexp_replace({x}, '\n{{3,}}', {_NL} || {_NL}, 'g')"
@@ -137,32 +143,33 @@ _JUDGED = f"""
 
 @query(f"SELECT doc_id, {_normalize(_unmark('text'))} AS clean FROM documents WHERE text IS NOT NULL")
 def clean_text(t):
-    return t.documents.where("text is not null").select("doc_id", T.clean_text("text").alias("clean"))
+    bare = t.texts("doc_id", "text").where("text is not null").select("doc_id", T.once(T.strip_markup("text")).alias("bare"))
+    return bare.select("doc_id", T.normalize("bare").alias("clean"))
 
 
 @query(f"SELECT doc_id, {_normalize('text')} AS normal FROM documents WHERE text IS NOT NULL")
 def normalize_text(t):
-    return t.documents.where("text is not null").select("doc_id", T.normalize("text").alias("normal"))
+    return t.texts("doc_id", "text").where("text is not null").select("doc_id", T.normalize("text").alias("normal"))
 
 
 @query(f"SELECT doc_id, {_reorder('text')} AS reordered FROM documents WHERE text IS NOT NULL")
 def khmer_reorder(t):
-    return t.documents.where("text is not null").select("doc_id", T.reorder_clusters("text").alias("reordered"))
+    return t.texts("doc_id", "text").where("text is not null").select("doc_id", T.reorder_clusters("text").alias("reordered"))
 
 
 @query(f"SELECT doc_id, {_ratio('text')} AS ratio, regexp_matches(text, '[{_KH}]') AS has_script FROM documents WHERE text IS NOT NULL")
 def script_ratio(t):
-    return t.documents.where("text is not null").select("doc_id", T.script_ratio("text").alias("ratio"), T.contains_script("text").alias("has_script"))
+    return t.texts("doc_id", "text").where("text is not null").select("doc_id", T.script_ratio("text").alias("ratio"), T.contains_script("text").alias("has_script"))
 
 
 @query(f"SELECT doc_id, {_symbols('text')} AS symbols FROM documents WHERE text IS NOT NULL")
 def symbol_ratio(t):
-    return t.documents.where("text is not null").select("doc_id", T.symbol_ratio("text").alias("symbols"))
+    return t.texts("doc_id", "text").where("text is not null").select("doc_id", T.symbol_ratio("text").alias("symbols"))
 
 
 @query(f"SELECT d.doc_id, coalesce(repetition, 0.0::DOUBLE) AS repetition FROM documents d LEFT JOIN ({_REPEAT}) r ON d.doc_id = r.doc_id")
 def repetition_ratio(t):
-    return t.documents.select("doc_id", T.repetition_ratio(F.coalesce("text", F.lit(""))).alias("repetition"))
+    return t.texts("doc_id", "text").select("doc_id", T.repetition_ratio(F.coalesce("text", F.lit(""))).alias("repetition"))
 
 
 @query(
@@ -170,7 +177,7 @@ def repetition_ratio(t):
     FROM documents WHERE text IS NOT NULL"""
 )
 def sentences(t):
-    return t.documents.where("text is not null").select("doc_id", T.sentences("text").alias("pieces"))
+    return t.texts("doc_id", "text").where("text is not null").select("doc_id", T.sentences("text").alias("pieces"))
 
 
 @query(
@@ -193,7 +200,7 @@ def url_host(t):
     ) GROUP BY doc_id"""
 )
 def char_shingles(t):
-    return t.documents.where("text <> ''").select("doc_id", F.size(T.char_shingles("text")).alias("shingles"))
+    return t.texts("doc_id", "text").where("text <> ''").select("doc_id", F.size(T.char_shingles("text")).alias("shingles"))
 
 
 # Cleaning --------------------------------------------------------------------------------------
@@ -201,7 +208,7 @@ def char_shingles(t):
 
 @query(f"{_SEGMENTS} SELECT doc_id, source, seg_no, text, round(ratio, 3) AS lang_mix, n_chars FROM v WHERE verdict = 'kept'")
 def clean_segments(t):
-    return cleaning.kept_segments(t.documents.select("doc_id", "source", F.col("text").alias("raw")).withColumnRenamed("raw", "text"), ["doc_id", "source"])
+    return cleaning.kept_segments(t.texts("doc_id", "source", "text"), ["doc_id", "source"])
 
 
 @query(
@@ -210,7 +217,7 @@ def clean_segments(t):
     count(*) FILTER (verdict IN ('dropped_short', 'dropped_long')) AS dropped_length FROM v"""
 )
 def clean_stats(t):
-    return cleaning.clean_counts(t.documents)
+    return cleaning.clean_counts(t.texts("text"))
 
 
 # Duplicates ------------------------------------------------------------------------------------
@@ -227,35 +234,35 @@ _PAIRS = f"""
     WITH f AS (SELECT doc_id, translate(text, chr(10), ' ') AS x FROM ({_EXACT}) WHERE verdict = 'first'),
     g AS (SELECT DISTINCT doc_id, CASE WHEN length(x) <= 5 THEN x ELSE substr(x, i::BIGINT, 5) END AS g FROM (SELECT doc_id, x, unnest(range(1, greatest(length(x) - 3, 2))) AS i FROM f)),
     n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
-    o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL)
-    SELECT a, b, both::DOUBLE / (x.n + y.n - both) AS jaccard FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE both::DOUBLE / (x.n + y.n - both) >= 0.8
+    o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM g a JOIN g b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL)
+    SELECT a, b, shared::DOUBLE / (x.n + y.n - shared) AS jaccard FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE shared::DOUBLE / (x.n + y.n - shared) >= 0.8
 """
 
 
 @query(_PAIRS)
 def near_dup_pairs(t):
-    first = dedup.mark_exact(t.documents.select("doc_id", "text")).where("verdict = 'first'").select(F.col("doc_id").alias("id"), "text")
+    first = dedup.mark_exact(t.texts("doc_id", "text")).where("verdict = 'first'").select(F.col("doc_id").alias("id"), "text")
     return dedup.near_pairs(first)
 
 
 @query()
 def lsh_candidates(t):
-    return dedup.near_candidates(t.documents.where("text <> ''").select(F.col("doc_id").alias("id"), "text"), bands=9, rows=13)
+    return dedup.near_candidates(t.texts("doc_id", "text").where("text <> ''").select(F.col("doc_id").alias("id"), "text"), bands=9, rows=13)
 
 
 @query()
 def minhash_signature(t):
-    return t.documents.where("text <> ''").select("doc_id", minhash(T.char_shingles("text")).alias("signature"))
+    return t.texts("doc_id", "text").where("text <> ''").select("doc_id", minhash(T.char_shingles("text")).alias("signature"))
 
 
 @query()
 def dedup_near_greedy(t):
-    return dedup.deduplicate(t.documents.select("doc_id", "text")).select("doc_id", "verdict")
+    return dedup.deduplicate(t.texts("doc_id", "text")).select("doc_id", "verdict")
 
 
 @query()
 def dedup_stats(t):
-    return dedup.deduplicate(t.documents.select("doc_id", "text")).groupBy("verdict").agg(F.count(F.lit(1)).alias("docs"))
+    return dedup.deduplicate(t.texts("doc_id", "text")).groupBy("verdict").agg(F.count(F.lit(1)).alias("docs"))
 
 
 # Quality ---------------------------------------------------------------------------------------
@@ -263,28 +270,28 @@ def dedup_stats(t):
 
 @query(f"{_JUDGED} SELECT doc_id, reasons FROM j")
 def quality_reasons(t):
-    return quality.assess(t.documents.select("doc_id", "text", "lang_mix")).select("doc_id", "reasons")
+    return quality.assess(t.texts("doc_id", "text", "lang_mix")).select("doc_id", "reasons")
 
 
 @query(f"{_JUDGED} SELECT source, count(*) FILTER (len(reasons) = 0) AS kept, count(*) FILTER (len(reasons) > 0) AS rejected FROM j GROUP BY source")
 def quality_by_source(t):
-    judged = quality.assess(t.documents.select("source", "text", "lang_mix"))
+    judged = quality.assess(t.texts("source", "text", "lang_mix"))
     return judged.groupBy("source").agg(F.count_if(F.size("reasons") == 0).alias("kept"), F.count_if(F.size("reasons") > 0).alias("rejected"))
 
 
 @query(f"{_JUDGED} SELECT doc_id FROM j WHERE len(reasons) = 0")
 def quality_kept(t):
-    return quality.route(t.documents)[0].select("doc_id")
+    return quality.route(t.texts("doc_id", "text", "lang_mix", "extra"))[0].select("doc_id")
 
 
 @query()
 def quality_rejected(t):
-    return quality.route(t.documents)[1].select("doc_id", "reasons", "extra")
+    return quality.route(t.texts("doc_id", "text", "lang_mix", "extra"))[1].select("doc_id", "reasons", "extra")
 
 
 @query(f"{_JUDGED} SELECT reason, count(*) AS docs FROM (SELECT unnest(reasons) AS reason FROM j) GROUP BY reason")
 def quality_reason_counts(t):
-    return quality.reason_counts(t.documents.select("text", "lang_mix"))
+    return quality.reason_counts(t.texts("text", "lang_mix"))
 
 
 # Packaging -------------------------------------------------------------------------------------
@@ -374,7 +381,8 @@ def lag_inversions(t):
 
 # Pages -----------------------------------------------------------------------------------------
 
-_LEAVES = "(SELECT DISTINCT page_id, pos, font, lower(block_type) AS block_type, text, bbox, line_boxes, tbl, row_idx, col_idx, bbox_norm FROM page_blocks)"
+_LEAVES = """(SELECT page_id, pos, max(font) AS font, max(lower(block_type)) AS block_type, max(text) AS text, max(bbox) AS bbox, max(line_boxes) AS line_boxes,
+    max(tbl) AS tbl, max(row_idx) AS row_idx, max(col_idx) AS col_idx, max(bbox_norm) AS bbox_norm FROM page_blocks GROUP BY page_id, pos)"""
 _SIZES = "(SELECT DISTINCT page_id, template, image_width, image_height FROM page_labels WHERE image_width IS NOT NULL)"
 _MD = """CASE block_type WHEN 'title' THEN '# ' || coalesce(text, '') WHEN 'section_header' THEN '## ' || coalesce(text, '') WHEN 'list_item' THEN '- ' || coalesce(text, '')
     WHEN 'caption' THEN '*' || coalesce(text, '') || '*' WHEN 'form_label' THEN '**' || coalesce(text, '') || '**' ELSE coalesce(text, '') END"""
@@ -614,7 +622,7 @@ _SENT = f"list_filter(list_transform(regexp_extract_all(text, '[^{T.TERMINATORS}
 
 @query(f"SELECT doc_id, coalesce(s[(floor({_u(42, 'doc_id')} * len(s)) + 1)::BIGINT], text) AS sentence FROM (SELECT doc_id, text, {_SENT} AS s FROM documents WHERE text <> '')")
 def sample_sentences(t):
-    return sampling.sample_sentences(t.documents)
+    return sampling.sample_sentences(t.texts("doc_id", "text"))
 
 
 @query()
@@ -624,7 +632,7 @@ def sample_page(t):
 
 @query()
 def sample_page_texts(t):
-    pool = packaging.number_rows(sampling.sample_sentences(t.documents).select("doc_id", "sentence"), "doc_id", "n").select((F.col("n") - 1).alias("k"), "sentence")
+    pool = packaging.number_rows(sampling.sample_sentences(t.texts("doc_id", "text")).select("doc_id", "sentence"), "doc_id", "n").select((F.col("n") - 1).alias("k"), "sentence")
     return sampling.page_texts(sampling.sample_pages(500, t.spark, t.font_manifest), pool)
 
 
@@ -692,10 +700,6 @@ def region_merge(t):
 
 def _stream(t, name: str, schema_of: DataFrame, build) -> DataFrame:
     """Runs a stream over a table to its end, into a folder of its own, and reads that."""
-    import uuid
-
-    from sastra.plans.stage import shared_dir
-
     base = f"{shared_dir(t.spark)}/sastra-stream-{uuid.uuid4().hex}"
     source = t.spark.readStream.schema(schema_of.schema)
     raw = source.parquet(f"{t.folder}/{name}.parquet") if _is_folder(t, name) else source.option("pathGlobFilter", f"{name}.parquet").parquet(t.folder)

@@ -41,3 +41,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(table: DataFrame) -> DataFrame:
+    """A scanned table over all cores: shuffled once if its files give fewer partitions than there are cores.
+
+    Only for tables read straight from files, since counting partitions would run any shuffle before them.
+    Large tables have more splits than cores and pass as they are.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    splits = table._jdf.queryExecution().toRdd().getNumPartitions()
+    return table.repartition(cores) if splits < cores else table
