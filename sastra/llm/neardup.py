@@ -161,8 +161,11 @@ class NearDuplicates:
         met = left.join(right, "key").where(F.col("a") < F.col("b")).where(_fits(threshold, "n", "m")).select("a", "b").distinct()
         bits = self.signed.select("id", "cls", "n", "bits").groupBy("id", "cls").agg(F.min("n").alias("n"), F.min("bits").alias("bits")).drop("cls")
         near = met.join(bits.toDF("a", "n", "x"), "a").join(bits.toDF("b", "m", "y"), "b")
-        left_over = _by_bitmap(near, threshold)
-        texts = left_over.join(sized.toDF("a", "x"), "a").join(sized.toDF("b", "y"), "b")
+        # Staged, so that its size is known when the texts are met: a small table of ids is broadcast, a large one shuffled.
+        left_over = stage(_by_bitmap(near, threshold), "candidates")
+        wanted = left_over.select(F.col("a").alias("id")).union(left_over.select(F.col("b").alias("id"))).distinct()
+        needed = stage(sized.join(stage(wanted, "wanted"), "id", "left_semi"), "texts")
+        texts = left_over.join(needed.toDF("a", "x"), "a").join(needed.toDF("b", "y"), "b")
         #: (a, b, jaccard) between representatives, a < b.
         self.links = stage(exact_jaccard(texts, threshold).groupBy("a", "b").agg(F.max("jaccard").alias("jaccard")), "links")
         least = self.signed.groupBy("cls").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
