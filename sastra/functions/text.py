@@ -112,8 +112,8 @@ def nfc(c: str | Column) -> Column:
     return F.coalesce(_nfc(F.when(_c(c).rlike(_MAY_CHANGE), _c(c))), _c(c))
 
 
-_CLUSTER = f"{ROBAT}*+(?:{COENG}.)*+[{SHIFTERS}]*+[{VOWELS}]*+[{ABOVE}]*+[{OTHER}]*+(?:{COENG}$)?"
-_IN_ORDER = f"(?s)^(?:[^{BASE}]++|[{BASE}]{_CLUSTER}(?![{MARKS}]))*+$"
+_CLUSTER = f"{ROBAT}*+(?:{COENG}.)*+[{SHIFTERS}]*+[{VOWELS}]*+[{ABOVE}]*+[{OTHER}]*+(?:{COENG}\\z)?"
+_IN_ORDER = f"(?s)^(?:[^{BASE}]++|[{BASE}]{_CLUSTER}(?![{MARKS}]))*+\\z"
 
 
 def reorder_clusters(c: str | Column) -> Column:
@@ -133,7 +133,7 @@ def reorder_clusters(c: str | Column) -> Column:
         )
         return F.concat(token.substr(1, 1), F.array_join(F.transform(F.array_sort(order), lambda x: x["u"]), ""))
 
-    fixed = F.transform(tokens, lambda t: F.when(t.rlike(f"(?s)^[{BASE}]") & ~t.rlike(f"(?s)^.{_CLUSTER}$"), ranked(t)).otherwise(t))
+    fixed = F.transform(tokens, lambda t: F.when(t.rlike(f"(?s)^[{BASE}]") & ~t.rlike(f"(?s)^.{_CLUSTER}\\z"), ranked(t)).otherwise(t))
     # most texts are in order already, which one pass over them shows
     return F.when(_c(c).rlike(_IN_ORDER), _c(c)).otherwise(F.array_join(fixed, ""))
 

@@ -26,7 +26,10 @@ def chars() -> Column:
 
 
 def corpus_totals(docs: DataFrame) -> DataFrame:
-    """Per source, per licence and in all, in one scan: kind, name, docs, chars, nc_docs, est_tokens."""
+    """Per source, per licence and in all, in one scan: kind, name, docs, chars, nc_docs, est_tokens.
+
+    An empty table gives no row.
+    """
     rows = docs.select(F.coalesce("source", F.lit("unknown")).alias("source"), F.coalesce("license", F.lit("unknown")).alias("license"), chars().alias("chars"), F.coalesce(F.col("non_commercial"), F.lit(False)).alias("nc"))
     sums = rows.groupingSets([["source"], ["license"], []], "source", "license").agg(F.grouping_id().alias("g"), F.count(F.lit(1)).alias("docs"), F.sum("chars").alias("chars"), F.count_if("nc").alias("nc_docs"))
     kind = F.when(F.col("g") == 1, "source").when(F.col("g") == 2, "license").otherwise("all")

@@ -18,7 +18,7 @@ def read_jsonl(spark: SparkSession, path: str, ddl: str = schema.DOC, mode: str
 
     `file` and `line` order the rows as the shards do: by file name, then by place.
     """
-    rows = spark.read.schema(ddl).option("mode", mode).option("pathGlobFilter", "*.jsonl").json(path)
+    rows = spark.read.schema(ddl).option("mode", mode).option("pathGlobFilter", "*.{json,jsonl}").json(path)
     return rows.select("*", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("line"))
 
 
