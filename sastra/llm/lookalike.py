@@ -22,9 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sastra.functions.text import valid
 from sastra.llm import textops
+from sastra.plans.stage import stage
 
 MIN_CHARS = 25
+#: Documents of one form up to which all their pairs are given.
+EXPAND = 2000
 
 # Characters that show nothing.
 _IGNORABLE = re.compile("[­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ\U000e0000-\U000e0fff]+")
@@ -172,7 +176,7 @@ def letter_bigrams(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["pair", "n"])
 
-    rows = docs.select(text_col).mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
+    rows = docs.select(valid(text_col).alias("text")).mapInArrow(run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n"))
     out = np.zeros(ALPHABET * ALPHABET, np.int64)
     for row in rows.toLocalIterator():
         out[row.pair] = row.n
@@ -189,15 +193,27 @@ def one_form(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             forms = [None if t is None else finish(plain_form(t), lattice) for t in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(forms, pa.string())], ["id", "n_chars", "text_key", "form"])
 
-    source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.length(text_col).alias("n_chars"), F.unhex(F.md5(text_col)).alias("text_key"), F.col(text_col).alias("text"))
+    source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.length(text_col).alias("n_chars"), F.unhex(F.md5(text_col)).alias("text_key"), valid(text_col).alias("text"))
     return source.mapInArrow(run, "id bigint, n_chars int, text_key binary, form string")
 
 
 def same_to_the_eye(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id_a, doc_id_b): documents of one form whose stored texts differ, the smaller id first."""
+    """(doc_id_a, doc_id_b): documents of one form whose stored texts differ, the smaller id first.
+
+    Reading the same is transitive, so a group of more than `EXPAND` documents gives each document paired
+    with the group's first of another text instead of all pairs.
+    """
     keyed = one_form(docs, id_col, text_col).where(F.col("n_chars") >= MIN_CHARS).select("id", "text_key", F.unhex(F.md5("form")).alias("key"))
     # Only forms with more than one stored text can give pairs; the rest stops at the count.
-    variants = keyed.groupBy("key").agg(F.min("text_key").alias("lo"), F.max("text_key").alias("hi")).where("lo <> hi").select("key")
-    shared = keyed.join(variants, "key", "left_semi").select("id", "text_key", "key")
-    a, b = shared.toDF("a", "ka", "key"), shared.toDF("b", "kb", "key")
-    return a.join(b, "key").where("a < b and ka <> kb").select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
+    groups = keyed.groupBy("key").agg(F.min("text_key").alias("lo"), F.max("text_key").alias("hi"), F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "text_key")).alias("first")).where("lo <> hi")
+    shared = stage(keyed.join(groups.select("key", "n", "first"), "key").select("id", "text_key", "key", "n", "first"), "forms")
+    small = shared.where(F.col("n") <= EXPAND).select("id", "text_key", "key")
+    a, b = small.toDF("a", "ka", "key"), small.toDF("b", "kb", "key")
+    every = a.join(b, "key").where("a < b and ka <> kb").select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
+    # larger groups: all documents with other texts meet the first; those with its text meet the first of the others
+    large = shared.where(F.col("n") > EXPAND)
+    others = large.where(F.col("text_key") != F.col("first.text_key"))
+    second = others.groupBy("key").agg(F.min("id").alias("second"))
+    star = others.select(F.col("first.id").alias("x"), F.col("id").alias("y"))
+    same = large.where((F.col("text_key") == F.col("first.text_key")) & (F.col("id") != F.col("first.id"))).join(second, "key").select(F.col("id").alias("x"), F.col("second").alias("y"))
+    return every.union(star.union(same).select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b")))

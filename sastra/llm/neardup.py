@@ -24,11 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sastra.functions.text import valid
 from sastra.llm import textops
 from sastra.operators.components import connected_components
 from sastra.plans.stage import stage
 
 BANDS, ROWS = 32, 5
+#: Copies up to which a class of equal texts is given as all its pairs.
+EXPAND = 1000
 MIN_CHARS = 25
 _EMPTY = np.uint64(1) << np.uint64(textops.GRAM_BITS)
 
@@ -144,7 +147,7 @@ def exact_jaccard(pairs: DataFrame, threshold: float) -> DataFrame:
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.translate(f"`{text_col}`", "\n", " ").alias("text")).where(F.length("text") >= MIN_CHARS)
+    return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.translate(valid(F.col(f"`{text_col}`")), "\n", " ").alias("text")).where(F.length("text") >= MIN_CHARS)
 
 
 class NearDuplicates:
@@ -172,10 +175,17 @@ class NearDuplicates:
         #: (id, rep, copies): the class of each document.
         self.members = stage(self.signed.select("id", "cls").join(least, "cls").select("id", "rep", "copies"), "members")
 
-    def pairs(self) -> DataFrame:
-        """(a, b), a < b: every alike pair of documents, classes expanded."""
-        members = self.members.select("id", "rep")
-        within = members.toDF("a", "rep").join(members.toDF("b", "rep"), "rep").where("a < b").select("a", "b")
+    def pairs(self, expand: int = EXPAND) -> DataFrame:
+        """(a, b), a < b: every alike pair of documents.
+
+        Classes of up to `expand` equal texts are expanded into all their pairs. A larger class gives its
+        least id paired with each copy, and its links to other texts by that id: as many rows as copies, from
+        which all else follows, and no link between different texts is lost.
+        """
+        small = self.members.where(F.col("copies") <= expand).select("id", "rep")
+        large = self.members.where((F.col("copies") > expand) & (F.col("id") != F.col("rep"))).select(F.col("rep").alias("a"), F.col("id").alias("b"))
+        within = small.toDF("a", "rep").join(small.toDF("b", "rep"), "rep").where("a < b").select("a", "b").union(large)
+        members = self.members.where((F.col("copies") <= expand) | (F.col("id") == F.col("rep"))).select("id", "rep")
         across = self.links.select(F.col("a").alias("ra"), F.col("b").alias("rb")).join(members.toDF("x", "ra"), "ra").join(members.toDF("y", "rb"), "rb").where("x <> y")
         return within.union(across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
 

@@ -13,7 +13,7 @@ A weighted cosine join between two sides, the training rows and the others:
 5. Exact dot products of the candidate pairs; alike means Jaccard >= t, which for equal weights implies
    cosine >= 2t / (1 + t), the threshold of the join.
 
-Cases: null answers, null splits and reading texts under 25 code points are in no pair; repeated rows each
+Cases: null answers, null splits, null row ids and reading texts under 25 code points are in no pair; repeated rows each
 count under their own row id; empty sides give no rows; other columns are ignored.
 """
 
@@ -25,12 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sastra.functions.text import valid
 from sastra.llm import textops
 from sastra.plans.stage import stage
 
 SKETCH_BITS = 22
 CHUNKS = 64
 MIN_CHARS = 25
+#: Pairs of rows up to which two alike classes of copies are expanded.
+EXPAND = 1_000_000
 
 
 def reading_text(answer) -> F.Column:
@@ -148,8 +151,8 @@ class SplitOverlap:
     """The overlaps of the training split with all other splits of a manifest."""
 
     def __init__(self, manifest: DataFrame, threshold: float = 0.8, train: str = "train"):
-        rows = manifest.select(F.col("row_id").cast("bigint").alias("id"), "split", "source", reading_text("answer").alias("text"))
-        rows = rows.where((F.length("text") >= MIN_CHARS) & F.col("split").isNotNull())
+        rows = manifest.select(F.col("row_id").cast("bigint").alias("id"), "split", "source", reading_text(valid("answer")).alias("text"))
+        rows = rows.where((F.length("text") >= MIN_CHARS) & F.col("split").isNotNull() & F.col("id").isNotNull())
         sided = rows.withColumn("side", (F.col("split") == train).cast("int")).withColumn("cls", F.md5("text"))
         least = sided.groupBy("side", "cls").agg(F.min("id").alias("rep"))
         #: (id, split, source, text, side, rep)
@@ -162,9 +165,20 @@ class SplitOverlap:
         self.links = stage(exact_scores(texts).where(F.col("jaccard") >= threshold - 1e-12), "overlaps")
 
     def pairs(self) -> DataFrame:
-        """(row_id_a, row_id_b): every pair across the sides, the smaller id first."""
+        """(row_id_a, row_id_b): every pair across the sides, the smaller id first.
+
+        Two classes of copies with more than `EXPAND` pairs between them give each row paired with the other
+        class's least id, so every overlapping row is there.
+        """
+        counted = self.rows.groupBy("side", "rep").agg(F.count(F.lit(1)).alias("copies"))
+        size = lambda s, key, name: counted.where(f"side = {s}").select(F.col("rep").alias(key), F.col("copies").alias(name))
         side = lambda s, key, name: self.rows.where(f"side = {s}").select(F.col("id").alias(name), F.col("rep").alias(key))
-        both = self.links.select("a", "b").join(side(1, "a", "x"), "a").join(side(0, "b", "y"), "b")
+        sized = self.links.select("a", "b").join(size(1, "a", "n"), "a").join(size(0, "b", "m"), "b").withColumn("all", F.col("n") * F.col("m") <= EXPAND)
+        every = sized.where("all").select("a", "b").join(side(1, "a", "x"), "a").join(side(0, "b", "y"), "b")
+        hot = sized.where("not all").select("a", "b")
+        left = hot.join(side(1, "a", "x"), "a").select("x", F.col("b").alias("y"))
+        right = hot.join(side(0, "b", "y"), "b").where(F.col("y") != F.col("b")).select(F.col("a").alias("x"), "y")
+        both = every.select("x", "y").union(left).union(right)
         return both.select(F.least("x", "y").alias("row_id_a"), F.greatest("x", "y").alias("row_id_b"))
 
     def report(self) -> DataFrame:

@@ -23,6 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sastra.functions.text import valid
 from sastra.llm import textops
 from sastra.llm.lookalike import shapes
 
@@ -293,7 +294,7 @@ def document_statistics(docs: DataFrame, words: list[str], id_col: str = "doc_id
                 yield pa.RecordBatch.from_arrays(columns, ["id", "script", *FIELDS])
 
     schema = "id bigint, script string, n_chars bigint, n_words bigint, n_lines bigint, " + ", ".join(f"{x} double" for x in STATISTICS)
-    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), valid(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def sketch_quantiles(stats: DataFrame, columns: list[str] = STATISTICS, ranks: tuple[float, ...] = (0.25, 0.5, 0.75), k: int = 400) -> DataFrame:

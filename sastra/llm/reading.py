@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sastra.functions.text import valid
 from sastra.llm import textops
 from sastra.llm.quality import BLANK, DIGIT, LETTER, SCRIPTS, CommonWords, char_table, folded, role_table, _sum
 
@@ -120,7 +121,7 @@ def feature_rows(docs: DataFrame, words: list[tuple[str, int]], id_col: str = "d
                     yield pa.RecordBatch.from_arrays([ids, pa.array(chances.argmax(1) + 1, pa.int32(), mask=~some), pa.array(chances @ np.arange(1, LEVELS + 1), pa.float64(), mask=~some)], ["id", "level", "expected"])
 
     schema = "id bigint, script int, x array<double>" if score is None else "id bigint, level int, expected double"
-    return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col).cast("bigint").alias("id"), valid(text_col).alias("text")).mapInArrow(run, schema)
 
 
 @dataclass

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sastra.functions.text import valid
+
 #: Possible ends that one span may hold.
 WINDOW = 64
 
@@ -227,7 +229,7 @@ def sentence_ends(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             ids = pa.array([i for i, ends in zip(batch.column(0).to_pylist(), found) for _ in ends], batch.column(0).type)
             yield pa.RecordBatch.from_arrays([ids, pa.array([e for ends in found for e in ends], pa.int32())], [id_col, "end_pos"])
 
-    return docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col).where(f"{text_col} is not null").mapInArrow(run, f"{id_col} bigint, end_pos int")
+    return docs.select(F.col(id_col).cast("bigint").alias(id_col), valid(text_col).alias("__text")).where("__text is not null").mapInArrow(run, f"{id_col} bigint, end_pos int")
 
 
 def sentence_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -248,4 +250,4 @@ def sentence_units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                         a = e
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(number, pa.int32()), pa.array(units, pa.string())], [id_col, "n", "unit"])
 
-    return docs.select(F.col(id_col).cast("bigint").alias(id_col), text_col).where(f"{text_col} is not null").mapInArrow(run, f"{id_col} bigint, n int, unit string")
+    return docs.select(F.col(id_col).cast("bigint").alias(id_col), valid(text_col).alias("__text")).where("__text is not null").mapInArrow(run, f"{id_col} bigint, n int, unit string")

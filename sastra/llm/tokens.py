@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sastra.functions.text import valid
 from sastra.llm import textops
 from sastra.llm.pretokenize import piece_hashes, piece_starts
 from sastra.llm.vocab import PrefixEncoder, TrieCounter, read_ranks
@@ -116,7 +117,7 @@ def encode_corpus(df: DataFrame, file: str | None = None, id_col: str = "doc_id"
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], [id_col, out])
 
-    source = df.select(id_col, text_col)
+    source = df.select(id_col, valid(text_col).alias("__text"))
     schema = T.StructType([source.schema[id_col], T.StructField(out, T.ArrayType(T.IntegerType()))])
     return source.mapInArrow(run, schema)
 
@@ -130,7 +131,7 @@ def token_counts(df: DataFrame, file: str | None = None, text_col: str = "text",
     vocabulary = _vocabulary(df, file or f"{TOKENIZERS}/byte_bpe_50k.tiktoken")
     keep = [c for c in (df.columns if keep is None else keep) if c != out]
     names = [f"c{i}" for i in range(len(keep))]
-    source = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)], F.col(f"`{text_col}`").alias("__text"))
+    source = df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(keep, names)], valid(F.col(f"`{text_col}`")).alias("__text"))
 
     def run(batches):
         table = _table("ids" if exact else "count", vocabulary.value)
