@@ -36,6 +36,11 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def valid(c: str | Column) -> Column:
+    """Bytes that are no UTF-8 as replacement characters, so that Python can read the text."""
+    return F.make_valid_utf8(_c(c))
+
+
 def strip(c: str | Column) -> Column:
     """Without white space at both ends."""
     return F.regexp_replace(_c(c), f"^[{BLANKS}]+|[{BLANKS}]+$", "")

@@ -16,7 +16,7 @@ from sastra import schema
 from sastra.functions import boxes as B
 from sastra.functions import text as T
 from sastra.functions.minhash import minhash
-from sastra.operators import cleaning, dedup, exports, fonts, manifests, packaging, pages, quality, sampling
+from sastra.operators import cleaning, dedup, exports, fonts, manifests, packaging, pages, quality, rendering, sampling
 from sastra.plans.stage import shared_dir, spread
 from sastra.sources import readers
 from sastra.streaming import incremental
@@ -539,6 +539,35 @@ def reading_order(t):
     return pages.reading_order(_leaves(t)).select("page_id", "pos", "place")
 
 
+@query(
+    f"""SELECT page_id, 0 AS pos, 'title' AS block_type, md5(page_id) AS text, NULL::VARCHAR AS tbl, NULL::VARCHAR AS row_idx, NULL::VARCHAR AS col_idx FROM {_SIZES}
+    UNION ALL SELECT page_id, 1, 'table_cell', template, '0', '0', '0' FROM {_SIZES} UNION ALL SELECT page_id, 2, 'table_cell', image_width::VARCHAR, '0', '1', '0' FROM {_SIZES}
+    UNION ALL SELECT page_id, 3, 'caption', 'by', NULL, NULL, NULL FROM {_SIZES}"""
+)
+def expected_leaves(t):
+    none = lambda kind: F.lit(None).cast(kind)
+
+    def block(kind, text, header=None, body=None):
+        parts = {"type": F.lit(kind), "text": text, "items": none("array<string>"), "tid": F.lit(0), "header": none("array<string>") if header is None else header, "rows": none("array<array<string>>") if body is None else body, "fields": none("array<struct<label:string,value:string>>")}
+        return F.struct(*[c.alias(n) for n, c in parts.items()])
+
+    sizes = t.page_labels.where("image_width is not null").select("page_id", "template", "image_width", "image_height").distinct()
+    table = block("table", none("string"), F.array("template"), F.array(F.array(F.col("image_width").cast("string"))))
+    blocks = F.array(block("title", F.md5("page_id")), table, block("byline", F.lit("by")))
+    return rendering.expected_leaves(sizes.select("page_id", blocks.alias("blocks")))
+
+
+@query()
+def augmentation_plan(t):
+    return rendering.augmentation_plan(t.page_labels.where("source is null or source <> 'real'").select("page_id").distinct())
+
+
+@query()
+def rotated_leaves(t):
+    sizes = t.page_labels.where("image_width is not null").select("page_id", "image_width", "image_height").distinct()
+    return rendering.rotated_leaves(_leaves(t), rendering.augmentation_plan(sizes.select("page_id")), sizes).select("page_id", "pos", "bbox", "bbox_norm")
+
+
 # Fonts -----------------------------------------------------------------------------------------
 
 

@@ -211,3 +211,28 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["box-sanity", "--labels", str(labels)]) == 0 and main(["roundtrip", "--labels", str(labels)]) == 0
     stage("stats", "--labels", str(labels))
     stage("manifest", "--labels", str(labels), "--output", str(tmp_path / "m"))
+
+
+def test_expected_leaves(spark):
+    from sastra.operators import rendering
+
+    def block(kind, text=None, items=None, tid=None, header=None, body=None, fields=None):
+        return (kind, text, items, tid, header, body, fields)
+
+    page = [block("title", " T "), block("byline", "by"), block("list", items=["a", "b"]), block("table", tid=0, header=["h"], body=[["1"], ["2"]]), block("form", fields=[("k", "v")]), block("other", "x")]
+    df = spark.createDataFrame([("p", page), ("q", []), ("r", None)], f"page_id string, blocks {rendering.BLOCKS}")
+    got = [(r.block_type, r.text, r.row_idx) for r in rendering.expected_leaves(df).orderBy("pos").collect()]
+    assert got == [("title", " T ", None), ("caption", "by", None), ("list_item", "a", None), ("list_item", "b", None), ("table_cell", "h", "0"), ("table_cell", "1", "1"), ("table_cell", "2", "2"), ("form_label", "k", None), ("form_value", "v", None)]
+    assert rendering.source_texts(df).first().source_text == "Tbyabh12kv"
+
+
+def test_augmentation_and_hook(spark):
+    from sastra.operators import rendering
+
+    plan = rendering.augmentation_plan(rendering.page_range(spark, 4000, 3), "page")
+    stats = plan.agg(F.count("rotate_deg").alias("r"), F.max(F.abs("rotate_deg")).alias("m"), F.count_if(F.col("blur_kernel").isNotNull() & F.col("motion_kernel").isNotNull()).alias("both"), F.collect_set("motion_kernel").alias("k")).first()
+    assert abs(stats.r / 4000 - 0.425) < 0.04 and stats.m <= 2 and stats.both == 0 and set(stats.k) <= {3, 5, 7}
+    made = rendering.render_with(rendering.page_range(spark, 10, 2), lambda: lambda row: {"page": row["page"], "w": 7} if row["page"] % 2 else None, "page bigint, w int")
+    assert rows(made) == [(i, 7) for i in range(1, 10, 2)]
+    families = spark.createDataFrame([("Noto Sans",)], "family string")
+    assert rendering.font_addresses(families, "x/").first().address == "x/ofl/notosans/NotoSans-Regular.ttf"
