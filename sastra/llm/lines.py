@@ -24,7 +24,7 @@ from sastra.plans.stage import stage
 
 def line_keys(text: Column) -> Column:
     """The keys of the text's lines, in order: blanks made even, trimmed, runs of digits as 0."""
-    even = F.regexp_replace(F.translate(text, "\t\r ", "   "), " {2,}", " ")
+    even = F.regexp_replace(F.translate(text, "\t\r\u00a0", "   "), " {2,}", " ")
     return F.split(F.regexp_replace(F.regexp_replace(F.regexp_replace(even, " ?\n ?", "\n"), "^ | $", ""), "[0-9០-៩]+", "0"), "\n")
 
 

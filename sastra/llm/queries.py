@@ -141,14 +141,40 @@ def queries() -> dict:
     return {k: f for k, f in globals().items() if k[:1] == "p" and k[1:2].isdigit()}
 
 
+def _alike_sql(texts: str, a: str, b: str, across: str) -> str:
+    """Pairs of (id, side, t) at 5-gram Jaccard >= 0.8, by a join of all grams."""
+    return f"""
+        WITH f AS ({texts}),
+        g AS (SELECT DISTINCT id, side, substr(t, i::BIGINT, 5) AS g FROM (SELECT id, side, t, unnest(range(1, length(t) - 3)) AS i FROM f WHERE length(t) >= 25)),
+        n AS (SELECT id, count(*) AS n FROM g GROUP BY id),
+        o AS (SELECT x.id AS a, y.id AS b, count(*) AS shared FROM g x JOIN g y ON x.g = y.g AND x.id < y.id{across} GROUP BY ALL)
+        SELECT a AS {a}, b AS {b} FROM o JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE shared >= 0.8::DOUBLE * (x.n + y.n - shared) - 1e-9
+    """
+
+
+_READING = r"""
+    SELECT row_id AS id, split = 'train' AS side, trim(regexp_replace(regexp_replace(t, '[\x{200B}-\x{200D}\x{FEFF}]', '', 'g'), '[\t-\r\x1c-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g'), ' ') AS t
+    FROM (SELECT row_id, split, CASE WHEN len(p) > 0 THEN array_to_string(p, ' ') ELSE answer END AS t FROM (SELECT *, regexp_extract_all(answer, '(?s)<\|ref\|>(.*?)<\|/ref\|>', 1) AS p FROM manifest WHERE answer IS NOT NULL AND split IS NOT NULL))
+"""
+
+
+_KEY = r"regexp_replace(trim(regexp_replace({}, '[ \t\r\x{{A0}}]+', ' ', 'g'), ' '), '[0-9\x{{17E0}}-\x{{17E9}}]+', '0', 'g')"
+_FREQUENT = rf"""
+    WITH lines AS (SELECT DISTINCT doc_id, source, {_KEY.format('line')} AS line_key FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL)),
+    sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+    counts AS (SELECT source, line_key, count(*) AS docs FROM lines WHERE regexp_matches(line_key, '\pL') GROUP BY source, line_key)
+    SELECT counts.source, line_key FROM counts JOIN sizes ON counts.source = sizes.source WHERE docs >= 4 AND docs * 10 >= n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
-        "p4_found": r"""
-            WITH lines AS (
-                SELECT DISTINCT doc_id, source, regexp_replace(trim(regexp_replace(line, '[ \t\r\x{A0}]+', ' ', 'g'), ' '), '[0-9\x{17E0}-\x{17E9}]+', '0', 'g') AS line_key
-                FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL)
-            ), sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
-            counts AS (SELECT source, line_key, count(*) AS docs FROM lines WHERE regexp_matches(line_key, '\pL') GROUP BY source, line_key)
-            SELECT counts.source, line_key FROM counts JOIN sizes ON counts.source = sizes.source WHERE docs >= 4 AND docs * 10 >= n
+        "p2_found": _alike_sql("SELECT doc_id AS id, true AS side, translate(text, chr(10), ' ') AS t FROM documents", "doc_id_a", "doc_id_b", ""),
+        "p3_found": _alike_sql(_READING, "row_id_a", "row_id_b", " AND x.side <> y.side"),
+        "p4_found": _FREQUENT,
+        "p4_cleaned": f"""
+            WITH bad AS (SELECT source, list(line_key) AS bad FROM ({_FREQUENT}) GROUP BY source)
+            SELECT doc_id, d.source, CASE WHEN bad IS NULL THEN text ELSE array_to_string(list_filter(string_split(text, chr(10)), lambda x: NOT list_contains(bad, {_KEY.format('x')})), chr(10)) END AS text
+            FROM documents d LEFT JOIN bad ON d.source = bad.source
         """,
     }

@@ -182,7 +182,7 @@ def test_overlap_equals_brute_force(spark):
 
 
 def test_lines_and_sequences(spark):
-    docs = [("s", f"Home page\t{i}\nunique {chr(97 + i)} line\n(c) Site\nAll  rights 20{i}\r\n123\n") for i in range(6)]
+    docs = [("s", f"Home page\t{i}\nunique {chr(97 + i)} line\n(c) Site\nAll{chr(0xA0)} rights 20{i}\r\n123\n") for i in range(6)]
     docs += [("s", None), ("s", ""), ("s", "Home page 7\nx y"), ("t", "Home page 1\nz"), (None, "Home page 1")]
     df = spark.createDataFrame([(i, s, t, "k") for i, (s, t) in enumerate(docs)], "doc_id bigint, source string, text string, line_key string")
     found = lines.RepeatedLines(df)
