@@ -40,6 +40,7 @@ def clean_counts(docs: DataFrame, **limits) -> DataFrame:
         F.count_if(F.col("verdict") == "dropped_long").alias("dropped_long"),
         F.count_if(F.col("verdict") == "dropped_script").alias("dropped_script"),
     )
-    total = docs.agg(F.count(F.lit(1)).alias("docs_in"))
-    # two rows of aggregates
-    return total.crossJoin(found).withColumn("dropped_length", F.col("dropped_short") + F.col("dropped_long"))
+    names = ["kept", "dropped_short", "dropped_long", "dropped_script"]
+    total = docs.agg(F.count(F.lit(1)).alias("docs_in")).select("docs_in", *[F.lit(0).alias(n) for n in names])
+    both = total.union(found.select(F.lit(0), *names))
+    return both.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in ("docs_in", *names)]).withColumn("dropped_length", F.col("dropped_short") + F.col("dropped_long"))

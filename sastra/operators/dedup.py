@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from sastra.functions.minhash import band_keys, minhash
 from sastra.functions.text import char_shingles

@@ -23,11 +23,13 @@ def cumulative(items: DataFrame, name: str, weight: str) -> DataFrame:
 def weighted_choice(keys: DataFrame, key: str, items: DataFrame, name: str, weight: str, seed: int = 42) -> DataFrame:
     """(key, u, name): one item for each key, drawn by weight."""
     drawn = keys.select(key, uniform(seed, F.col(key)).alias("u"))
-    parts = cumulative(items, name, weight)
-    ends = parts.agg(F.array_sort(F.collect_list(F.struct("high", F.col(name).alias("v")))).alias("ends"))
-    # one row that holds all choices, met by every key; rounding may leave the last end just under one
-    picked = drawn.crossJoin(F.broadcast(ends)).select(key, "u", F.coalesce(F.try_element_at(F.filter("ends", lambda e: e["high"] > F.col("u")), F.lit(1)), F.element_at("ends", -1)).alias("e"))
-    return picked.select(key, "u", F.col("e.v").alias(name))
+    # a small table of choices becomes a literal; rounding may leave the last end just under one
+    parts = cumulative(items, name, weight).orderBy("high").collect()
+    if not parts:
+        raise ValueError("no item has a weight")
+    ends = F.array(*[F.struct(F.lit(r.high).alias("high"), F.lit(r[name]).alias("v")) for r in parts])
+    picked = F.coalesce(F.try_element_at(F.filter(ends, lambda e: e["high"] > F.col("u")), F.lit(1)), F.element_at(ends, -1))
+    return drawn.select(key, "u", picked["v"].alias(name))
 
 
 def pick(items: Column, u: Column) -> Column:
@@ -93,7 +95,7 @@ def page_texts(pages: DataFrame, pool: DataFrame, seed: int = 42) -> DataFrame:
 
     pool: (k, sentence) with k from 0 without gaps; each place draws its k, so the join is on a key.
     """
-    size = pool.agg(F.count(F.lit(1)).alias("size"))
+    size = pool.count()
     places = pages.select("page", F.explode(F.sequence(F.lit(0), F.coalesce("paragraphs", F.lit(2)))).alias("pos"))
-    drawn = places.crossJoin(F.broadcast(size)).withColumn("k", F.floor(uniform(seed, F.col("page"), F.col("pos")) * F.col("size")).cast("bigint"))
+    drawn = places.withColumn("k", F.floor(uniform(seed, F.col("page"), F.col("pos")) * size).cast("bigint"))
     return drawn.join(pool, "k").select("page", "pos", "sentence")
