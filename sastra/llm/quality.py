@@ -22,10 +22,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from sastra.functions.text import valid
 from sastra.llm import textops
 from sastra.llm.lookalike import shapes
+from sastra.plans.stage import stage
 
 MIN_CHARS, MIN_GROUP = 25, 30
 
@@ -310,20 +312,18 @@ def flagged(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_col:
     A document is in the tail if its share of text that doesn't run is `tail` robust deviations above
     its group's median, and the share is more than `least`.
     """
-    from sastra.plans.stage import stage
-
     stats = stage(document_statistics(docs, words, id_col, text_col), "statistics")
     quantiles = sketch_quantiles(stats.where(F.col("n_chars") >= MIN_CHARS))
     names = [f"{c}_{q}" for c in STATISTICS for q in (25, 50, 75)]
-    every = quantiles.where("g = 1").select(*[F.col(x).alias(f"all_{x}") for x in names])
-    groups = quantiles.where("g = 0").select(F.col("script"), F.col("n").alias("group_n"), *names)
-    # four groups and one row: sizes bounded by SCRIPTS
-    joined = stats.join(F.broadcast(groups), "script", "left").crossJoin(F.broadcast(every))
-    pick = lambda x: F.when(F.coalesce(F.col("group_n"), F.lit(0)) >= MIN_GROUP, F.col(x)).otherwise(F.col(f"all_{x}"))
+    whole = W.partitionBy(F.lit(1))
+    groups = quantiles.select("script", "g", *[F.when(F.col("n") >= MIN_GROUP, F.col(x)).otherwise(F.max(F.when(F.col("g") == 1, F.col(x))).over(whole)).alias(x) for x in names]).where("g = 0").drop("g")
+    # a row per script group: bounded by SCRIPTS
+    joined = stats.join(F.broadcast(groups), "script", "left")
     scores = []
     for c in STATISTICS:
-        low, mid, high = pick(f"{c}_25"), pick(f"{c}_50"), pick(f"{c}_75")
-        side = F.when(F.col(c) > mid, F.greatest(F.least(high - mid, mid - low), F.lit(0.03))).otherwise(F.greatest(F.least(high - mid, mid - low), F.lit(0.03)))
+        low, mid, high = F.col(f"{c}_25"), F.col(f"{c}_50"), F.col(f"{c}_75")
+        # the narrower side: the other may hold the tail itself
+        side = F.greatest(F.least(high - mid, mid - low), F.lit(0.03))
         scores.append(((F.col(c) - mid) / (side / 0.6745)).alias(f"{c}_z"))
     scored = joined.select("id", "script", *FIELDS, *scores)
     junk = (F.col("n_chars") >= MIN_CHARS) & (F.col("junk_share_z") >= tail) & (F.col("junk_share") > least)
