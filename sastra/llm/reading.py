@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from sastra.functions.text import valid
 from sastra.llm import textops
-from sastra.llm.quality import BLANK, DIGIT, LETTER, SCRIPTS, CommonWords, char_table, folded, role_table, _sum
+from sastra.llm.quality import BLANK, DIGIT, LETTER, SCRIPTS, CommonWords, _sum, char_table, folded, role_table
+from sastra.plans.stage import stage
 
 MAX_GRADES = 20_000
 LEVELS = 5
@@ -189,7 +190,8 @@ def fit_ordinal(x: np.ndarray, script: np.ndarray, grade: np.ndarray, rater: np.
 def graded_features(docs: DataFrame, grades: DataFrame, words: list[tuple[str, int]]) -> DataFrame:
     """(id, rater, grade, script, x): the features of graded documents, at most `MAX_GRADES` rows."""
     known = grades.where(F.col("grade").between(1, LEVELS) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint").alias("id"), F.coalesce("rater", F.lit("")).alias("rater"), "grade").distinct()
-    bounded = known.orderBy(F.xxhash64("id", "rater"), "id", "rater", "grade").limit(MAX_GRADES)
+    # staged, so that the planner knows how small the grades are when they meet the documents
+    bounded = stage(known.orderBy(F.xxhash64("id", "rater"), "id", "rater", "grade").limit(MAX_GRADES), "grades")
     ids = bounded.select(F.col("id").alias("doc_id")).distinct()
     rows = feature_rows(docs.join(ids, "doc_id", "left_semi"), words)
     return bounded.join(rows, "id")
