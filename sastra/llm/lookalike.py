@@ -27,8 +27,10 @@ from sastra.llm import textops
 from sastra.plans.stage import stage
 
 MIN_CHARS = 25
-#: Documents of one form up to which all their pairs are given.
-EXPAND = 2000
+#: Documents of one form up to which all their pairs are given; None: all pairs of every group.
+EXPAND: int | None = None
+#: Texts, or copies of one text, that meet others within one task.
+BLOCK = 1000
 
 # Characters that show nothing.
 _IGNORABLE = re.compile("[­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ\U000e0000-\U000e0fff]+")
@@ -197,13 +199,36 @@ def one_form(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return source.mapInArrow(run, "id bigint, n_chars int, text_key binary, form string")
 
 
+def _every_pair(keyed: DataFrame) -> DataFrame:
+    """(doc_id_a, doc_id_b) of all pairs of (id, text_key, key) with one key and two texts.
+
+    Distinct texts are paired first, in blocks by text, and then the copies of both, in blocks by id: so
+    equal copies never meet each other, and a hot form spreads over blocks.
+    """
+    texts = keyed.groupBy("key", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    forms = texts.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    several = stage(texts.join(forms, "key"), "texts").withColumn("own", F.pmod(F.xxhash64("text_key"), blocks("m")).cast("int"))
+    a = several.select("key", F.col("text_key").alias("ka"), F.col("n").alias("na"), F.col("own").alias("i"), each("m").alias("j"))
+    b = several.select("key", F.col("text_key").alias("kb"), F.col("n").alias("nb"), each("m").alias("i"), F.col("own").alias("j"))
+    met = a.join(b, ["key", "i", "j"]).where("ka < kb").select("ka", "kb", "nb", each("na").alias("pa")).select("ka", "kb", "pa", each("nb").alias("pb"))
+    copies = keyed.join(several.select("text_key", "n"), "text_key").groupBy("text_key", F.pmod(F.xxhash64("id"), blocks("n")).cast("int").alias("part")).agg(F.collect_list("id").alias("ids"))
+    copies = stage(copies, "copies")
+    every = met.join(copies.toDF("ka", "pa", "xs"), ["ka", "pa"]).join(copies.toDF("kb", "pb", "ys"), ["kb", "pb"])
+    pairs = every.select(F.explode("xs").alias("x"), "ys").select("x", F.explode("ys").alias("y"))
+    return pairs.select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b"))
+
+
 def same_to_the_eye(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id_a, doc_id_b): documents of one form whose stored texts differ, the smaller id first.
 
-    Reading the same is transitive, so a group of more than `EXPAND` documents gives each document paired
-    with the group's first of another text instead of all pairs.
+    All pairs by default, whatever the group's size. With `EXPAND` set, a group of more documents gives each
+    document paired with the group's first of another text instead.
     """
     keyed = one_form(docs, id_col, text_col).where(F.col("n_chars") >= MIN_CHARS).select("id", "text_key", F.unhex(F.md5("form")).alias("key"))
+    if EXPAND is None:
+        return _every_pair(stage(keyed, "keyed"))
     # Only forms with more than one stored text can give pairs; the rest stops at the count.
     groups = keyed.groupBy("key").agg(F.min("text_key").alias("lo"), F.max("text_key").alias("hi"), F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "text_key")).alias("first")).where("lo <> hi")
     shared = stage(keyed.join(groups.select("key", "n", "first"), "key").select("id", "text_key", "key", "n", "first"), "forms")

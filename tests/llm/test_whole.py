@@ -1,0 +1,31 @@
+"""Cases that bounds once cut short."""
+
+from sastra.llm import lookalike
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+
+
+def eye_pairs(spark, texts):
+    got = [tuple(r) for r in lookalike.same_to_the_eye(frame(spark, texts)).collect()]
+    assert len(got) == len(set(got))
+    return set(got)
+
+
+def differing(texts):
+    return {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if texts[i] != texts[j]}
+
+
+def test_every_pair_of_a_large_form(spark):
+    # more documents than the former bound of 2,000: many copies of one text and few of others
+    base = "many documents read the same to the eye"
+    texts = [base] * 2500 + [base + " " * k for k in (1, 2, 3)] + [base + "\n"] * 2
+    assert eye_pairs(spark, texts) == differing(texts)
+
+
+def test_every_pair_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lookalike, "BLOCK", 3)
+    base = "many documents read the same to the eye"
+    texts = [base + " " * (i % 11) for i in range(60)] + [base] * 20
+    assert eye_pairs(spark, texts) == differing(texts)
