@@ -1,6 +1,7 @@
 """Named queries over the test tables, each with its SQL where SQL can express it.
 
-All run over whole tables and whole texts. A limit appears only where it is the feature.
+All run over whole tables and whole texts, except those named here. A limit appears only where it is the
+feature. `sentence_table` takes texts without a line feed only; `sentence_table_lines` takes the lines of all.
 """
 
 from __future__ import annotations
@@ -705,6 +706,13 @@ def sentence_table(t):
     return readers.sentence_table(lines)
 
 
+@query(f"SELECT {_strip('line')} AS text FROM (SELECT unnest(string_split(text, {_NL})) AS line FROM documents WHERE text IS NOT NULL) WHERE {_strip('line')} <> ''")
+def sentence_table_lines(t):
+    # whole texts: each line is a numbered line of the table
+    lines = t.documents.where("text is not null").select(F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    return readers.sentence_table(lines.select(F.concat(F.col("n").cast("string"), F.lit("\t"), "line").alias("value")))
+
+
 @query(
     f"""SELECT page_id AS image, pos::VARCHAR AS id, block_type, bbox_norm AS bbox, text FROM {_LEAVES} WHERE text <> '' AND bbox_norm IS NOT NULL AND block_type IS NOT NULL"""
 )
