@@ -2,6 +2,8 @@
 
 All run over whole tables and whole texts, except those named here. A limit appears only where it is the
 feature. `sentence_table` takes texts without a line feed only; `sentence_table_lines` takes the lines of all.
+`html_main_text`, `feed_links` and `wiki_strip` leave out texts or addresses that hold markup characters; the
+queries of these names with `_all` take every one.
 """
 
 from __future__ import annotations
@@ -684,6 +686,22 @@ def html_main_text(t):
     return docs.select("doc_id", readers.html_text(page).alias("main"))
 
 
+def _escaped(c: str):
+    for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        c = F.replace(c, F.lit(char), F.lit(name))
+    return c
+
+
+@query(
+    f"""SELECT doc_id, nullif(array_to_string(list_filter(list_transform(string_split(text, {_NL}), lambda x: {_strip('x')}), lambda x: x <> ''), {_NL}), '') AS main
+    FROM documents WHERE text IS NOT NULL"""
+)
+def html_main_text_all(t):
+    docs = t.documents.where("text is not null")
+    page = F.concat(F.lit("<html><head><style>p{}</style><script>if (a) { b(); }</script></head><body><nav>Home</nav><!-- ad -->"), F.replace(_escaped("text"), F.lit("\n"), F.lit("<br/>")), F.lit("<footer>Foot</footer></body></html>"))
+    return docs.select("doc_id", readers.html_text(page).alias("main"))
+
+
 @query(
     """SELECT doc_id, 0 AS pos, url AS link FROM documents WHERE url <> '' AND NOT regexp_matches(url, '[<>&]')"""
 )
@@ -693,6 +711,13 @@ def feed_links(t):
     return readers.feed_links(docs.select("doc_id", xml.alias("xml")), keep=("doc_id",))
 
 
+@query(f"SELECT doc_id, 0 AS pos, {_strip('url')} AS link FROM documents WHERE {_strip('url')} <> ''")
+def feed_links_all(t):
+    docs = t.documents.where("url <> ''")
+    xml = F.concat(F.lit("<rss version=\"2.0\"><channel><link>https://site.example</link><item><title>t</title><link> "), _escaped("url"), F.lit(" </link></item></channel></rss>"))
+    return readers.feed_links(docs.select("doc_id", xml.alias("xml")), keep=("doc_id",))
+
+
 @query(f"SELECT doc_id, {_strip('text')} AS plain FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[<>{{}}|]|\\[|\\]')")
 def wiki_strip(t):
     docs = t.documents.where(r"text is not null and not text rlike '[<>{}|]|\\[|\\]'")
@@ -700,6 +725,15 @@ def wiki_strip(t):
     return docs.select("doc_id", readers.strip_wiki(markup).alias("plain"))
 
 
+_PLAIN = r"regexp_replace(regexp_replace(regexp_replace(text, '(?s)\{\{.*?\}\}', '', 'g'), '\[\[(?:[^\]|]*\|)?([^\]]*)\]\]', '\1', 'g'), '<[^>]+>', '', 'g')"
+
+
+@query(f"SELECT doc_id, {_strip(_PLAIN)} AS plain FROM documents WHERE text IS NOT NULL")
+def wiki_strip_all(t):
+    # the stored texts themselves, with whatever markup they hold
+    return t.documents.where("text is not null").select("doc_id", readers.strip_wiki("text").alias("plain"))
+
+
 @query(f"SELECT {_strip('text')} AS text FROM documents WHERE {_strip('text')} <> '' AND text NOT LIKE '%' || chr(10) || '%'")
 def sentence_table(t):
     lines = t.documents.where("text not like '%\n%'").select(F.concat(F.col("doc_id").cast("string"), F.lit("\t"), "text").alias("value"))
