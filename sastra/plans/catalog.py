@@ -3,7 +3,8 @@
 All run over whole tables and whole texts, except those named here. A limit appears only where it is the
 feature. `sentence_table` takes texts without a line feed only; `sentence_table_lines` takes the lines of all.
 `html_main_text`, `feed_links` and `wiki_strip` leave out texts or addresses that hold markup characters; the
-queries of these names with `_all` take every one.
+queries of these names with `_all` take every one. `stream_first_arrivals` leaves out texts that occur more
+than once; `stream_arrived_texts` gives each distinct text once.
 """
 
 from __future__ import annotations
@@ -792,6 +793,12 @@ def stream_first_arrivals(t):
     return out.join(several, "text_sha1", "left_anti").select("doc_id")
 
 
+@query("SELECT DISTINCT sha1(text) AS text_sha1 FROM documents WHERE text <> ''")
+def stream_arrived_texts(t):
+    # every text once, by its hash, which does not depend on the files' order
+    return _stream(t, "documents", t.documents, lambda s: incremental.first_arrivals(s, late="3650 days").select("text_sha1"))
+
+
 @query()
 def stream_daily_counts(t):
     return _stream(t, "documents", t.documents, lambda s: incremental.arrivals_per_source(s)).select(F.col("window.start").alias("day"), "source", "docs", "chars")

@@ -1,5 +1,8 @@
 """Queries over whole tables, on rows that the filtered queries beside them leave out."""
 
+import datetime
+import hashlib
+
 import pytest
 
 from sastra.plans import catalog
@@ -39,3 +42,10 @@ def test_wiki_strip_meets_stored_markup(spark, tmp_path):
     rows = [(1, "a {{t|x\ny}} b"), (2, "[[c|d]] and [[e]] [f]"), (3, "<ref\nname=x>g</ref> 1 < 2"), (4, "{{open [[h"), (5, " plain "), (6, None)]
     want = [(1, "a  b"), (2, "d and e [f]"), (3, "g 1 < 2"), (4, "{{open [[h"), (5, "plain")]
     assert answer(spark, tmp_path, "wiki_strip_all", rows, "doc_id bigint, text string") == want
+
+
+def test_stream_gives_repeated_texts_once(spark, tmp_path):
+    texts = ["a", "b", "a", "a", "c", "c", "", None]
+    rows = [(i, t, datetime.datetime(2024, 1, 1 + i)) for i, t in enumerate(texts)]
+    want = sorted((hashlib.sha1(t.encode()).hexdigest(),) for t in "abc")
+    assert answer(spark, tmp_path, "stream_arrived_texts", rows, "doc_id bigint, text string, ingested_at timestamp") == want
