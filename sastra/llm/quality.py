@@ -2,7 +2,8 @@
 
 All statistics come from array passes over whole texts (no loop over characters). Each gets a mergeable
 quantile sketch (KLL) per script group, in one aggregation whose partial sketches have fixed size; values
-turn into robust z-scores against the sketch's quartiles, and the tails are flagged.
+turn into robust z-scores against the sketch's quartiles, and the tails are flagged. Whether a document is
+junk depends on its own text only; the tail, a flag of its own, depends on its group.
 
 The share of running text is the key statistic: a line runs if it holds enough common words of its
 language for its letters, or ends as a sentence does and isn't built as a list, table, menu or code.
@@ -307,10 +308,11 @@ def sketch_quantiles(stats: DataFrame, columns: list[str] = STATISTICS, ranks: t
 
 
 def flagged(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_col: str = "text", tail: float = 2.0, least: float = 0.5) -> DataFrame:
-    """All statistics with the robust z-score of each, and `is_junk`.
+    """All statistics with the robust z-score of each, `is_junk` and `in_tail`.
 
-    A document is in the tail if its share of text that doesn't run is `tail` robust deviations above
-    its group's median, and the share is more than `least`.
+    A document is junk if its share of text that doesn't run, or repeats, is more than `least`. It is in the
+    tail if it is junk and that share is also `tail` robust deviations above its group's median, which
+    nothing is in a group where lists and tables are common.
     """
     stats = stage(document_statistics(docs, words, id_col, text_col), "statistics")
     quantiles = sketch_quantiles(stats.where(F.col("n_chars") >= MIN_CHARS))
@@ -326,5 +328,6 @@ def flagged(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_col:
         side = F.greatest(F.least(high - mid, mid - low), F.lit(0.03))
         scores.append(((F.col(c) - mid) / (side / 0.6745)).alias(f"{c}_z"))
     scored = joined.select("id", "script", *FIELDS, *scores)
-    junk = (F.col("n_chars") >= MIN_CHARS) & (F.col("junk_share_z") >= tail) & (F.col("junk_share") > least)
-    return scored.withColumn("is_junk", F.coalesce(junk, F.lit(False))).withColumnRenamed("id", id_col)
+    junk = F.coalesce((F.col("n_chars") >= MIN_CHARS) & (F.col("junk_share") > least), F.lit(False))
+    in_tail = F.coalesce(F.col("is_junk") & (F.col("junk_share_z") >= tail), F.lit(False))
+    return scored.withColumn("is_junk", junk).withColumn("in_tail", in_tail).withColumnRenamed("id", id_col)

@@ -1,6 +1,6 @@
 """Cases that bounds once cut short."""
 
-from sastra.llm import lookalike
+from sastra.llm import lookalike, quality
 
 
 def frame(spark, texts):
@@ -29,3 +29,12 @@ def test_every_pair_over_blocks(spark, monkeypatch):
     base = "many documents read the same to the eye"
     texts = [base + " " * (i % 11) for i in range(60)] + [base] * 20
     assert eye_pairs(spark, texts) == differing(texts)
+
+
+def test_junk_where_junk_is_common(spark):
+    # half of a script group are lists, so its median share of them is high; each is judged by itself
+    prose = [f"The people of the town went to the market in the morning, and it is said that they bought rice number {i}." for i in range(30)]
+    lists = ["\n".join(f"- item {chr(97 + k)} {i}" for k in range(20)) for i in range(40)]
+    got = quality.flagged(frame(spark, prose + lists), ["the", "of", "to", "in", "and", "it", "is", "that"]).collect()
+    assert {r.doc_id for r in got if r.is_junk} == set(range(30, 70))
+    assert not any(r.in_tail for r in got)
