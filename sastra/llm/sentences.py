@@ -8,14 +8,18 @@ its length. So whether a closed quotation ends a unit depends on where that unit
 Marks are compared after one-to-one folding of full-width forms, and characters that show nothing are
 looked through, so neither changes a boundary. Positions are 1-based code points of the stored text.
 
-Cases: null, empty and blank texts have no units; very long lines are cut with all their marks (a span
-holds at most `WINDOW` possible ends); repeated rows give repeated units.
+The best path is exact however many possible ends a span holds: a span's score depends on where it begins
+only by the class of its length and by its quotation, so a few beginnings for each end are enough.
+
+Cases: null, empty and blank texts have no units; very long lines are cut with all their marks; repeated
+rows give repeated units.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import deque
 from functools import lru_cache
 
 import pyarrow as pa
@@ -24,8 +28,8 @@ from pyspark.sql import functions as F
 
 from sastra.functions.text import valid
 
-#: Possible ends that one span may hold.
-WINDOW = 64
+#: Spans of fewer characters than `SHORT` lose a little; from `LONG` on, each character costs `SLOPE`.
+SHORT, LONG, SLOPE = 3, 400, 0.002 / 100
 
 _NOTHING = "­​-‏‪-‮⁠-⁤﻿"
 _LINE = re.compile("[^\n\r\x85  ]+")
@@ -186,11 +190,30 @@ def line_ends(line: str) -> list[int]:
         starts.append(at)
     n = len(ends) + 1
     best, back = [0.0] + [-math.inf] * n, [0] * (n + 1)
+    begun: dict[int, list[int]] = {}
+    for j, at in enumerate(starts):
+        begun.setdefault(at, []).append(j)
+    # Ends and starts only grow, so each start is first near, then middling, then far. Middling ones differ in
+    # their best score only (a queue with falling scores keeps the maximum), far ones also in a fixed slope.
+    middle: deque[int] = deque()
+    near, mid, far = 0, 0, -1
     for k in range(1, n + 1):
         end, score, quote, kind = ends[k - 1] if k < n else (right, 0.0, -1, "")
-        for j in range(max(0, k - WINDOW), k):
+        while near < k and end - starts[near] >= SHORT:
+            while middle and best[middle[-1]] < best[near]:
+                middle.pop()
+            middle.append(near)
+            near += 1
+        while mid < near and end - starts[mid] > LONG:
+            if far < 0 or best[mid] + SLOPE * starts[mid] > best[far] + SLOPE * starts[far]:
+                far = mid
+            mid += 1
+        while middle and middle[0] < mid:
+            middle.popleft()
+        tried = {*range(near, k), *([far] if far >= 0 else []), *([middle[0]] if middle else []), *(j for j in begun.get(quote, ()) if j < k)}
+        for j in sorted(tried):
             span = end - starts[j]
-            s = best[j] + score - 0.5 * (span < 3) - 0.002 * max(0, span - 400) / 100
+            s = best[j] + score - 0.5 * (span < SHORT) - SLOPE * max(0, span - LONG)
             if k < n and quote >= 0 and quote != starts[j]:
                 s -= 4.0 if kind == "A" else 16.0  # a quotation that opened in mid-sentence
             if s > best[k]:

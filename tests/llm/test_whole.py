@@ -1,6 +1,6 @@
 """Cases that bounds once cut short."""
 
-from sastra.llm import lookalike, quality
+from sastra.llm import lookalike, quality, sentences
 
 
 def frame(spark, texts):
@@ -38,3 +38,10 @@ def test_junk_where_junk_is_common(spark):
     got = quality.flagged(frame(spark, prose + lists), ["the", "of", "to", "in", "and", "it", "is", "that"]).collect()
     assert {r.doc_id for r in got if r.is_junk} == set(range(30, 70))
     assert not any(r.in_tail for r in got)
+
+
+def test_long_runs_of_marks_end_nothing(spark):
+    for n in (10, 63, 64, 65, 300):
+        text = "See version " + ".".join(["1"] * n) + " and it runs. Then " + " ".join(["3.14,"] * n) + " came. Last one"
+        ends = sentences.unit_ends(text)
+        assert ends == [text.index(" Then"), text.index(" Last"), len(text)]
