@@ -2,7 +2,9 @@
 
 PrefixSpan over the line sequences of each source, as joins and counts: the patterns of length one are the
 lines with enough distinct documents; a longer pattern is grown from its projected table (document, end of
-an occurrence) by the line that follows. Occurrences may be parted by at most `max_gap` - 1 other lines.
+an occurrence) by a line that follows. The lines of an occurrence may be parted by any other lines where
+`max_gap` is None, and the earliest end of an occurrence then stands for a document; else by at most
+`max_gap` - 1 of them, and all ends are kept.
 Support counts a document once. All counts are partial sums before the shuffle and keyed by line, so a
 source that holds a third of all rows spreads over its lines.
 
@@ -33,7 +35,7 @@ def _has_letter(key: Column) -> Column:
 
 
 class RepeatedLines:
-    def __init__(self, docs: DataFrame, source_col: str = "source", text_col: str = "text", min_docs: int = 4, min_share: float = 0.1, max_gap: int = 1):
+    def __init__(self, docs: DataFrame, source_col: str = "source", text_col: str = "text", min_docs: int = 4, min_share: float = 0.1, max_gap: int | None = 1):
         self.docs, self.source_col, self.text_col, self.max_gap = docs, source_col, text_col, max_gap
         self.rows = docs.select(F.col(f"`{source_col}`").alias("source"), F.col(f"`{text_col}`").alias("text")).where("source is not null")
         need = F.greatest(F.lit(min_docs), F.ceil(F.count(F.lit(1)) * F.lit(min_share) - F.lit(1e-9)))
@@ -47,17 +49,23 @@ class RepeatedLines:
         return counts.join(self.sources, "source").where("docs >= need").select("source", "line_key", "docs", "n_docs")
 
     def sequences(self) -> DataFrame:
-        """(source, lines, docs): all frequent sequences of lines, from length one on."""
+        """(source, lines, docs): all frequent sequences of lines within `max_gap`, from length one on.
+
+        Without a limit, m frequent lines that stand in one order in enough documents give 2^m - 1 sequences.
+        """
         numbered = stage(self.rows.withColumn("doc", F.monotonically_increasing_id()), "lines")
         first = stage(self.frequent_lines(), "frequent")
         items = numbered.select("source", "doc", F.posexplode(line_keys(F.col("text"))).alias("pos", "line_key"))
         kept = stage(items.join(first.select("source", "line_key"), ["source", "line_key"]), "kept")
         found = first.select("source", F.array("line_key").alias("lines"), "docs")
-        projected = kept.select("source", "doc", F.array("line_key").alias("lines"), F.col("pos").alias("end"))
+        ends = lambda df: df.distinct() if self.max_gap is not None else df.groupBy("source", "doc", "lines").agg(F.min("end").alias("end"))
+        projected = ends(kept.select("source", "doc", F.array("line_key").alias("lines"), F.col("pos").alias("end")))
         following = kept.select("doc", F.col("pos").alias("next"), "line_key")
         while True:
-            near = F.col("next").between(F.col("end") + 1, F.col("end") + self.max_gap)
-            grown = projected.join(following, "doc").where(near).select("source", "doc", F.array_append("lines", F.col("line_key")).alias("lines"), F.col("next").alias("end")).distinct()
+            near = F.col("next") > F.col("end")
+            if self.max_gap is not None:
+                near &= F.col("next") <= F.col("end") + self.max_gap
+            grown = ends(projected.join(following, "doc").where(near).select("source", "doc", F.array_append("lines", F.col("line_key")).alias("lines"), F.col("next").alias("end")))
             counts = grown.select("source", "lines", "doc").distinct().groupBy("source", "lines").agg(F.count(F.lit(1)).alias("docs"))
             level = stage(counts.join(self.sources, "source").where("docs >= need").select("source", "lines", "docs"), "level")
             if level.isEmpty():

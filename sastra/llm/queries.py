@@ -66,7 +66,7 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 def p4_sequences(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.lines import RepeatedLines
 
-    return RepeatedLines(_texts(spark, sf, "documents", "source", "text")).sequences()
+    return RepeatedLines(_texts(spark, sf, "documents", "source", "text"), max_gap=None).sequences()
 
 
 def p4_cleaned(spark: SparkSession, sf: str) -> DataFrame:

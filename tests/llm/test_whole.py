@@ -1,6 +1,9 @@
 """Cases that bounds once cut short."""
 
-from sastra.llm import lookalike, quality, sentences
+from collections import Counter
+from itertools import combinations
+
+from sastra.llm import lines, lookalike, quality, queries, sentences
 
 
 def frame(spark, texts):
@@ -45,3 +48,18 @@ def test_long_runs_of_marks_end_nothing(spark):
         text = "See version " + ".".join(["1"] * n) + " and it runs. Then " + " ".join(["3.14,"] * n) + " came. Last one"
         ends = sentences.unit_ends(text)
         assert ends == [text.index(" Then"), text.index(" Last"), len(text)]
+
+
+def test_sequences_with_lines_between(spark, tmp_path):
+    docs = [f"Head\nbody {chr(97 + i)}\nHead\nMore\n" + "x\n" * (i % 2) + f"text {chr(98 + i)}\nFoot" for i in range(6)]
+    want = Counter()
+    for text in docs:
+        keys = [k for k in text.split("\n") if k in ("Head", "More", "Foot", "x")]
+        want.update({c for n in range(1, len(keys) + 1) for c in combinations(keys, n)})
+    want = {k: n for k, n in want.items() if n >= 4}
+    spark.createDataFrame([("s", t) for t in docs], "source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.p4_sequences(spark, str(tmp_path)).collect()
+    assert {tuple(r.lines): r.docs for r in got} == want and len(got) == len(want)
+    assert ("Head", "Head", "More", "Foot") in want
+    near = lines.RepeatedLines(spark.read.parquet(f"{tmp_path}/documents.parquet")).sequences().collect()
+    assert {tuple(r.lines) for r in near} == {("Head",), ("More",), ("Foot",), ("Head", "More")}
