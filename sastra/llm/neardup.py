@@ -1,17 +1,21 @@
 """Problem 2: documents that are edited copies of one another, at 5-gram Jaccard >= threshold.
 
 1. Equal texts form classes (MD5 of the text with line feeds as blanks); one text stands for each.
-2. A representative's distinct 5-grams are one sorted array of hashes. Its minimum per hash bin gives
-   `BANDS` keys of `ROWS` minima each; texts that share a key meet in a tile. At the threshold a pair
-   meets in no tile with probability (1 - 0.8^5)^32 = 3e-6, less above it.
-3. Sizes: alike sets differ in size by the threshold at most, so a tile's sizes part it into bands.
-4. Bitmaps: each set has a hashed parity bitmap as wide as its size band. The bits in which two bitmaps
-   differ bound the symmetric difference from below, so the overlap from above; pairs whose bound is
-   too low never have their texts fetched.
-5. The pairs left are decided by exact intersection of the sorted arrays.
-
-Scale: each step shuffles (key, id) rows or candidate pairs; texts move only to pairs that pass the
-bitmaps. Classes are expanded at the end, by joins on the class. No bucket is capped.
+2. A representative's distinct 5-grams are a sorted array of hashes, put from rare to common by a count
+   table of fixed size. Two alike sets share a gram among the first `prefix` of each, so each of those
+   grams is a tile, and alike texts meet in one at least. No pair can be missed.
+3. A tile's rows are sorted by size, and a row meets the run of rows up to size / threshold. A tile of more
+   than `HOT` rows goes another way: size bands (a band and the next one up) and blocks within bands are
+   joined as keys of their own, so its work spreads over tasks.
+4. A pair is given at the first gram that both have, as far as the first two grams of each tell, and only
+   where the places of the shared gram leave room for the overlap.
+5. Bitmaps: each set has a hashed parity bitmap. The bits in which two bitmaps differ bound the symmetric
+   difference from below, so the overlap from above; pairs whose bound is too low never have their texts
+   fetched.
+6. The pairs left are decided by exact intersection of the sorted arrays.
+
+Scale: a text gives a fifth of its number of grams as rows of a few numbers; texts move only to pairs that
+pass the bitmaps. Classes are expanded at the end, in blocks. No tile, group or class is capped.
 
 Cases: null texts and texts under 25 code points are in no pair; ids that occur in several rows stand
 for each of their texts and never pair with themselves; empty input gives no rows.
@@ -21,57 +25,27 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sastra.functions.text import valid
-from sastra.llm import textops
+from sastra.llm import gramsketch, textops
 from sastra.operators.components import connected_components
 from sastra.plans.stage import stage
 
-BANDS, ROWS = 32, 5
-#: Copies up to which a class of equal texts is given as all its pairs.
-EXPAND = 1000
+#: Rows of a tile that one task pairs by itself; larger tiles are parted by size bands and blocks.
+HOT = 400
+#: Copies of a class, or rows of a band, that meet others within one task.
+BLOCK = 1000
 MIN_CHARS = 25
-_EMPTY = np.uint64(1) << np.uint64(textops.GRAM_BITS)
-
-
-def bin_minima(hashes: np.ndarray, starts: np.ndarray, bins: int) -> np.ndarray:
-    """The least hash of each set in each of `bins` ranges of the hash space (rows: sets).
-
-    An empty bin borrows from a bin chosen by hashing (bin, attempt), the same for all sets.
-    """
-    n = len(starts) - 1
-    out = np.full((n, bins), _EMPTY, np.uint64)
-    if len(hashes):
-        row = np.repeat(np.arange(n), np.diff(starts))
-        at = row * bins + ((hashes >> np.uint64(20)) * np.uint64(bins) >> np.uint64(textops.GRAM_BITS - 20)).astype(np.int64)
-        first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        out.ravel()[at[first]] = hashes[first]
-    filled = out != _EMPTY
-    rows, cols = np.nonzero(~filled & (np.diff(starts) > 0)[:, None])
-    attempt = 0
-    while len(rows):
-        attempt += 1
-        donor = (textops.mix64((cols.astype(np.uint64) << np.uint64(32)) | np.uint64(attempt)) % np.uint64(bins)).astype(np.int64)
-        ok = filled[rows, donor]
-        out[rows[ok], cols[ok]] = out[rows[ok], donor[ok]]
-        rows, cols = rows[~ok], cols[~ok]
-    return out
-
-
-def band_keys(minima: np.ndarray, rows: int = ROWS) -> np.ndarray:
-    """One 64-bit key per band of `rows` minima."""
-    n, bins = minima.shape
-    key = np.zeros((n, bins // rows), np.uint64)
-    for j in range(rows):
-        key = textops.mix64(key * np.uint64(31) + minima[:, j::rows])
-    return textops.mix64(key ^ np.arange(bins // rows, dtype=np.uint64)[None, :]).view(np.int64)
+#: In place of a second gram where a set has one only; grams are not negative.
+_MISSING = -1
+_TILE = "key bigint, id bigint, n int, pos int, first bigint, second bigint"
 
 
 def bitmap_width(size: int) -> int:
-    """Bits for a set of this size: the power of two from it on, 64 at least."""
-    return max(64, 1 << (max(size, 1) - 1).bit_length())
+    """Bits for a set of this size: the power of two from half of it on, 64 at least."""
+    return max(64, 1 << (max(size, 2) // 2 - 1).bit_length())
 
 
 def parity_bitmap(hashes: np.ndarray) -> bytes:
@@ -91,25 +65,154 @@ def least_difference(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def signatures(docs: DataFrame) -> DataFrame:
-    """(id, cls, n, bits, keys) of (id, text): class, number of 5-grams, bitmap and tile keys."""
+def signatures(texts: DataFrame) -> DataFrame:
+    """(id, n, bits) of (id, text): number of 5-grams and bitmap; and the count table's parts (part, counts) of each task."""
 
     def run(batches):
+        cells = gramsketch.CellCounts()
+        names = ["id", "n", "bits", "part", "counts"]
+        nothing = lambda k, t: pa.nulls(k, t)
         for batch in batches:
-            texts = batch.column(2)
-            for a, b in textops.chunks(texts):
-                flat, offsets = textops.codepoints(texts.slice(a, b - a))
-                hashes, starts = textops.grams(flat, offsets)
-                keys = band_keys(bin_minima(hashes, starts, BANDS * ROWS))
+            column = batch.column(1)
+            for a, b in textops.chunks(column):
+                hashes, starts = textops.grams(*textops.codepoints(column.slice(a, b - a)))
+                cells.add(hashes)
                 bits = [parity_bitmap(hashes[s:e]) for s, e in zip(starts[:-1], starts[1:])]
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, BANDS), pa.int32()), pa.array(keys.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(np.diff(starts), pa.int32()), pa.array(bits, pa.binary()), lists], ["id", "cls", "n", "bits", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(np.diff(starts), pa.int32()), pa.array(bits, pa.binary()), nothing(b - a, pa.int32()), nothing(b - a, pa.binary())], names)
+        k = gramsketch.PARTS
+        yield pa.RecordBatch.from_arrays([nothing(k, pa.int64()), nothing(k, pa.int32()), nothing(k, pa.binary()), pa.array(range(k), pa.int32()), pa.array(cells.parts(), pa.binary())], names)
 
-    return docs.select("id", F.unhex(F.md5("text")).alias("cls"), "text").mapInArrow(run, "id bigint, cls binary, n int, bits binary, keys array<bigint>")
+    return texts.select("id", "text").mapInArrow(run, "id bigint, n int, bits binary, part int, counts binary")
 
 
-def _fits(threshold: float, n: str, m: str) -> F.Column:
-    return F.least(n, m) >= F.greatest(n, m) * F.lit(threshold - 1e-9)
+def tile_rows(texts: DataFrame, levels, threshold: float) -> DataFrame:
+    """`_TILE` of (id, text): a row for each of a set's first grams; `first` and `second` are the first two."""
+
+    def run(batches):
+        for batch in batches:
+            column = batch.column(1)
+            ids = batch.column(0).to_numpy()
+            for a, b in textops.chunks(column):
+                hashes, starts = textops.grams(*textops.codepoints(column.slice(a, b - a)))
+                ordered = gramsketch.rare_first(hashes, starts, levels.value)[0].view(np.int64)
+                n = np.diff(starts)
+                prefix = np.where(n > 0, n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1, 0)
+                row = np.repeat(np.arange(b - a), prefix)
+                pos = np.arange(len(row)) - np.repeat(np.cumsum(prefix) - prefix, prefix)
+                begin = starts[:-1][row]
+                second = ordered[np.minimum(begin + 1, np.maximum(len(ordered) - 1, 0))] if len(row) else ordered[:0]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ordered[begin + pos]), pa.array(ids[a:b][row]), pa.array(n[row], pa.int32()), pa.array(pos, pa.int32()), pa.array(ordered[begin]), pa.array(second, mask=n[row] < 2)],
+                    ["key", "id", "n", "pos", "first", "second"],
+                )
+
+    return texts.select("id", "text").mapInArrow(run, _TILE)
+
+
+class _Tiles:
+    """Pairs of the rows of tiles, given in order of key and size."""
+
+    def __init__(self, threshold: float):
+        self.t, self.alpha = threshold, threshold / (1 + threshold)
+
+    def pairs(self, key, id_, n, pos, first, second) -> tuple[np.ndarray, np.ndarray]:
+        out = []
+        live, step = np.arange(len(key) - 1), 1
+        while len(live):
+            i, j = live, live + step
+            fits = (key[i] == key[j]) & (n[i] >= n[j] * self.t - 1e-9)
+            live, i, j = live[fits], i[fits], j[fits]
+            need = np.ceil((n[i] + n[j]) * self.alpha - 1e-9)
+            ok = (pos[i] <= n[i] - need) & (pos[j] <= n[j] - need) & (id_[i] != id_[j])
+            i, j = i[ok], j[ok]
+            here = first[i], second[i]
+            known = [(x == first[j]) | (x == second[j]) for x in here]
+            ok = np.where(known[0], key[i] == here[0], ~known[1] | (key[i] == here[1]))
+            out.append((id_[i[ok]], id_[j[ok]]))
+            step += 1
+            live = live[live + step < len(key)]
+        x = np.concatenate([p for p, _ in out]) if out else id_[:0]
+        y = np.concatenate([q for _, q in out]) if out else id_[:0]
+        return np.minimum(x, y), np.maximum(x, y)
+
+
+def _tile_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
+    """(a, b) of the tiles of up to `hot` rows, and the rows of larger ones as they are (a null)."""
+
+    def run(batches):
+        tiles = _Tiles(threshold)
+        held: list[np.ndarray] = []  # the open tile's rows, or nothing once it is hot
+        open_key, is_hot = None, False
+
+        def given(columns):
+            x, y = tiles.pairs(*columns)
+            if len(x):
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), *(pa.nulls(len(x), t) for t in types)], names)
+
+        def passed(columns):
+            k = len(columns[0])
+            made = [pa.array(c.astype(np.int32) if t == pa.int32() else c, mask=c == _MISSING if i == 5 else None) for i, (c, t) in enumerate(zip(columns, types))]
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), *made], names)
+
+        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+        names = ["a", "b", "key", "id", "n", "pos", "first", "second"]
+        for batch in batches:
+            columns = [batch.column(i).fill_null(_MISSING).to_numpy().astype(np.int64) for i in range(6)]
+            if held:
+                columns = [np.concatenate((h, c)) for h, c in zip(held, columns)]
+                held = []
+            key = columns[0]
+            if not len(key):
+                continue
+            edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            size = np.diff(np.append(edge, len(key)))
+            large = size > hot
+            if is_hot and key[0] == open_key:
+                large[0] = True
+            per_row = np.repeat(large, size)
+            if per_row.any():
+                yield from passed([c[per_row] for c in columns])
+            last = np.zeros(len(key), bool)
+            last[edge[-1] :] = True
+            closed = ~per_row & ~last
+            if closed.any():
+                yield from given([c[closed] for c in columns])
+            open_key, is_hot = key[-1], bool(large[-1])
+            if not is_hot:
+                held = [c[last] for c in columns]
+        if held:
+            yield from given(held)
+
+    met = rows.repartition("key").sortWithinPartitions("key", "n")
+    return met.mapInArrow(run, f"a bigint, b bigint, {_TILE}")
+
+
+def _blocks(n: str) -> Column:
+    return F.ceil(F.col(n) / BLOCK).cast("int")
+
+
+def _hot_pairs(rows: DataFrame, threshold: float) -> DataFrame:
+    """(a, b) of the hot tiles' rows: band meets band and the next one up, block meets block."""
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(-np.log(threshold)))).cast("int") if threshold < 1 else F.col("n")
+    banded = rows.withColumn("band", band)
+    sizes = banded.groupBy("key", "band").agg(F.count(F.lit(1)).alias("m"))
+    own = F.pmod(F.xxhash64("id"), _blocks("m")).cast("int")
+    placed = stage(banded.join(sizes, ["key", "band"]).withColumn("own", own), "banded")
+    large = sizes.select("key", F.explode(F.array("band", F.col("band") - 1)).alias("low"), F.col("band").alias("high"), F.col("m").alias("mh"))
+    shape = sizes.select("key", F.col("band").alias("low"), F.col("m").alias("ml")).join(large, ["key", "low"])
+    shape = stage(shape, "bands")  # (key, low, high, ml, mh): which bands meet, and their sizes
+    name = lambda p: [F.col(c).alias(c + p) for c in ("id", "n", "pos", "first", "second")]
+    each = lambda n: F.explode(F.sequence(F.lit(0), _blocks(n) - 1))
+    low = placed.select("key", F.col("band").alias("low"), F.col("own").alias("i"), *name("_x")).join(shape, ["key", "low"]).select("key", "low", "high", "i", each("mh").alias("j"), *[c + "_x" for c in ("id", "n", "pos", "first", "second")])
+    high = placed.select("key", F.col("band").alias("high"), F.col("own").alias("j"), *name("_y")).join(shape, ["key", "high"]).select("key", "low", "high", each("ml").alias("i"), "j", *[c + "_y" for c in ("id", "n", "pos", "first", "second")])
+    met = low.join(high, ["key", "low", "high", "i", "j"])
+    c = F.col
+    need = F.ceil((c("n_x") + c("n_y")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-9))
+    in_order = (c("n_x") < c("n_y")) | (c("n_x") == c("n_y")) & (c("id_x") < c("id_y"))
+    fits = in_order & (c("id_x") != c("id_y")) & (c("n_x") >= c("n_y") * F.lit(threshold) - F.lit(1e-9)) & (c("pos_x") <= c("n_x") - need) & (c("pos_y") <= c("n_y") - need)
+    known = lambda x: (c(x) == c("first_y")) | F.coalesce(c(x) == c("second_y"), F.lit(False))
+    first = F.when(known("first_x"), c("key") == c("first_x")).otherwise(~F.coalesce(known("second_x"), F.lit(False)) | (c("key") == c("second_x")))
+    return met.where(fits & first).select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
 
 
 def _by_bitmap(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -147,46 +250,58 @@ def exact_jaccard(pairs: DataFrame, threshold: float) -> DataFrame:
 
 
 def _sized(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.translate(valid(F.col(f"`{text_col}`")), "\n", " ").alias("text")).where(F.length("text") >= MIN_CHARS)
+    return docs.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.replace(valid(F.col(f"`{text_col}`")), F.lit("\n"), F.lit(" ")).alias("text")).where(F.length("text") >= MIN_CHARS)
 
 
 class NearDuplicates:
     """Classes of equal texts and the alike pairs between their representatives."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8):
-        if not 0.5 <= threshold <= 1:
-            raise ValueError("the tile keys are laid out for thresholds of 0.5 to 1")
+        if not 0 < threshold <= 1:
+            raise ValueError("the threshold is a share above 0")
+        spark = docs.sparkSession
         sized = _sized(docs, id_col, text_col)
-        self.signed = stage(signatures(sized), "signatures")
-        one = self.signed.groupBy("cls").agg(F.min(F.struct("id", "n", "keys")).alias("r")).select("r.*")
-        tiles = one.select("id", "n", F.explode("keys").alias("key"))
-        left, right = tiles.toDF("a", "n", "key"), tiles.toDF("b", "m", "key")
-        met = left.join(right, "key").where(F.col("a") < F.col("b")).where(_fits(threshold, "n", "m")).select("a", "b").distinct()
-        bits = self.signed.select("id", "cls", "n", "bits").groupBy("id", "cls").agg(F.min("n").alias("n"), F.min("bits").alias("bits")).drop("cls")
-        near = met.join(bits.toDF("a", "n", "x"), "a").join(bits.toDF("b", "m", "y"), "b")
+        keyed = stage(sized.select("id", F.unhex(F.md5("text")).alias("cls"), F.xxhash64("text").alias("h")), "classes")
+        least = keyed.groupBy("cls").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+        joined = stage(keyed.join(least, "cls").select("id", "rep", "copies", "h"), "members")
+        #: (id, rep, copies): the class of each document.
+        self.members = joined.select("id", "rep", "copies")
+        # Staged, so that its size is known: the copies are broadcast if they are few, else shuffled.
+        copies = stage(joined.where("id <> rep").select("id", "h"), "copies")
+        reps = sized.withColumn("h", F.xxhash64("text")).join(copies, ["id", "h"], "left_anti").select("id", "text")
+        signed = stage(signatures(reps), "signatures")
+        levels = spark.sparkContext.broadcast(gramsketch.merged(signed.where("part is not null").select("part", "counts")))
+        met = stage(_tile_pairs(tile_rows(reps, levels, threshold), threshold, HOT), "tiles")
+        hot = met.where("a is null").select("key", "id", "n", "pos", "first", "second")
+        pairs = met.where("a is not null").select("a", "b")
+        if not hot.isEmpty():
+            pairs = pairs.union(_hot_pairs(hot, threshold))
+        bits = signed.where("id is not null").select("id", "n", "bits").distinct()
+        near = pairs.distinct().join(bits.toDF("a", "n", "x"), "a").join(bits.toDF("b", "m", "y"), "b")
         # Staged, so that its size is known when the texts are met: a small table of ids is broadcast, a large one shuffled.
         left_over = stage(_by_bitmap(near, threshold), "candidates")
         wanted = left_over.select(F.col("a").alias("id")).union(left_over.select(F.col("b").alias("id"))).distinct()
-        needed = stage(sized.join(stage(wanted, "wanted"), "id", "left_semi"), "texts")
+        needed = stage(reps.join(stage(wanted, "wanted"), "id", "left_semi").distinct(), "texts")
         texts = left_over.join(needed.toDF("a", "x"), "a").join(needed.toDF("b", "y"), "b")
         #: (a, b, jaccard) between representatives, a < b.
         self.links = stage(exact_jaccard(texts, threshold).groupBy("a", "b").agg(F.max("jaccard").alias("jaccard")), "links")
-        least = self.signed.groupBy("cls").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-        #: (id, rep, copies): the class of each document.
-        self.members = stage(self.signed.select("id", "cls").join(least, "cls").select("id", "rep", "copies"), "members")
 
-    def pairs(self, expand: int = EXPAND) -> DataFrame:
-        """(a, b), a < b: every alike pair of documents.
+    def pairs(self) -> DataFrame:
+        """(a, b), a < b: every alike pair of documents, whatever the sizes of classes and groups.
 
-        Classes of up to `expand` equal texts are expanded into all their pairs. A larger class gives its
-        least id paired with each copy, and its links to other texts by that id: as many rows as copies, from
-        which all else follows, and no link between different texts is lost.
+        Copies meet in blocks of about `BLOCK`, so a hot class spreads over as many tasks as it has pairs of blocks.
         """
-        small = self.members.where(F.col("copies") <= expand).select("id", "rep")
-        large = self.members.where((F.col("copies") > expand) & (F.col("id") != F.col("rep"))).select(F.col("rep").alias("a"), F.col("id").alias("b"))
-        within = small.toDF("a", "rep").join(small.toDF("b", "rep"), "rep").where("a < b").select("a", "b").union(large)
-        members = self.members.where((F.col("copies") <= expand) | (F.col("id") == F.col("rep"))).select("id", "rep")
-        across = self.links.select(F.col("a").alias("ra"), F.col("b").alias("rb")).join(members.toDF("x", "ra"), "ra").join(members.toDF("y", "rb"), "rb").where("x <> y")
+        own = F.pmod(F.xxhash64("id"), _blocks("copies")).cast("int")
+        each = F.explode(F.sequence(F.lit(0), _blocks("copies") - 1))
+        several = self.members.where("copies > 1").withColumn("own", own)
+        x, y = several.select("rep", F.col("id").alias("a"), F.col("own").alias("i"), each.alias("j")), several.select("rep", F.col("id").alias("b"), each.alias("i"), F.col("own").alias("j"))
+        within = x.join(y, ["rep", "i", "j"]).where("a < b").select("a", "b")
+        # A link moves to each block of its two classes, and meets the ids of a block there.
+        sizes = self.members.where("id = rep").select("rep", "copies").distinct()
+        linked = self.links.select(F.col("a").alias("ra"), F.col("b").alias("rb")).join(sizes.toDF("ra", "na"), "ra").join(sizes.toDF("rb", "nb"), "rb")
+        spread = linked.select("ra", "rb", "nb", F.explode(F.sequence(F.lit(0), _blocks("na") - 1)).alias("i")).select("ra", "rb", "i", F.explode(F.sequence(F.lit(0), _blocks("nb") - 1)).alias("j"))
+        members = self.members.select("id", "rep", own.alias("own"))
+        across = spread.join(members.toDF("x", "ra", "i"), ["ra", "i"]).join(members.toDF("y", "rb", "j"), ["rb", "j"]).where("x <> y")
         return within.union(across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
 
     def groups(self) -> DataFrame:

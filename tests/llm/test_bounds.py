@@ -1,9 +1,10 @@
 """Cases that bounds once cut short."""
 
+import random
 from collections import Counter
 from itertools import combinations
 
-from sastra.llm import lines, lookalike, quality, queries, sentences
+from sastra.llm import lines, lookalike, neardup, quality, queries, sentences
 
 
 def frame(spark, texts):
@@ -63,3 +64,27 @@ def test_sequences_with_lines_between(spark, tmp_path):
     assert ("Head", "Head", "More", "Foot") in want
     near = lines.RepeatedLines(spark.read.parquet(f"{tmp_path}/documents.parquet")).sequences().collect()
     assert {tuple(r.lines) for r in near} == {("Head",), ("More",), ("Foot",), ("Head", "More")}
+
+
+def alike(texts):
+    grams = [{t[i : i + 5] for i in range(len(t) - 4)} for t in texts]
+    return {(i, j) for i in range(len(texts)) for j in range(i + 1, len(texts)) if len(grams[i] & grams[j]) >= 0.8 * len(grams[i] | grams[j]) - 1e-9}
+
+
+def test_hot_tiles_and_classes_lose_no_pair(spark, monkeypatch):
+    # a family of edited copies, with exact copies among them, in tiles and classes far above the bounds
+    rng = random.Random(3)
+    base = "".join(rng.choice("abcdefghijkl ") for _ in range(400))
+    texts = [base] * 9
+    for _ in range(60):
+        t = base
+        for _ in range(rng.randint(1, 12)):
+            i = rng.randrange(len(t))
+            t = t[:i] + rng.choice("mnopq") * rng.randint(0, 6) + t[i + rng.randint(0, 3) :]
+        texts += [t] * rng.randint(1, 3)
+    want = alike(texts)
+    for hot, block in ((400, 1000), (5, 4), (0, 2)):
+        monkeypatch.setattr(neardup, "HOT", hot)
+        monkeypatch.setattr(neardup, "BLOCK", block)
+        got = [tuple(r) for r in neardup.NearDuplicates(frame(spark, texts)).pairs().collect()]
+        assert len(got) == len(set(got)) and set(got) == want
