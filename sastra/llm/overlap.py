@@ -3,15 +3,19 @@
 A weighted cosine join between two sides, the training rows and the others:
 
 1. Rows with the same reading text form a class per side; one row stands for each class.
-2. A text is the vector of its distinct 5-grams, scaled to length 1. Terms are ordered from rare to
-   common by a hashed count sketch of the evaluation side: 2^22 bytes, whatever the corpus.
+2. A text is the vector of its distinct 5-grams, each with its weight, scaled to length 1. Terms are ordered
+   from rare to common by a count table of the evaluation side (`gramsketch`: a fixed size, on a scale that
+   does not fill up).
 3. Inverted lists hold a term at place i only while the rest of the vector from i on could still reach
    the threshold (its norm, the residual, is at least the threshold). The first term that two vectors
    share in that order is on both lists if their cosine reaches the threshold, so none is lost. Training
-   terms that the sketch has never seen on the other side are not listed.
+   terms that no evaluation text has are not listed.
 4. Lists meet where residual x residual, and residual sum x the other's largest weight, both reach the threshold.
-5. Exact dot products of the candidate pairs; alike means Jaccard >= t, which for equal weights implies
-   cosine >= 2t / (1 + t), the threshold of the join.
+5. Exact dot products of the candidate pairs.
+
+Two weightings: "equal" gives all terms one weight, for which Jaccard >= t implies cosine >= 2t / (1 + t), the
+threshold of the join, so `SplitOverlap` loses no pair; "idf" gives rare terms more, ln(1 + texts / texts with
+the term), for `weighted_overlap`, whose measure is the weighted cosine itself.
 
 Cases: null answers, null splits, null row ids and reading texts under 25 code points are in no pair; repeated rows each
 count under their own row id; empty sides give no rows; other columns are ignored.
@@ -20,69 +24,51 @@ count under their own row id; empty sides give no rows; other columns are ignore
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sastra.functions.text import valid
-from sastra.llm import textops
+from sastra.functions.text import BLANKS, once, valid
+from sastra.llm import classes, gramsketch, textops
 from sastra.plans.stage import stage
 
-SKETCH_BITS = 22
-CHUNKS = 64
 MIN_CHARS = 25
-#: Pairs of rows up to which two alike classes of copies are expanded.
-EXPAND = 1_000_000
 
 
 def reading_text(answer) -> F.Column:
     """What stands between the reference tags, or all of the answer without tags; blanks made even."""
     a = F.col(answer) if isinstance(answer, str) else answer
-    inside = F.regexp_extract_all(a, F.lit(r"(?s)<\|ref\|>(.*?)<\|/ref\|>"), F.lit(1))
+    # each piece before a closing tag, from its first opening tag on
+    pieces = F.split(a, r"<\|/ref\|>")
+    opened = F.filter(F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0))), lambda x: F.contains(x, F.lit("<|ref|>")))
+    inside = F.transform(opened, lambda x: x.substr(F.instr(x, "<|ref|>") + F.lit(7), F.length(x)))
     text = F.when(F.size(inside) > 0, F.array_join(inside, " ")).otherwise(a)
     text = F.regexp_replace(text, "[​-‍﻿]", "")
-    return F.regexp_replace(F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+", " "), "^ | $", "")
+    return F.trim(F.regexp_replace(text, f"[{BLANKS}]+", " "))
 
 
-def count_sketch(texts: DataFrame) -> np.ndarray:
-    """How many texts have a 5-gram in each of 2^22 hash buckets, up to 255 (uint8, 4 MB)."""
-    buckets, part = 1 << SKETCH_BITS, (1 << SKETCH_BITS) // CHUNKS
+def count_table(texts: DataFrame) -> np.ndarray:
+    """How common each 5-gram is among the texts; see `gramsketch`."""
 
     def count(batches):
-        total = np.zeros(buckets, np.uint16)
+        cells = gramsketch.CellCounts()
         for batch in batches:
             column = batch.column(0)
             for a, b in textops.chunks(column):
-                hashes, _ = textops.grams(*textops.codepoints(column.slice(a, b - a)))
-                hits = np.bincount((hashes & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
-                total = np.minimum(total + hits, 255).astype(np.uint16)
-        data = total.astype(np.uint8).reshape(CHUNKS, part)
-        yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array([x.tobytes() for x in data], pa.binary())], ["chunk", "counts"])
-
-    def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(part, np.int64)
-        for x in pdf["counts"]:
-            total += np.frombuffer(x, np.uint8)
-        return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "counts": [np.minimum(total, 255).astype(np.uint8).tobytes()]})
-
-    parts = texts.select("text").mapInArrow(count, "chunk int, counts binary").withColumn("lane", F.pmod(F.spark_partition_id(), F.lit(32)))
-    merged = parts.groupBy("chunk", "lane").applyInPandas(add, "chunk int, counts binary").groupBy("chunk").applyInPandas(add, "chunk int, counts binary")
-    out = np.zeros(buckets, np.uint8)
-    for row in merged.toLocalIterator():
-        out[row.chunk * part : (row.chunk + 1) * part] = np.frombuffer(row.counts, np.uint8)
-    return out
-
-
-def vector_order(hashes: np.ndarray, starts: np.ndarray, sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each vector's terms from rare to common, and their counts in the sketch."""
-    df = sketch[(hashes & np.uint64(len(sketch) - 1)).astype(np.int64)]
-    row = np.repeat(np.arange(len(starts) - 1), np.diff(starts)).astype(np.uint64)
-    order = np.argsort((row << np.uint64(52)) | (df.astype(np.uint64) << np.uint64(44)) | (hashes >> np.uint64(8)), kind="stable")
-    return hashes[order], df[order]
-
-
-def postings(texts: DataFrame, sketch, threshold: float, weighting: str, seen_only: bool) -> DataFrame:
+                cells.add(textops.grams(*textops.codepoints(column.slice(a, b - a)))[0])
+        yield pa.RecordBatch.from_arrays([pa.array(range(gramsketch.PARTS), pa.int32()), pa.array(cells.parts(), pa.binary())], ["part", "counts"])
+
+    return gramsketch.merged(texts.select("text").mapInArrow(count, "part int, counts binary"))
+
+
+def weights_of(level: np.ndarray, texts: int | None) -> np.ndarray:
+    """The weight of a term by its level in the count table of so many texts; all 1 for equal weights."""
+    if texts is None:
+        return np.ones(len(level))
+    return np.log1p(texts / np.maximum(np.exp2(level / 8.0) - 1, 0.5))
+
+
+def postings(texts: DataFrame, table, threshold: float, idf: int | None, seen_only: bool) -> DataFrame:
     """(term, id, residual, rest, top): the lists of (id, text); see the module's text, 3."""
 
     def run(batches):
@@ -91,10 +77,10 @@ def postings(texts: DataFrame, sketch, threshold: float, weighting: str, seen_on
             ids_all = batch.column(0).to_numpy()
             for a, b in textops.chunks(column):
                 hashes, starts = textops.grams(*textops.codepoints(column.slice(a, b - a)))
-                terms, df = vector_order(hashes, starts, sketch.value)
+                terms, level = gramsketch.rare_first(hashes, starts, table.value)
                 sizes = np.diff(starts)
                 row = np.repeat(np.arange(b - a), sizes)
-                w = np.ones(len(terms)) if weighting == "equal" else np.log(2.0 + 255.0 / (1.0 + df))
+                w = weights_of(level, idf)
                 squares = np.concatenate(([0.0], np.cumsum(w * w)))
                 norm = np.sqrt(squares[starts[1:]] - squares[starts[:-1]])
                 w = w / norm[row]
@@ -108,7 +94,7 @@ def postings(texts: DataFrame, sketch, threshold: float, weighting: str, seen_on
                     top[some] = np.maximum.reduceat(w, starts[:-1][some])
                 keep = residual >= threshold - 1e-6
                 if seen_only:
-                    keep &= df > 0
+                    keep &= level > 0
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(terms[keep].view(np.int64)), pa.array(ids_all[a:b][row[keep]]), *(pa.array(x[keep].astype(np.float32)) for x in (residual, rest, top[row]))],
                     ["term", "id", "residual", "rest", "top"],
@@ -117,19 +103,17 @@ def postings(texts: DataFrame, sketch, threshold: float, weighting: str, seen_on
     return texts.select("id", "text").mapInArrow(run, "term bigint, id bigint, residual float, rest float, top float")
 
 
-def cosine_candidates(left: DataFrame, right: DataFrame, threshold: float, weighting: str = "equal") -> DataFrame:
-    """(a, b): a superset of the pairs of (id, text) rows whose cosine reaches the threshold."""
-    spark = left.sparkSession
-    sketch = spark.sparkContext.broadcast(count_sketch(right))
-    x = postings(left, sketch, threshold, weighting, True).toDF("term", "a", "ra", "sa", "ta")
-    y = postings(right, sketch, threshold, weighting, False).toDF("term", "b", "rb", "sb", "tb")
+def cosine_candidates(left: DataFrame, right: DataFrame, table, threshold: float, idf: int | None = None) -> DataFrame:
+    """(a, b): a superset of the pairs of (id, text) rows whose cosine reaches the threshold; `table` counts the right side."""
+    x = postings(left, table, threshold, idf, True).toDF("term", "a", "ra", "sa", "ta")
+    y = postings(right, table, threshold, idf, False).toDF("term", "b", "rb", "sb", "tb")
     slack = F.lit(threshold - 1e-4)
     met = x.join(y, "term").where((F.col("ra") * F.col("rb") >= slack) & (F.col("sa") * F.col("tb") >= slack) & (F.col("sb") * F.col("ta") >= slack))
     return met.select("a", "b").distinct()
 
 
-def exact_scores(pairs: DataFrame) -> DataFrame:
-    """(a, b, cosine, jaccard) of (a, b, x, y): exact dot products over equal weights."""
+def exact_scores(pairs: DataFrame, table=None, idf: int | None = None) -> DataFrame:
+    """(a, b, cosine, jaccard) of (a, b, x, y): exact dot products, over equal weights or those of the table."""
 
     def run(batches):
         for batch in batches:
@@ -139,50 +123,64 @@ def exact_scores(pairs: DataFrame) -> DataFrame:
                 hashes, starts = textops.grams(*textops.codepoints(whole.dictionary.slice(s, e - s)))
                 sets += [hashes[i:j] for i, j in zip(starts[:-1], starts[1:])]
             index = whole.indices.to_numpy()
-            dots = np.array([len(np.intersect1d(sets[index[k]], sets[index[k + len(batch)]], assume_unique=True)) for k in range(len(batch))], np.float64)
-            n = np.array([len(sets[i]) for i in index], np.float64)
-            n, m = n[: len(batch)], n[len(batch) :]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(dots / np.sqrt(np.maximum(n * m, 1))), pa.array(dots / np.maximum(n + m - dots, 1))], ["a", "b", "cosine", "jaccard"])
+            square = lambda h: len(h) if idf is None else float((weights_of(table.value[(h & np.uint64(len(table.value) - 1)).astype(np.int64)], idf) ** 2).sum())
+            shared = [np.intersect1d(sets[index[k]], sets[index[k + len(batch)]], assume_unique=True) for k in range(len(batch))]
+            both = np.array([len(s) for s in shared], np.float64)
+            size = np.array([len(sets[i]) for i in index], np.float64)
+            norm = np.array([square(s) for s in sets])[index] if len(index) else size
+            dots = np.array([square(s) for s in shared], np.float64)
+            m = len(batch)
+            cosine = dots / np.sqrt(np.maximum(norm[:m] * norm[m:], 1e-12))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cosine), pa.array(both / np.maximum(size[:m] + size[m:] - both, 1))], ["a", "b", "cosine", "jaccard"])
 
     return pairs.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint, cosine double, jaccard double")
 
 
 class SplitOverlap:
-    """The overlaps of the training split with all other splits of a manifest."""
+    """The overlaps of the training split with all other splits of a manifest.
+
+    Pairs are alike where Jaccard is `threshold` or more; with `cosine`, where the idf-weighted cosine is that or more.
+    """
 
-    def __init__(self, manifest: DataFrame, threshold: float = 0.8, train: str = "train"):
-        rows = manifest.select(F.col("row_id").cast("bigint").alias("id"), "split", "source", reading_text(valid("answer")).alias("text"))
+    def __init__(self, manifest: DataFrame, threshold: float = 0.8, train: str = "train", cosine: float | None = None):
+        spark = manifest.sparkSession
+        rows = manifest.select(F.col("row_id").cast("bigint").alias("id"), "split", "source", once(reading_text(valid("answer"))).alias("text"))
         rows = rows.where((F.length("text") >= MIN_CHARS) & F.col("split").isNotNull() & F.col("id").isNotNull())
-        sided = rows.withColumn("side", (F.col("split") == train).cast("int")).withColumn("cls", F.md5("text"))
-        least = sided.groupBy("side", "cls").agg(F.min("id").alias("rep"))
-        #: (id, split, source, text, side, rep)
-        self.rows = stage(sided.join(least, ["side", "cls"]).drop("cls"), "manifest")
-        reps = self.rows.where("id = rep").select("side", "id", "text").dropDuplicates(["side", "id"])
+        read = stage(rows.withColumn("side", (F.col("split") == train).cast("int")).withColumn("cls", F.unhex(F.md5("text"))), "manifest")
+        least = read.groupBy("side", "cls").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+        #: (id, split, source, side, cls, rep, copies)
+        self.rows = stage(read.select("id", "split", "source", "side", "cls").join(least, ["side", "cls"]), "members")
+        # Staged, so that its size is known: the copies are broadcast if they are few, else shuffled.
+        copies = stage(self.rows.where("id <> rep").select("side", "cls", "id"), "copies")
+        reps = read.join(copies, ["side", "cls", "id"], "left_anti")
         trains, others = reps.where("side = 1").select("id", "text"), reps.where("side = 0").select("id", "text")
-        met = cosine_candidates(trains, others, 2 * threshold / (1 + threshold))
-        texts = met.join(trains.toDF("a", "x"), "a").join(others.toDF("b", "y"), "b")
+        table = spark.sparkContext.broadcast(count_table(others))
+        idf = None if cosine is None else others.count()
+        met = stage(cosine_candidates(trains, others, table, 2 * threshold / (1 + threshold) if cosine is None else cosine, idf), "candidates")
+        needed = lambda df, key: df.join(stage(met.select(F.col(key).alias("id")).distinct(), "wanted"), "id", "left_semi").distinct()
+        texts = met.join(needed(trains, "a").toDF("a", "x"), "a").join(needed(others, "b").toDF("b", "y"), "b")
+        scored = exact_scores(texts, table, idf)
+        near = F.col("jaccard") >= threshold - 1e-12 if cosine is None else F.col("cosine") >= cosine - 1e-12
         #: (a, b, cosine, jaccard) between class representatives, a on the training side.
-        self.links = stage(exact_scores(texts).where(F.col("jaccard") >= threshold - 1e-12), "overlaps")
+        self.links = stage(scored.where(near).groupBy("a", "b").agg(F.max("cosine").alias("cosine"), F.max("jaccard").alias("jaccard")), "overlaps")
 
     def pairs(self) -> DataFrame:
-        """(row_id_a, row_id_b): every pair across the sides, the smaller id first.
-
-        Two classes of copies with more than `EXPAND` pairs between them give each row paired with the other
-        class's least id, so every overlapping row is there.
-        """
-        counted = self.rows.groupBy("side", "rep").agg(F.count(F.lit(1)).alias("copies"))
-        size = lambda s, key, name: counted.where(f"side = {s}").select(F.col("rep").alias(key), F.col("copies").alias(name))
-        side = lambda s, key, name: self.rows.where(f"side = {s}").select(F.col("id").alias(name), F.col("rep").alias(key))
-        sized = self.links.select("a", "b").join(size(1, "a", "n"), "a").join(size(0, "b", "m"), "b").withColumn("all", F.col("n") * F.col("m") <= EXPAND)
-        every = sized.where("all").select("a", "b").join(side(1, "a", "x"), "a").join(side(0, "b", "y"), "b")
-        hot = sized.where("not all").select("a", "b")
-        left = hot.join(side(1, "a", "x"), "a").select("x", F.col("b").alias("y"))
-        right = hot.join(side(0, "b", "y"), "b").where(F.col("y") != F.col("b")).select(F.col("a").alias("x"), "y")
-        both = every.select("x", "y").union(left).union(right)
-        return both.select(F.least("x", "y").alias("row_id_a"), F.greatest("x", "y").alias("row_id_b"))
+        """(row_id_a, row_id_b): every pair across the sides, the smaller id first, whatever the sizes of classes."""
+        side = lambda s: self.rows.where(f"side = {s}").select("id", "rep", "copies")
+        return classes.pairs_across(self.links, side(1), side(0)).toDF("row_id_a", "row_id_b")
 
     def report(self) -> DataFrame:
         """(split, source, rows, overlapping, exact): the evaluation rows with a training partner, counted once."""
         best = self.links.groupBy("b").agg(F.max("jaccard").alias("best"), F.max((F.col("jaccard") >= 1).cast("int")).alias("same"))
         joined = self.rows.where("side = 0").join(best, F.col("rep") == F.col("b"), "left")
         return joined.groupBy("split", "source").agg(F.count(F.lit(1)).alias("rows"), F.count("best").alias("overlapping"), F.coalesce(F.sum("same"), F.lit(0)).alias("exact"))
+
+
+def weighted_overlap(manifest: DataFrame, cosine: float = 0.85, train: str = "train") -> DataFrame:
+    """(row_id, partner, cosine): each evaluation row that overlaps the training split by the weighted cosine, with its best partner.
+
+    The partner is the training text of the greatest cosine, of the least row id among equals.
+    """
+    found = SplitOverlap(manifest, train=train, cosine=cosine)
+    best = found.links.groupBy("b").agg(F.max(F.struct(F.round("cosine", 9).alias("c"), (-F.col("a")).alias("a"))).alias("m"))
+    return found.rows.where("side = 0").join(best, F.col("rep") == F.col("b")).select(F.col("id").alias("row_id"), (-F.col("m.a")).alias("partner"), F.col("m.c").alias("cosine"))

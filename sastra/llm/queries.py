@@ -57,6 +57,12 @@ def p3_report(spark: SparkSession, sf: str) -> DataFrame:
     return SplitOverlap(_texts(spark, sf, "manifest", "row_id", "split", "source", "answer")).report()
 
 
+def p3_weighted(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.overlap import weighted_overlap
+
+    return weighted_overlap(_texts(spark, sf, "manifest", "row_id", "split", "source", "answer"))
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.lines import RepeatedLines
 
@@ -75,6 +81,12 @@ def p4_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return RepeatedLines(_texts(spark, sf, "documents", "doc_id", "source", "text")).cleaned()
 
 
+def p4_cleaned_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.lines import RepeatedLines
+
+    return RepeatedLines(_texts(spark, sf, "documents", "doc_id", "source", "text")).cleaned(min_length=2)
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.sentences import sentence_ends
 
@@ -167,8 +179,28 @@ _FREQUENT = rf"""
 """
 
 
+#: Subsequences of each document's frequent lines, one more line at each step; a document counts once for each.
+_SEQUENCES = rf"""
+    WITH RECURSIVE frequent AS (SELECT * FROM ({_FREQUENT})),
+    items AS (
+        SELECT l.source, l.doc_id, l.pos, l.line_key FROM (
+            SELECT doc_id, source, pos, {_KEY.format('line')} AS line_key
+            FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL)
+        ) l JOIN frequent f ON l.source = f.source AND l.line_key = f.line_key
+    ),
+    grown(source, doc_id, lines, pos) AS (
+        SELECT source, doc_id, [line_key], min(pos) FROM items GROUP BY source, doc_id, line_key
+        UNION
+        SELECT g.source, g.doc_id, list_append(g.lines, i.line_key), i.pos FROM grown g JOIN items i ON g.doc_id = i.doc_id AND i.pos > g.pos
+    ),
+    sizes AS (SELECT source, count(*) AS n FROM documents GROUP BY source)
+    SELECT g.source, lines, count(DISTINCT doc_id) AS docs FROM grown g JOIN sizes s ON g.source = s.source GROUP BY g.source, lines, n HAVING count(DISTINCT doc_id) >= 4 AND count(DISTINCT doc_id) * 10 >= n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p4_sequences": _SEQUENCES,
         "p2_found": _alike_sql("SELECT doc_id AS id, true AS side, translate(text, chr(10), ' ') AS t FROM documents", "doc_id_a", "doc_id_b", ""),
         "p3_found": _alike_sql(_READING, "row_id_a", "row_id_b", " AND x.side <> y.side"),
         "p4_found": _FREQUENT,

@@ -174,6 +174,45 @@ def test_overlap_equals_brute_force(spark):
     assert overlap.SplitOverlap(df.where("split = 'val'")).pairs().count() == 0
 
 
+def test_overlap_of_classes_over_blocks(spark, monkeypatch):
+    monkeypatch.setattr(overlap.classes.pairs_across, "__defaults__", (2,))
+    base = "many rows read the same to the eye"
+    df = spark.createDataFrame([(i, s, "x", base) for i, s in enumerate(["train"] * 7 + ["val"] * 5)], "row_id bigint, split string, source string, answer string")
+    assert sorted(tuple(r) for r in overlap.SplitOverlap(df).pairs().collect()) == [(i, j) for i in range(7) for j in range(7, 12)]
+
+
+def test_weighted_cosine_equals_brute_force(spark):
+    rng = random.Random(21)
+    rows = []
+    for _ in range(30):
+        base = "".join(rng.choice("abcdefg ") for _ in range(rng.choice([40, 200])))
+        rows += [("train", base), ("val", edited(rng, base, rng.randint(0, 1 + len(base) // 12)))]
+    df = spark.createDataFrame([(i, s, "x", a) for i, (s, a) in enumerate(rows)], "row_id bigint, split string, source string, answer string")
+    texts = [" ".join(a.split()) for _, a in rows]
+    sets = [textops.grams(*textops.codepoints(pa.array([t])))[0] for t in texts]
+    counts = {}
+    for (s, _), h in zip(rows, sets):
+        for c in (h & np.uint64((1 << 22) - 1)).tolist() if s == "val" else ():
+            counts[c] = counts.get(c, 0) + 1
+    evals = sum(s == "val" for s, _ in rows)
+
+    def weight(h):
+        c = counts.get(int(h) & ((1 << 22) - 1), 0)
+        return math.log1p(evals / max(2 ** (round(8 * math.log2(c + 1)) / 8) - 1, 0.5))
+
+    vectors = [{int(h): weight(h) for h in hs} for hs in sets]
+    norm = lambda v: math.sqrt(sum(w * w for w in v.values()))
+    cos = lambda x, y: sum(w * w for h, w in x.items() if h in y) / norm(x) / norm(y)
+    want = {}
+    for j, (s, _) in enumerate(rows):
+        scores = [(cos(vectors[i], vectors[j]), -i) for i, (t, _) in enumerate(rows) if t == "train"] if s != "train" else [(0, 0)]
+        best = max((round(c, 9), i) for c, i in scores)
+        if best[0] >= 0.7:
+            want[j] = (-best[1], round(best[0], 6))
+    got = {r.row_id: (r.partner, round(r.cosine, 6)) for r in overlap.weighted_overlap(df, cosine=0.7).collect()}
+    assert got == want and 10 < len(want)
+
+
 # Lines ---------------------------------------------------------------------------------------------
 
 
@@ -185,6 +224,8 @@ def test_lines_and_sequences(spark):
     assert {(r.source, r.line_key, r.docs) for r in found.frequent_lines().collect()} == {("s", "Home page 0", 7), ("s", "(c) Site", 6), ("s", "All rights 0", 6)}
     sequences = {(tuple(r["lines"]), r.docs) for r in found.sequences().collect()}
     assert (("(c) Site", "All rights 0"), 6) in sequences and len(sequences) == 4
+    pairs = {r.doc_id: r.text for r in found.cleaned(min_length=2).collect()}
+    assert pairs[0] == "Home page\t0\nunique a line\n123\n" and pairs[8] == "Home page 7\nx y" and pairs[6] is None
     clean = {r.doc_id: r.text for r in found.cleaned().collect()}
     assert clean[0] == "unique a line\n123\n" and clean[6] is None and clean[9] == "Home page 1\nz" and clean[10] == "Home page 1"
 
@@ -234,16 +275,6 @@ def test_same_to_the_eye(spark):
     assert got == {(i, j) for i in range(n) for j in range(i + 1, n)}
 
 
-def test_large_groups_as_stars(spark, monkeypatch):
-    monkeypatch.setattr(lookalike, "EXPAND", 3)
-    base = "many documents read the same to the eye"
-    texts = [base, base + " ", base, " " + base, base + "\n"]
-    assert sorted(tuple(r) for r in lookalike.same_to_the_eye(frame(spark, texts)).collect()) == [(0, 1), (0, 3), (0, 4), (1, 2)]
-    monkeypatch.setattr(overlap, "EXPAND", 3)
-    df = spark.createDataFrame([(i, s, "x", base) for i, s in enumerate(["train"] * 3 + ["val"] * 2)], "row_id bigint, split string, source string, answer string")
-    assert sorted(tuple(r) for r in overlap.SplitOverlap(df).pairs().collect()) == [(0, 3), (0, 4), (1, 3), (2, 3)]
-
-
 def test_forms():
     f = lookalike.plain_form
     assert f("ﬁne­ ½") == "fine 1⁄2"
