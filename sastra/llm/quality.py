@@ -81,22 +81,23 @@ def folded(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out[keep], np.concatenate(([0], np.cumsum(keep)))[offsets]
 
 
-class CommonWords:
-    """Finds the common words of all languages in an array of code points."""
-
-    def __init__(self, words: list[str]):
-        #: Sorted hashes by length: of words of scripts without spaces, which may stand anywhere, and of others.
-        self.joined: dict[int, np.ndarray] = {}
-        by: dict[int, list[int]] = {}
-        spaced = []
-        for w in set(words):
+class WordMarks:
+    """Marks the code points that stand in known words, each word with bits of its own."""
+
+    def __init__(self, words: dict[str, int]):
+        #: Sorted hashes and bits by length, of words of scripts without spaces, which may stand anywhere; and of others.
+        self.joined: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        by: dict[int, dict[int, int]] = {}
+        spaced: dict[int, dict[int, int]] = {}
+        for w, bits in words.items():
             codes = [int(x) for x in fold_table()[[ord(c) for c in w]] if x]
-            if any(a <= codes[0] < b for a, b in SCRIPTS.values()):
-                by.setdefault(len(codes), []).append(self.hash(codes))
-            else:
-                spaced.append(self.hash(codes))
-        self.joined = {k: np.array(sorted(v), np.uint64) for k, v in by.items()}
-        self.spaced = np.array(sorted(spaced), np.uint64)
+            if codes:
+                group = by if any(a <= codes[0] < b for a, b in SCRIPTS.values()) else spaced
+                known = group.setdefault(len(codes), {})
+                h = self.hash(codes)
+                known[h] = known.get(h, 0) | bits
+        table = lambda d: {k: (np.array(sorted(v), np.uint64), np.array([v[h] for h in sorted(v)], np.uint32)) for k, v in d.items()}
+        self.joined, self.spaced = table(by), table(spaced)
 
     @staticmethod
     def hash(codes) -> int:
@@ -106,16 +107,15 @@ class CommonWords:
         return h
 
     @staticmethod
-    def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
-        if not len(known):
-            return np.zeros(len(values), bool)
-        at = np.minimum(np.searchsorted(known, values), len(known) - 1)
-        return known[at] == values
-
-    def covered(self, flat: np.ndarray, kind: np.ndarray) -> np.ndarray:
-        """Which code points stand in a common word."""
+    def _bits(values: np.ndarray, known: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """The bits of each hash, 0 where it is of no known word."""
+        at = np.minimum(np.searchsorted(known[0], values), len(known[0]) - 1)
+        return np.where(known[0][at] == values, known[1][at], 0)
+
+    def marks(self, flat: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """The bits of all words that each code point stands in (uint32), in one pass for all lists of words."""
         n = len(flat)
-        out = np.zeros(n, bool)
+        out = np.zeros(n, np.uint32)
         p = np.uint64(0x9E3779B97F4A7C15)
         plain = np.zeros(n, bool)
         for a, b in SCRIPTS.values():
@@ -126,24 +126,24 @@ class CommonWords:
             inside = at + k <= n
             at, h = at[inside], h[inside]
             h = h * p + flat[at + k - 1] + np.uint64(1)
-            hits = at[self._among(h, self.joined.get(k, np.zeros(0, np.uint64)))]
-            for j in range(k):
-                out[hits + j] = True
+            if k in self.joined:
+                bits = self._bits(h, self.joined[k])
+                hit = bits > 0
+                for j in range(k):
+                    out[at[hit] + j] |= bits[hit]
         # words of spaced scripts: whole runs of letters
         word = (kind == LETTER) & ~plain
         start = np.flatnonzero(word & ~np.concatenate(([False], word[:-1])))
-        stop = np.flatnonzero(word & ~np.concatenate((word[1:], [False]))) + 1
-        short = stop - start <= 12
-        start, stop = start[short], stop[short]
-        h, live = np.zeros(len(start), np.uint64), np.ones(len(start), bool)
-        for k in range(12):
-            live = start + k < stop
-            if not live.any():
-                break
-            h[live] = h[live] * p + flat[start[live] + k] + np.uint64(1)
-        hit = self._among(h, self.spaced)
-        for a, b in zip(start[hit], stop[hit]):
-            out[a:b] = True
+        size = np.flatnonzero(word & ~np.concatenate((word[1:], [False]))) + 1 - start
+        for k, known in self.spaced.items():
+            at = start[size == k]
+            h = np.zeros(len(at), np.uint64)
+            for j in range(k):
+                h = h * p + flat[at + j] + np.uint64(1)
+            bits = self._bits(h, known)
+            hit = bits > 0
+            for j in range(k):
+                out[at[hit] + j] |= bits[hit]
         return out
 
 
@@ -163,7 +163,7 @@ def _sum(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return total[ends] - total[starts]
 
 
-def line_features(flat: np.ndarray, offsets: np.ndarray, words: CommonWords) -> dict[str, np.ndarray]:
+def line_features(flat: np.ndarray, offsets: np.ndarray, words: WordMarks) -> dict[str, np.ndarray]:
     """Counts per line of all texts; a line never crosses a text's end."""
     n = len(flat)
     kind = char_table()[flat]
@@ -191,7 +191,7 @@ def line_features(flat: np.ndarray, offsets: np.ndarray, words: CommonWords) ->
         dots[:-3] &= stop[1:-2] & stop[2:-1] & stop[3:]
         dots[-3:] = False
     out["leaders"] = _sum(dots, a, b)
-    out["common"] = _sum(words.covered(flat, kind) & (kind == LETTER), a, b)
+    out["common"] = _sum((words.marks(flat, kind) > 0) & (kind == LETTER), a, b)
     # the last character of a line that is neither blank nor closing, and the first that isn't blank
     where = np.where(seen & (role & 2 == 0), np.arange(n), -1)
     first = np.where(seen, np.arange(n), n)
@@ -253,7 +253,7 @@ def document_statistics(docs: DataFrame, words: list[str], id_col: str = "doc_id
     """(id, script, and `FIELDS`) of each document; shares are null where there is nothing to share."""
 
     def run(batches):
-        known = CommonWords(words)
+        known = WordMarks(dict.fromkeys(words, 1))
         for batch in batches:
             texts = batch.column(1)
             for s, e in textops.chunks(texts):

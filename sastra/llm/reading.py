@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sastra.functions.text import valid
 from sastra.llm import textops
-from sastra.llm.quality import BLANK, DIGIT, LETTER, SCRIPTS, CommonWords, _sum, char_table, folded, role_table
+from sastra.llm.quality import BLANK, DIGIT, LETTER, SCRIPTS, WordMarks, _sum, char_table, folded, role_table
 from sastra.plans.stage import stage
 
 MAX_GRADES = 20_000
@@ -35,7 +35,22 @@ SUBORDINATORS = "that which who whose where whom ដែល ពេល កាល 
 NAMES = ["sentence", "word", "long", "common", "rank", "connective", "subordinate", "comma", "bracket", "diversity", "length", "digits", "compound"]
 
 
-def raw_features(flat: np.ndarray, offsets: np.ndarray, grams_share: np.ndarray, common: CommonWords, ranks: list[tuple[float, CommonWords]], connectives: CommonWords, subordinators: CommonWords) -> tuple[np.ndarray, np.ndarray]:
+#: Bits of the words: common ones by rank (below 8, below 20, others), connectives, subordinators.
+RANKS, CONNECTIVE, SUBORDINATOR = ((1, 8), (2, 20), (4, 1 << 30)), 8, 16
+
+
+def known_words(words: list[tuple[str, int]]) -> WordMarks:
+    bits: dict[str, int] = {}
+    for w, rank in words:
+        bits[w] = bits.get(w, 0) | next((b for b, most in RANKS if rank < most), RANKS[-1][0])
+    for w in CONNECTIVES:
+        bits[w] = bits.get(w, 0) | CONNECTIVE
+    for w in SUBORDINATORS:
+        bits[w] = bits.get(w, 0) | SUBORDINATOR
+    return WordMarks(bits)
+
+
+def raw_features(flat: np.ndarray, offsets: np.ndarray, grams_share: np.ndarray, known: WordMarks) -> tuple[np.ndarray, np.ndarray]:
     """The features of each folded text (rows) and its number of letters."""
     n = len(flat)
     a, b = offsets[:-1], offsets[1:]
@@ -57,13 +72,13 @@ def raw_features(flat: np.ndarray, offsets: np.ndarray, grams_share: np.ndarray,
     long[starts[(ends - starts + 1) >= 9]] = True
     run = np.zeros(n, bool)
     run[starts] = True
-    covered = common.covered(flat, kind)
+    marks = known.marks(flat, kind)
+    covered = marks & 7 > 0
     weight = np.zeros(len(a))
-    for value, part in ranks:
-        weight += value * _sum(part.covered(flat, kind), a, b)
+    for value, (bit, _) in enumerate(RANKS, 1):
+        weight += value * _sum(marks & bit > 0, a, b)
     shared = np.maximum(_sum(covered, a, b), 1)
-    joins = connectives.covered(flat, kind)
-    subs = subordinators.covered(flat, kind)
+    joins, subs = marks & CONNECTIVE > 0, marks & SUBORDINATOR > 0
     comma = np.isin(flat, [44, 0xFF0C, 0x3001, 59, 0xFF1B, 0x17D6])
     bracket = np.isin(flat, [40, 0xFF08, 0xAB, 0x201C, 0x300C, 34])
     hyphen = flat == 45
@@ -101,8 +116,7 @@ def feature_rows(docs: DataFrame, words: list[tuple[str, int]], id_col: str = "d
     """(id, script, x) of each text with letters, or, with `score`, (id, level, expected) of every text."""
 
     def run(batches):
-        common, connectives, subordinators = CommonWords([w for w, _ in words]), CommonWords(CONNECTIVES), CommonWords(SUBORDINATORS)
-        ranks = [(v, CommonWords([w for w, r in words if lo <= r < hi])) for v, lo, hi in ((1.0, 0, 8), (2.0, 8, 20), (3.0, 20, 1 << 30))]
+        known = known_words(words)
         for batch in batches:
             texts = batch.column(1)
             for s, e in textops.chunks(texts):
@@ -110,7 +124,7 @@ def feature_rows(docs: DataFrame, words: list[tuple[str, int]], id_col: str = "d
                 flat, offsets = folded(whole, places)
                 _, starts = textops.grams(flat, offsets)
                 share = np.diff(starts) / np.maximum(np.diff(offsets) - textops.GRAM + 1, 1)
-                x, letters = raw_features(flat, offsets, share, common, ranks, connectives, subordinators)
+                x, letters = raw_features(flat, offsets, share, known)
                 script = scripts_of(flat, offsets, letters)
                 ids, some = batch.column(0).slice(s, e - s), letters > 0
                 if score is None:
