@@ -1,15 +1,19 @@
 """Problem 1: statistics per document that set prose apart from lists, tables, menus and junk.
 
-All statistics come from array passes over whole texts (no loop over characters). Each gets a mergeable
-quantile sketch (KLL) per script group, in one aggregation whose partial sketches have fixed size; values
-turn into robust z-scores against the sketch's quartiles, and the tails are flagged. Whether a document is
-junk depends on its own text only; the tail, a flag of its own, depends on its group.
-
-The share of running text is the key statistic: a line runs if it holds enough common words of its
-language for its letters, or ends as a sentence does and isn't built as a list, table, menu or code.
+1. Array passes over whole texts (no loop over characters) give statistics of each line and each document.
+2. The lines that are written as sentences are (no item signs, long enough, closed by a final mark where the
+   language has one) give one mergeable quantile sketch (KLL) per statistic and language. Lists and junk are
+   hardly ever among these lines, so a source full of them doesn't move the sketches.
+3. Each line's statistics turn into robust z-scores against its language's quartiles, as far as a line of its
+   length can vary. A line in the tail of one of them (few common words, few letters, many symbols, separators,
+   digits or code characters, short or endless stretches between blanks) is no running text; nor is one with an
+   item's sign, dot leaders, or a key and a value.
+4. A document is junk where more than half of its filled characters stand in such lines or in repeated stretches.
+5. The documents' own statistics get sketches per language, z-scores and a tail flag, too.
 
 Cases: null, empty and blank texts have zero counts and null shares and are not flagged; texts under 25 code
-points are not flagged; groups under `MIN_GROUP` documents are judged against all documents; very long
+points are not flagged; a language with under `MIN_GROUP` sentence lines (or documents) is judged by its
+script's quantiles, then by those of all; where there are none at all only the signs of items count; very long
 texts count whole; repeated rows are rows.
 """
 
@@ -23,7 +27,6 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from sastra.functions.text import valid
 from sastra.llm import textops
@@ -147,11 +150,16 @@ class WordMarks:
         return out
 
 
-#: A line runs from this share of its letters in common words on: of words found anywhere (scripts without
-#: spaces), and of whole words.
-COMMON_JOINED, COMMON_SPACED = 0.07, 0.02
-#: Between blanks, items of scripts without spaces are shorter on average than the phrases of sentences.
-PHRASE = 9.0
+#: Line statistics: the direction of the tail (+ high, - low) and the least spread, so that equal values aren't overrated.
+LINE = {"common": (-1, 0.02), "letter": (-1, 0.04), "symbol": (1, 0.02), "code": (1, 0.02), "separator": (1, 0.012), "digit": (1, 0.05), "phrase": (-1, 0.15)}
+#: A line is in the tail from so many robust deviations on; a final mark takes one off, but for symbols' sake.
+TAIL, MARKED = 2.8, ("common", "letter", "digit", "phrase")
+#: Shares of lines shorter than this vary more, by the fourth root of the length.
+FULL_LINE = 100
+#: From how many filled characters on a line is a sample of sentences.
+SAMPLE = 40
+#: Scripts that are written without final marks.
+UNMARKED = ("thai",)
 #: A stretch of this length that occurs so often is repeated over and over.
 STRETCH, TIMES = 20, 3
 FIELDS = ["n_chars", "n_words", "n_lines", "mean_word", "symbol_ratio", "digit_ratio", "end_share", "common_share", "repeat_share", "junk_share"]
@@ -163,8 +171,8 @@ def _sum(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return total[ends] - total[starts]
 
 
-def line_features(flat: np.ndarray, offsets: np.ndarray, words: WordMarks) -> dict[str, np.ndarray]:
-    """Counts per line of all texts; a line never crosses a text's end."""
+def line_features(flat: np.ndarray, offsets: np.ndarray, marks: np.ndarray) -> dict[str, np.ndarray]:
+    """Counts per line of all texts, `marks` being the bits of common words; a line never crosses a text's end."""
     n = len(flat)
     kind = char_table()[flat]
     role = role_table()[flat]
@@ -177,21 +185,18 @@ def line_features(flat: np.ndarray, offsets: np.ndarray, words: WordMarks) -> di
     out = {"row": row, "start": a, "end": b, "filled": _sum(seen, a, b), "letters": _sum(kind == LETTER, a, b), "digits": _sum(kind == DIGIT, a, b)}
     out["symbols"] = _sum(kind == SYMBOL, a, b)
     out["separators"] = _sum(role & 4 > 0, a, b)
-    out["joined"] = _sum((kind == LETTER) & (flat >= 0xE00) & ((flat < 0xE80) | (flat >= 0x1780) & (flat < 0x1800)), a, b)
-    out["spaced"] = _sum((kind == LETTER) & ((flat < 0xE00) | (flat >= 0x1E00) & (flat < 0x2000)), a, b)
     begins = seen & ~np.concatenate(([False], seen[:-1]))
     out["words"] = _sum(begins, a, b)
-    out["marks"] = _sum(role & 1 > 0, a, b)
     out["code"] = _sum(role & 16 > 0, a, b)
     out["keyed"] = _sum((flat == 0x3A) | (flat == 0xFF1A), a, b) > 0
-    dots = np.concatenate((flat[:-3] == 46, [False] * min(3, n)))[:n] if n > 3 else np.zeros(n, bool)
+    dots = np.zeros(n, bool)
     if n > 3:
         stop = (flat == 46) | (flat == 0xFF0E)
         dots = stop.copy()
         dots[:-3] &= stop[1:-2] & stop[2:-1] & stop[3:]
         dots[-3:] = False
     out["leaders"] = _sum(dots, a, b)
-    out["common"] = _sum((words.marks(flat, kind) > 0) & (kind == LETTER), a, b)
+    out["common"] = _sum(marks > 0, a, b)
     # the last character of a line that is neither blank nor closing, and the first that isn't blank
     where = np.where(seen & (role & 2 == 0), np.arange(n), -1)
     first = np.where(seen, np.arange(n), n)
@@ -211,19 +216,6 @@ def line_features(flat: np.ndarray, offsets: np.ndarray, words: WordMarks) -> di
     return out
 
 
-def running(f: dict[str, np.ndarray]) -> np.ndarray:
-    """Which lines are running text."""
-    letters = np.maximum(f["letters"], 1)
-    filled = np.maximum(f["filled"], 1)
-    common = f["common"] / letters
-    latin = f["spaced"] > letters / 2
-    worded = (f["letters"] >= 0.55 * filled) & (f["symbols"] <= 0.25 * filled)
-    list_like = f["bullet"] | (f["leaders"] > 0) & (f["digits"] > 0) | (f["code"] > 0.12 * filled) | (f["separators"] > 0.10 * filled) | f["keyed"] & ~f["ends"] & (f["filled"] < 80)
-    itemised = (f["joined"] > letters / 2) & (f["words"] > 5) & (f["filled"] / np.maximum(f["words"], 1) < PHRASE) & (f["marks"] <= 1) & (common < 0.15)
-    enough = np.where(latin, np.where(f["letters"] < 120, COMMON_SPACED, 2.5 * COMMON_SPACED), COMMON_JOINED)
-    return worded & ~list_like & ~itemised & ((common >= enough) | f["ends"] & ((common > 0.02) | (f["filled"] < 60)))
-
-
 def repeated(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Which code points start a stretch that its text holds `TIMES` times or more."""
     out = np.zeros(len(flat), bool)
@@ -249,11 +241,32 @@ def repeated(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def document_statistics(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, script, and `FIELDS`) of each document; shares are null where there is nothing to share."""
+_LINES = "array<struct<group:int,filled:int,cover:int,item:boolean,ends:boolean,sample:boolean," + ",".join(f"{x}:float" for x in LINE) + ">>"
+
+
+class Languages:
+    """The groups of lines and documents: the scripts without spaces, then the languages of the others, then none of them."""
+
+    def __init__(self, words: list[tuple[str, str | None]]):
+        plain = lambda w: any(a <= ord(w[0]) < b for a, b in SCRIPTS.values())
+        self.spaced = sorted({lang for w, lang in words if w and lang and not plain(w)})[:30]
+        bits: dict[str, int] = {}
+        for w, lang in words:
+            if w:
+                bits[w] = bits.get(w, 0) | 1 | (2 << self.spaced.index(lang) if lang in self.spaced and not plain(w) else 0)
+        self.words = bits
+        self.names = [*SCRIPTS, *self.spaced, "other"]
+        #: The script of each group: all languages with spaces have one.
+        self.scripts = [*SCRIPTS, *["spaced"] * (len(self.spaced) + 1)]
+
+
+def document_statistics(docs: DataFrame, words: list[tuple[str, str | None]], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, lang, counts, shares, lines) of each document; shares are null where there is nothing to share."""
+    languages = Languages(words)
 
     def run(batches):
-        known = WordMarks(dict.fromkeys(words, 1))
+        known = WordMarks(languages.words)
+        other = len(languages.names) - 1
         for batch in batches:
             texts = batch.column(1)
             for s, e in textops.chunks(texts):
@@ -262,18 +275,30 @@ def document_statistics(docs: DataFrame, words: list[str], id_col: str = "doc_id
                 flat, offsets = folded(whole, places)
                 n = e - s
                 a, b = offsets[:-1], offsets[1:]
-                f = line_features(flat, offsets, known)
+                kind = char_table()[flat]
+                marks = np.where(kind == LETTER, known.marks(flat, kind), 0)
+                f = line_features(flat, offsets, marks)
                 row = f["row"]
                 per = lambda x: np.bincount(row, weights=x, minlength=n)[:n]  # noqa: B023, E731
                 full = f["filled"] > 0
                 filled, letters = per(f["filled"]), per(f["letters"])
-                kind = char_table()[flat]
-                inside = kind != BLANK
-                runs = running(f)
-                again = repeated(flat, offsets)
+                # the script of most letters, else the language with most common words
+                line_group, group = np.full(len(row), -1), np.full(n, -1)
+                for i, (lo, hi) in enumerate(SCRIPTS.values()):
+                    count = _sum((flat >= lo) & (flat < hi) & (kind == LETTER), f["start"], f["end"])
+                    line_group[2 * count > f["letters"]] = i
+                    group[2 * per(count) > letters] = i
+                best, most = np.full(n, other), np.zeros(n)
+                for i in range(len(languages.spaced)):
+                    count = _sum(marks & (2 << i) > 0, a, b)
+                    best = np.where(count > most, len(SCRIPTS) + i, best)
+                    most = np.maximum(most, count)
+                group = np.where(group < 0, best, group)
+                line_group = np.where(line_group < 0, best[row], line_group)
                 # the code points that a repeated stretch covers
+                again = repeated(flat, offsets)
                 cover = np.convolve(again, np.ones(STRETCH, np.int8))[: len(flat)] > 0 if again.any() else again
-                cover &= inside
+                cover &= kind != BLANK
                 n_words = per(f["words"])
                 with np.errstate(divide="ignore", invalid="ignore"):
                     values = {
@@ -283,51 +308,133 @@ def document_statistics(docs: DataFrame, words: list[str], id_col: str = "doc_id
                         "end_share": per(f["ends"] & full) / per(full),
                         "common_share": per(f["common"]) / letters,
                         "repeat_share": _sum(cover, a, b) / filled,
-                        "junk_share": (per(np.where(runs, 0, f["filled"])) + per(np.where(runs, _sum(cover, f["start"], f["end"]), 0))) / filled,
                     }
-                n_words = n_words.astype(np.int64)
-                script = np.full(n, "other", object)
-                best = letters / 2 - 1e-9
-                row_of = textops.rows_of(offsets)
-                for name, (lo, hi) in SCRIPTS.items():
-                    count = np.bincount(row_of[(flat >= lo) & (flat < hi) & (kind == LETTER)], minlength=n)
-                    script[(count > best) & (letters > 0)] = name
-                columns = [batch.column(0).slice(s, n), pa.array(script, pa.string()), pa.array(np.diff(places), pa.int64()), pa.array(n_words, pa.int64()), pa.array(per(full).astype(np.int64), pa.int64())]
+                some, some_letters, phrases = np.maximum(f["filled"], 1), np.maximum(f["letters"], 1), np.maximum(f["words"], 1)
+                phrase = np.log(some / phrases)
+                item = f["bullet"] | (f["leaders"] > 0) & (f["digits"] > 0) | f["keyed"] & ~f["ends"] & (f["filled"] < 80)
+                unmarked = np.isin(line_group, [i for i, x in enumerate(languages.names) if x in UNMARKED])
+                lines = {
+                    "group": line_group.astype(np.int32), "filled": f["filled"].astype(np.int32), "cover": _sum(cover, f["start"], f["end"]).astype(np.int32), "item": item, "ends": f["ends"],
+                    "sample": (f["filled"] >= SAMPLE) & ~f["bullet"] & ~f["keyed"] & (f["ends"] | unmarked),
+                    "common": f["common"] / some_letters, "letter": f["letters"] / some, "symbol": f["symbols"] / some, "code": f["code"] / some, "separator": f["separators"] / some, "digit": f["digits"] / some, "phrase": phrase,
+                }
+                arrays = [pa.array(v.astype(np.float32) if k in LINE else v) for k, v in lines.items()]
+                listed = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32()), pa.StructArray.from_arrays(arrays, list(lines)))
+                counts = [np.diff(places), n_words.astype(np.int64), per(full).astype(np.int64)]
+                columns = [batch.column(0).slice(s, n), pa.array(np.array(languages.names)[group], pa.string()), pa.array(np.array(languages.scripts)[group], pa.string()), *(pa.array(x, pa.int64()) for x in counts)]
                 columns += [pa.array(v, pa.float64(), mask=~np.isfinite(v)) for v in values.values()]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "script", *FIELDS])
+                yield pa.RecordBatch.from_arrays([*columns, listed], ["id", "lang", "script", *FIELDS[:-1], "lines"])
 
-    schema = "id bigint, script string, n_chars bigint, n_words bigint, n_lines bigint, " + ", ".join(f"{x} double" for x in STATISTICS)
+    schema = "id bigint, lang string, script string, n_chars bigint, n_words bigint, n_lines bigint, " + ", ".join(f"{x} double" for x in STATISTICS[:-1]) + f", lines {_LINES}"
     return docs.select(F.col(id_col).cast("bigint").alias("id"), valid(text_col).alias("text")).mapInArrow(run, schema)
 
 
-def sketch_quantiles(stats: DataFrame, columns: list[str] = STATISTICS, ranks: tuple[float, ...] = (0.25, 0.5, 0.75), k: int = 400) -> DataFrame:
-    """(script, n, column_25, column_50, ...): quantiles from one KLL sketch per statistic and group, with the group of all (script null)."""
-    sketches = stats.rollup("script").agg(F.count(F.lit(1)).alias("n"), F.grouping("script").alias("g"), *[F.kll_sketch_agg_double(c, F.lit(k)).alias(c) for c in columns])
-    out = [F.when(F.col(c).isNotNull() & (F.kll_sketch_get_n_double(c) > 0), F.kll_sketch_get_quantile_double(F.col(c), F.lit(float(q)))).alias(f"{c}_{round(q * 100)}") for c in columns for q in ranks]
-    return sketches.select(F.when(F.col("g") == 0, F.col("script")).alias("script"), "n", "g", *out)
+RANKS = (0.25, 0.5, 0.75)
 
 
-def flagged(docs: DataFrame, words: list[str], id_col: str = "doc_id", text_col: str = "text", tail: float = 2.0, least: float = 0.5) -> DataFrame:
-    """All statistics with the robust z-score of each, `is_junk` and `in_tail`.
+def sketch_quantiles(rows: DataFrame, columns: list[str], k: int = 400) -> DataFrame:
+    """(script, lang, n, column_25, column_50, column_75): quartiles from one KLL sketch per statistic and language.
+
+    The sketches of a script (lang null) and of all (both null) are of the same aggregation.
+    """
+    sketches = rows.rollup("script", "lang").agg(F.count(F.lit(1)).alias("n"), *[F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(k)).alias(c) for c in columns])
+    out = [F.when(F.col(c).isNotNull() & (F.kll_sketch_get_n_double(c) > 0), F.kll_sketch_get_quantile_double(F.col(c), F.lit(q))).alias(f"{c}_{round(q * 100)}") for c in columns for q in RANKS]
+    return sketches.select("script", "lang", "n", *out)
+
 
-    A document is junk if its share of text that doesn't run, or repeats, is more than `least`. It is in the
-    tail if it is junk and that share is also `tail` robust deviations above its group's median, which
-    nothing is in a group where lists and tables are common.
+def quartile_table(quantiles: DataFrame, languages: Languages, columns: list[str], least: int = MIN_GROUP) -> np.ndarray:
+    """Quartiles by group, statistic and rank, NaN where there are none.
+
+    A row per language and script comes to the driver, whatever the corpus. A language of under `least` rows has
+    its script's values, a script of under that many those of all.
+    """
+    found = {(r.script, r.lang): r for r in quantiles.collect()}
+    out = np.full((len(languages.names), len(columns), len(RANKS)), np.nan)
+    for i, (lang, script) in enumerate(zip(languages.names, languages.scripts)):
+        options = [found.get(key) for key in ((script, lang if lang != "other" else None), (script, None), (None, None))]
+        row = next((r for r in options if r is not None and r.n >= least), found.get((None, None)))
+        if row is not None:
+            out[i] = [[np.nan if (v := row[f"{c}_{round(q * 100)}"]) is None else v for q in RANKS] for c in columns]
+    return out
+
+
+def robust_z(values: np.ndarray, quartiles: np.ndarray, floor: float) -> np.ndarray:
+    """Robust z-scores against quartiles (rows: one set per value), 0 where there are none.
+
+    The narrower side gives the spread: the other may hold a tail itself.
     """
+    low, mid, high = quartiles.T
+    side = np.maximum(np.minimum(high - mid, mid - low), floor)
+    return np.nan_to_num((values - mid) / (side / 0.6745))
+
+
+def tail_lines(lines: dict[str, np.ndarray], table: np.ndarray, plain: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Which lines are in the tail of one of their language's statistics; `plain`: lines of scripts without spaces."""
+    group = lines["group"]
+    worst = np.full(len(group), -np.inf)
+    vary = np.maximum(FULL_LINE / np.maximum(lines["filled"], 1), 1) ** 0.25
+    for i, (name, (sign, floor)) in enumerate(LINE.items()):
+        z = sign * robust_z(lines[name].astype(np.float64), table[group, i], floor)
+        if name == "phrase":
+            # between blanks: items are shorter than phrases where words aren't parted, and junk is longer than words elsewhere
+            z = np.where(plain, z * (words > 3), -z)
+        else:
+            z = z / vary
+        worst = np.maximum(worst, z - (lines["ends"] if name in MARKED else 0))
+    return worst > TAIL
+
+
+def judged(docs: DataFrame, words: list[tuple[str, str | None]], id_col: str = "doc_id", text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """(id, lang, script, FIELDS, is_junk): the statistics with the share of text in tail lines; see the module's text, 2 to 4."""
+    spark = docs.sparkSession
+    languages = Languages(words)
     stats = stage(document_statistics(docs, words, id_col, text_col), "statistics")
-    quantiles = sketch_quantiles(stats.where(F.col("n_chars") >= MIN_CHARS))
-    names = [f"{c}_{q}" for c in STATISTICS for q in (25, 50, 75)]
-    whole = W.partitionBy(F.lit(1))
-    groups = quantiles.select("script", "g", *[F.when(F.col("n") >= MIN_GROUP, F.col(x)).otherwise(F.max(F.when(F.col("g") == 1, F.col(x))).over(whole)).alias(x) for x in names]).where("g = 0").drop("g")
-    # a row per script group: bounded by SCRIPTS
-    joined = stats.join(F.broadcast(groups), "script", "left")
+    samples = stats.select(F.explode("lines").alias("l")).where("l.sample").select("l.*")
+    named = [F.element_at(F.array(*[F.lit(x) for x in names]), F.col("group") + 1).alias(k) for k, names in (("lang", languages.names), ("script", languages.scripts))]
+    quantiles = sketch_quantiles(samples.select(*named, *LINE), list(LINE))
+    table = spark.sparkContext.broadcast(quartile_table(quantiles, languages, list(LINE)))
+    names = ["id", "lang", "script", *FIELDS]
+
+    def run(batches):
+        for batch in batches:
+            listed = batch.column(batch.num_columns - 1)
+            flat = listed.flatten()
+            lines = {f.name: flat.field(i).to_numpy(zero_copy_only=False) for i, f in enumerate(flat.type)}
+            plain = lines["group"] < len(SCRIPTS)
+            filled = lines["filled"]
+            words = np.rint(filled / np.exp(lines["phrase"].astype(np.float64)))
+            junk = lines["item"] | tail_lines(lines, table.value, plain, words)
+            row = np.repeat(np.arange(len(batch)), np.diff(listed.offsets.to_numpy()))
+            per = lambda x: np.bincount(row, weights=x, minlength=len(batch))  # noqa: B023, E731
+            with np.errstate(divide="ignore", invalid="ignore"):
+                share = per(np.where(junk, filled, lines["cover"])) / per(filled)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), pa.array(share, pa.float64(), mask=~np.isfinite(share))], names)
+
+    schema = "id bigint, lang string, script string, n_chars bigint, n_words bigint, n_lines bigint, " + ", ".join(f"{x} double" for x in STATISTICS)
+    out = stats.mapInArrow(run, schema)
+    junk = F.coalesce((F.col("n_chars") >= MIN_CHARS) & (F.col("junk_share") > least), F.lit(False))
+    return out.withColumn("is_junk", junk)
+
+
+def flagged(docs: DataFrame, words: list[tuple[str, str | None]], id_col: str = "doc_id", text_col: str = "text", tail: float = 2.0) -> DataFrame:
+    """All statistics with the robust z-score of each, `is_junk` and `in_tail`.
+
+    A document is in the tail if it is junk and its share of such text is also `tail` robust deviations above its
+    language's median, which nothing is where lists and tables are common.
+    """
+    languages = Languages(words)
+    scored = stage(judged(docs, words, id_col, text_col), "judged")
+    table = quartile_table(sketch_quantiles(scored.where(F.col("n_chars") >= MIN_CHARS), STATISTICS), languages, STATISTICS)
+    spark = docs.sparkSession
+    # a row per language
+    rows = [(name, *(None if np.isnan(v) else float(v) for v in table[i].ravel())) for i, name in enumerate(languages.names)]
+    columns = [f"__{c}_{round(q * 100)}" for c in STATISTICS for q in RANKS]
+    groups = spark.createDataFrame(rows, "lang string, " + ", ".join(f"{c} double" for c in columns))
+    joined = scored.join(F.broadcast(groups), "lang", "left")
     scores = []
     for c in STATISTICS:
-        low, mid, high = F.col(f"{c}_25"), F.col(f"{c}_50"), F.col(f"{c}_75")
-        # the narrower side: the other may hold the tail itself
+        low, mid, high = (F.col(f"__{c}_{round(q * 100)}") for q in RANKS)
         side = F.greatest(F.least(high - mid, mid - low), F.lit(0.03))
         scores.append(((F.col(c) - mid) / (side / 0.6745)).alias(f"{c}_z"))
-    scored = joined.select("id", "script", *FIELDS, *scores)
-    junk = F.coalesce((F.col("n_chars") >= MIN_CHARS) & (F.col("junk_share") > least), F.lit(False))
     in_tail = F.coalesce(F.col("is_junk") & (F.col("junk_share_z") >= tail), F.lit(False))
-    return scored.withColumn("is_junk", junk).withColumn("in_tail", in_tail).withColumnRenamed("id", id_col)
+    return joined.select("id", "lang", *FIELDS, *scores, "is_junk").withColumn("in_tail", in_tail).withColumnRenamed("id", id_col)

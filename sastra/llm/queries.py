@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sastra.plans.stage import spread
 
@@ -16,15 +17,15 @@ def _texts(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
     return spread(_t(spark, sf, name).select(*columns))
 
 
-def _common_words(spark: SparkSession, sf: str) -> list[str]:
+def _common_words(spark: SparkSession, sf: str) -> list[tuple[str, str]]:
     # a fixed table of 228 words, whatever the corpus
-    return [r.word for r in _t(spark, sf, "common_words").select("word").distinct().collect()]
+    return [(r.word, r.lang) for r in _t(spark, sf, "common_words").select("word", "lang").distinct().orderBy("word", "lang").collect()]
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    from sastra.llm.quality import flagged
+    from sastra.llm.quality import judged
 
-    return flagged(_texts(spark, sf, "documents", "doc_id", "text"), _common_words(spark, sf)).where("is_junk").select("doc_id")
+    return judged(_texts(spark, sf, "documents", "doc_id", "text"), _common_words(spark, sf)).where("is_junk").select(F.col("id").alias("doc_id"))
 
 
 def p1_statistics(spark: SparkSession, sf: str) -> DataFrame:

@@ -39,7 +39,7 @@ def test_junk_where_junk_is_common(spark):
     # half of a script group are lists, so its median share of them is high; each is judged by itself
     prose = [f"The people of the town went to the market in the morning, and it is said that they bought rice number {i}." for i in range(30)]
     lists = ["\n".join(f"- item {chr(97 + k)} {i}" for k in range(20)) for i in range(40)]
-    got = quality.flagged(frame(spark, prose + lists), ["the", "of", "to", "in", "and", "it", "is", "that"]).collect()
+    got = quality.flagged(frame(spark, prose + lists), [(w, "en") for w in "the of to in and it is that".split()]).collect()
     assert {r.doc_id for r in got if r.is_junk} == set(range(30, 70))
     assert not any(r.in_tail for r in got)
 
@@ -88,3 +88,14 @@ def test_hot_tiles_and_classes_lose_no_pair(spark, monkeypatch):
         monkeypatch.setattr(neardup, "BLOCK", block)
         got = [tuple(r) for r in neardup.NearDuplicates(frame(spark, texts)).pairs().collect()]
         assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_sketches_decide_what_is_junk(spark):
+    # the same line of few common words is in the tail where its language's sentences are rich in them, and isn't where they are poor
+    words = [(w, "en") for w in "the of to in and it is that".split()]
+    line = "Garden stones keep warm through winter and dark wooden benches remain quietly outside"
+    rich = [f"The people of the town went to the market in the morning and it is said that the rice of farm {chr(97 + i)} is in." for i in range(26)] * 2
+    poor = [f"People from town {chr(97 + i)} walked over fields toward markets, and farmers sold ripe rice there every single morning." for i in range(26)] * 2
+    for prose, want in ((rich, True), (poor, False)):
+        got = {r.id: r.is_junk for r in quality.judged(frame(spark, [*prose, line]), words).collect()}
+        assert got[len(prose)] == want and not any(got[i] for i in range(len(prose)))

@@ -298,7 +298,7 @@ def test_lattice_keeps_real_cyrillic():
 
 
 def test_junk_and_prose(spark):
-    words = "the of and to in a is that it for និង នៃ ដែល ជា នៅ ក្នុង".split()
+    words = [(w, "en") for w in "the of and to in a is that it for".split()] + [(w, "km") for w in "និង នៃ ដែល ជា នៅ ក្នុង".split()]
     prose = ["The people of the town went to the market in the morning, and it is said that they bought rice. " * 1 + f"Nobody knew why it was number {i} of the list." for i in range(60)]
     junk = ["\n".join(f"- item {chr(97 + i)}" for i in range(20)), "\n".join(f"| {i} | {i * 7} | {i * 9} |" for i in range(20)), "aaaa" * 40, "\n".join(["The same line is in the text."] * 12), "\n".join(f"#x{i} {{ margin: {i}px; color: red; }}" for i in range(12))]
     df = frame(spark, prose + junk + [None, "", "   ", "tiny"])
