@@ -89,10 +89,11 @@ def p4_cleaned_blocks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    from sastra.llm.sentences import sentence_ends
+    from sastra.llm.sentences import fit, sentence_ends
 
     marked = _t(spark, sf, "sentence_docs").select("doc_id").distinct()
-    return sentence_ends(_t(spark, sf, "documents").join(marked, "doc_id", "left_semi"))
+    model = fit(_texts(spark, sf, "documents", "text"))
+    return sentence_ends(_t(spark, sf, "documents").join(marked, "doc_id", "left_semi"), model=model)
 
 
 def p5_sentences(spark: SparkSession, sf: str) -> DataFrame:

@@ -99,3 +99,57 @@ def test_sketches_decide_what_is_junk(spark):
     for prose, want in ((rich, True), (poor, False)):
         got = {r.id: r.is_junk for r in quality.judged(frame(spark, [*prose, line]), words).collect()}
         assert got[len(prose)] == want and not any(got[i] for i in range(len(prose)))
+
+
+def cut(text, model=None):
+    ends = sentences.unit_ends(text, model)
+    return [text[a:b].strip() for a, b in zip([0, *ends], ends)]
+
+
+def test_marks_of_more_scripts_and_plain_cases():
+    for units in (
+        ["He paid $5.50.", "It was ok."], ["Vitamin C.", "It is good."], ["He lives in the U.S.", "The weather is fine."], ["El Sr. Pérez vino.", "Bien."],
+        ["यह अच्छा है।", "वह गया।"], ["هل جئت؟", "نعم."], ["Ես եկա։", "Նա գնաց։"], ["ሰላም።", "ደህና ነኝ።"], ["We met J. Smith at 5 p.m. near U.N. Plaza.", "He left."],
+    ):
+        assert cut(" ".join(units)) == units
+    assert len(cut("costs 3.14 and " * 1000)) == 1
+
+
+def test_counted_words_decide():
+    # a capital word that opens lines ends what stands before it; one found within lines doesn't
+    opens = ["Garden work is hard.\nGarden days are long."] * 9 + ["we saw Marlow there.\nthen Marlow left."] * 9
+    counts = sentences.Counts()
+    for text in opens:
+        counts.add(text)
+    model = sentences.Model(counts.words, counts.lengths)
+    assert cut("It came from the U.S. Garden work is hard.", model) == ["It came from the U.S.", "Garden work is hard."]
+    assert cut("It came from the U.S. Marlow left.", model) == ["It came from the U.S. Marlow left."]
+    # a word that stands before dots within sentences only
+    counts = sentences.Counts()
+    for _ in range(40):
+        counts.add("the vlk. of it is far and the vlk. is near.")
+    assert cut("they saw vlk. Marlow there.", sentences.Model(counts.words, counts.lengths)) == ["they saw vlk. Marlow there."]
+    assert cut("they saw vlk. Marlow there.") == ["they saw vlk.", "Marlow there."]
+
+
+def test_best_path_equals_all_paths(monkeypatch):
+    # the queues by length class against a search of all paths, with scores that lengths and quotations move
+    rng = random.Random(5)
+    monkeypatch.setattr(sentences, "_score", lambda *a: 0.0)
+    for _ in range(60):
+        lengths = [-3.0 * rng.random() for _ in range(sentences.CLASSES)]
+        model = sentences.Model.neutral()
+        model.length = lengths
+        line = "".join(rng.choice(["ab", "cde ", " ", "f. ", "g! ", "hijk lmno pqrs"]) for _ in range(14)) + "x"
+        marks = [m.end() for m in sentences._MARKS.finditer(line) if line[m.end() :].strip()]
+        left, right = len(line) - len(line.lstrip()), len(line)
+
+        def total(ends):
+            at, out = left, 0.0
+            for e in ends:
+                out += lengths[sentences.length_class(e - at)]
+                at = e + len(line[e:]) - len(line[e:].lstrip()) if e < right else right
+            return out
+
+        best = max(total([*c, right]) for n in range(len(marks) + 1) for c in combinations(marks, n))
+        assert abs(total(sentences.line_ends(line, model)) - best) < 1e-9
