@@ -7,6 +7,8 @@ is rare. Orders made from it are only better or worse, never wrong, whatever the
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -28,22 +30,31 @@ class CellCounts:
         self.cells += np.bincount((hashes & np.uint64(len(self.cells) - 1)).astype(np.int64), minlength=len(self.cells))
 
     def parts(self) -> list[bytes]:
-        return [x.astype(np.uint32).tobytes() for x in np.minimum(self.cells, 0xFFFFFFFF).reshape(PARTS, -1)]
+        return [packed(x) for x in self.cells.reshape(PARTS, -1)]
+
+
+def packed(counts: np.ndarray) -> bytes:
+    """Counts as compressed planes of bytes: most cells fill the lowest one only."""
+    return zlib.compress(np.minimum(counts, 0xFFFFFFFF).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
 
 
 def merged(partials: DataFrame) -> np.ndarray:
     """The table (uint8 by cell; 0: no text) from rows (part int, counts binary) of all tasks, in two levels."""
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, np.uint32).astype(np.int64) for x in pdf["counts"])
-        return pd.DataFrame({"part": pdf["part"].iloc[:1], "counts": [np.minimum(total, 0xFFFFFFFF).astype(np.uint32).tobytes()]})
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "counts": [packed(sum(unpacked(x) for x in pdf["counts"]))]})
 
-    laned = partials.select("part", "counts", F.pmod(F.spark_partition_id(), F.lit(32)).alias("lane"))
+    # tables of 32 tasks are added up first, so no task reads those of all
+    laned = partials.select("part", "counts", F.floor(F.spark_partition_id() / 32).alias("lane"))
     sums = laned.groupBy("part", "lane").applyInPandas(add, "part int, counts binary").groupBy("part").applyInPandas(add, "part int, counts binary")
 
     def scale(batches):
         for batch in batches:
-            counts = [np.frombuffer(x, np.uint32).astype(np.float64) for x in batch.column(1).to_pylist()]
+            counts = [unpacked(x).astype(np.float64) for x in batch.column(1).to_pylist()]
             levels = [np.minimum(np.round(8 * np.log2(c + 1)), 255).astype(np.uint8).tobytes() for c in counts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(levels, pa.binary())], ["part", "levels"])
 

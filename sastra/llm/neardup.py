@@ -2,13 +2,15 @@
 
 1. Equal texts form classes (MD5 of the text with line feeds as blanks); one text stands for each.
 2. A representative's distinct 5-grams are a sorted array of hashes, put from rare to common by a count
-   table of fixed size. Two alike sets share a gram among the first `prefix` of each, so each of those
-   grams is a tile, and alike texts meet in one at least. No pair can be missed.
-3. A tile's rows are sorted by size, and a row meets the run of rows up to size / threshold. A tile of more
-   than `HOT` rows goes another way: size bands (a band and the next one up) and blocks within bands are
-   joined as keys of their own, so its work spreads over tasks.
-4. A pair is given at the first gram that both have, as far as the first two grams of each tell, and only
-   where the places of the shared gram leave room for the overlap.
+   table of fixed size. Two sets with an overlap of `need` share `SHARED` grams at least among the first
+   n - need + `SHARED` of each; so each of a set's first grams is a tile, with the set's size class in the
+   tile's key, and alike texts meet in that many tiles. No pair can be missed.
+3. A tile is read in order of size class, and a row meets the run of rows up to the class of size / threshold.
+   A tile of more than `HOT` rows goes another way: size bands (a band and the next one up) and blocks
+   within bands are joined as keys of their own, so its work spreads over tasks.
+4. A pair counts its tiles, and one with `SHARED` of them is a candidate. Where the first two grams of each
+   tell which gram is the first that both have, the pair is given there only, once and for all tiles; so
+   families of edited copies, which share nearly all tiles, don't give a row for each.
 5. Bitmaps: each set has a hashed parity bitmap. The bits in which two bitmaps differ bound the symmetric
    difference from below, so the overlap from above; pairs whose bound is too low never have their texts
    fetched.
@@ -25,22 +27,26 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sastra.functions.text import valid
-from sastra.llm import gramsketch, textops
+from sastra.llm import classes, gramsketch, textops
 from sastra.operators.components import connected_components
 from sastra.plans.stage import stage
 
 #: Rows of a tile that one task pairs by itself; larger tiles are parted by size bands and blocks.
 HOT = 400
-#: Copies of a class, or rows of a band, that meet others within one task.
+#: Tiles that a pair must meet in.
+SHARED = 5
+#: Rows of a band, or copies of a class, that meet others within one task.
 BLOCK = 1000
 MIN_CHARS = 25
+#: Size classes to a doubling, and the bits that hold a class below the gram in a tile's key.
+CLASSES, CLASS_BITS = 64, 11
 #: In place of a second gram where a set has one only; grams are not negative.
 _MISSING = -1
-_TILE = "key bigint, id bigint, n int, pos int, first bigint, second bigint"
+_TILE = "key bigint, pos int, id bigint, n int, first bigint, second bigint"
 
 
 def bitmap_width(size: int) -> int:
@@ -85,6 +91,11 @@ def signatures(texts: DataFrame) -> DataFrame:
     return texts.select("id", "text").mapInArrow(run, "id bigint, n int, bits binary, part int, counts binary")
 
 
+def size_class(n: np.ndarray) -> np.ndarray:
+    """`CLASSES` classes to each doubling of the size."""
+    return np.minimum(np.floor(CLASSES * np.log2(np.maximum(n, 1))), (1 << CLASS_BITS) - 1).astype(np.int64)
+
+
 def tile_rows(texts: DataFrame, levels, threshold: float) -> DataFrame:
     """`_TILE` of (id, text): a row for each of a set's first grams; `first` and `second` are the first two."""
 
@@ -96,123 +107,118 @@ def tile_rows(texts: DataFrame, levels, threshold: float) -> DataFrame:
                 hashes, starts = textops.grams(*textops.codepoints(column.slice(a, b - a)))
                 ordered = gramsketch.rare_first(hashes, starts, levels.value)[0].view(np.int64)
                 n = np.diff(starts)
-                prefix = np.where(n > 0, n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1, 0)
+                prefix = np.minimum(n, n - np.ceil(threshold * n - 1e-9).astype(np.int64) + SHARED)
                 row = np.repeat(np.arange(b - a), prefix)
                 pos = np.arange(len(row)) - np.repeat(np.cumsum(prefix) - prefix, prefix)
                 begin = starts[:-1][row]
-                second = ordered[np.minimum(begin + 1, np.maximum(len(ordered) - 1, 0))] if len(row) else ordered[:0]
+                second = ordered[np.minimum(begin + 1, max(len(ordered) - 1, 0))] if len(row) else ordered[:0]
+                key = ordered[begin + pos] << CLASS_BITS | size_class(n)[row]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ordered[begin + pos]), pa.array(ids[a:b][row]), pa.array(n[row], pa.int32()), pa.array(pos, pa.int32()), pa.array(ordered[begin]), pa.array(second, mask=n[row] < 2)],
-                    ["key", "id", "n", "pos", "first", "second"],
+                    [pa.array(key), pa.array(pos, pa.int32()), pa.array(ids[a:b][row]), pa.array(n[row], pa.int32()), pa.array(ordered[begin]), pa.array(np.where(n[row] < 2, _MISSING, second))],
+                    ["key", "pos", "id", "n", "first", "second"],
                 )
 
     return texts.select("id", "text").mapInArrow(run, _TILE)
 
 
-class _Tiles:
-    """Pairs of the rows of tiles, given in order of key and size."""
-
-    def __init__(self, threshold: float):
-        self.t, self.alpha = threshold, threshold / (1 + threshold)
-
-    def pairs(self, key, id_, n, pos, first, second) -> tuple[np.ndarray, np.ndarray]:
-        out = []
-        live, step = np.arange(len(key) - 1), 1
-        while len(live):
-            i, j = live, live + step
-            fits = (key[i] == key[j]) & (n[i] >= n[j] * self.t - 1e-9)
-            live, i, j = live[fits], i[fits], j[fits]
-            need = np.ceil((n[i] + n[j]) * self.alpha - 1e-9)
-            ok = (pos[i] <= n[i] - need) & (pos[j] <= n[j] - need) & (id_[i] != id_[j])
-            i, j = i[ok], j[ok]
-            here = first[i], second[i]
-            known = [(x == first[j]) | (x == second[j]) for x in here]
-            ok = np.where(known[0], key[i] == here[0], ~known[1] | (key[i] == here[1]))
-            out.append((id_[i[ok]], id_[j[ok]]))
-            step += 1
-            live = live[live + step < len(key)]
-        x = np.concatenate([p for p, _ in out]) if out else id_[:0]
-        y = np.concatenate([q for _, q in out]) if out else id_[:0]
-        return np.minimum(x, y), np.maximum(x, y)
+def tile_pairs(key, pos, id_, n, first, second, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, tiles) of the rows of tiles, given in order of the key: pairs, and the number of tiles each stands for."""
+    gram, size = key >> CLASS_BITS, key & ((1 << CLASS_BITS) - 1)
+    reach = CLASSES * -np.log2(threshold) + 1
+    out = []
+    live, step = np.arange(len(key) - 1), 1
+    while len(live):
+        i, j = live, live + step
+        fits = (gram[i] == gram[j]) & (size[j] - size[i] <= reach)
+        live, i, j = live[fits], i[fits], j[fits]
+        need = np.ceil((n[i] + n[j]) * (threshold / (1 + threshold)) - 1e-9)
+        some = need - SHARED
+        ok = (np.minimum(n[i], n[j]) >= np.maximum(n[i], n[j]) * threshold - 1e-9) & (pos[i] < n[i] - some) & (pos[j] < n[j] - some) & (id_[i] != id_[j])
+        i, j, need = i[ok], j[ok], need[ok]
+        known = [(x == first[j]) | (x == second[j]) for x in (first[i], second[i])]
+        told = known[0] | known[1]
+        ok = np.where(known[0], gram[i] == first[i], ~known[1] | (gram[i] == second[i]))
+        out.append((id_[i[ok]], id_[j[ok]], np.where(told | (need < SHARED), SHARED, 1)[ok].astype(np.int32)))
+        step += 1
+        live = live[live + step < len(key)]
+    if not out:
+        return id_[:0], id_[:0], np.zeros(0, np.int32)
+    x, y, tiles = (np.concatenate(c) for c in zip(*out))
+    return np.minimum(x, y), np.maximum(x, y), tiles
 
 
 def _tile_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
-    """(a, b) of the tiles of up to `hot` rows, and the rows of larger ones as they are (a null)."""
+    """(a, b, tiles) of the tiles of up to `hot` rows, and the rows of larger ones as they are (a null)."""
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    names = ["a", "b", "tiles", "key", "pos", "id", "n", "first", "second"]
 
     def run(batches):
-        tiles = _Tiles(threshold)
         held: list[np.ndarray] = []  # the open tile's rows, or nothing once it is hot
-        open_key, is_hot = None, False
+        open_gram, is_hot = None, False
 
         def given(columns):
-            x, y = tiles.pairs(*columns)
+            x, y, tiles = tile_pairs(*columns, threshold)
             if len(x):
-                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), *(pa.nulls(len(x), t) for t in types)], names)
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(tiles), *(pa.nulls(len(x), t) for t in types)], names)
 
         def passed(columns):
             k = len(columns[0])
-            made = [pa.array(c.astype(np.int32) if t == pa.int32() else c, mask=c == _MISSING if i == 5 else None) for i, (c, t) in enumerate(zip(columns, types))]
-            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), *made], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int32()), *(pa.array(c.astype(t.to_pandas_dtype())) for c, t in zip(columns, types))], names)
 
-        types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
-        names = ["a", "b", "key", "id", "n", "pos", "first", "second"]
         for batch in batches:
-            columns = [batch.column(i).fill_null(_MISSING).to_numpy().astype(np.int64) for i in range(6)]
+            columns = [batch.column(i).to_numpy().astype(np.int64) for i in range(6)]
             if held:
                 columns = [np.concatenate((h, c)) for h, c in zip(held, columns)]
                 held = []
-            key = columns[0]
-            if not len(key):
+            gram = columns[0] >> CLASS_BITS
+            if not len(gram):
                 continue
-            edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-            size = np.diff(np.append(edge, len(key)))
+            edge = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
+            size = np.diff(np.append(edge, len(gram)))
             large = size > hot
-            if is_hot and key[0] == open_key:
+            if is_hot and gram[0] == open_gram:
                 large[0] = True
             per_row = np.repeat(large, size)
             if per_row.any():
                 yield from passed([c[per_row] for c in columns])
-            last = np.zeros(len(key), bool)
+            last = np.zeros(len(gram), bool)
             last[edge[-1] :] = True
             closed = ~per_row & ~last
             if closed.any():
                 yield from given([c[closed] for c in columns])
-            open_key, is_hot = key[-1], bool(large[-1])
+            open_gram, is_hot = gram[-1], bool(large[-1])
             if not is_hot:
                 held = [c[last] for c in columns]
         if held:
             yield from given(held)
 
-    met = rows.repartition("key").sortWithinPartitions("key", "n")
-    return met.mapInArrow(run, f"a bigint, b bigint, {_TILE}")
-
-
-def _blocks(n: str) -> Column:
-    return F.ceil(F.col(n) / BLOCK).cast("int")
+    # the key alone is the order: the gram, then the size class
+    met = rows.repartition(F.shiftright("key", CLASS_BITS)).sortWithinPartitions("key")
+    return met.mapInArrow(run, f"a bigint, b bigint, tiles int, {_TILE}")
 
 
 def _hot_pairs(rows: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) of the hot tiles' rows: band meets band and the next one up, block meets block."""
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(float(-np.log(threshold)))).cast("int") if threshold < 1 else F.col("n")
-    banded = rows.withColumn("band", band)
-    sizes = banded.groupBy("key", "band").agg(F.count(F.lit(1)).alias("m"))
-    own = F.pmod(F.xxhash64("id"), _blocks("m")).cast("int")
-    placed = stage(banded.join(sizes, ["key", "band"]).withColumn("own", own), "banded")
-    large = sizes.select("key", F.explode(F.array("band", F.col("band") - 1)).alias("low"), F.col("band").alias("high"), F.col("m").alias("mh"))
-    shape = sizes.select("key", F.col("band").alias("low"), F.col("m").alias("ml")).join(large, ["key", "low"])
-    shape = stage(shape, "bands")  # (key, low, high, ml, mh): which bands meet, and their sizes
-    name = lambda p: [F.col(c).alias(c + p) for c in ("id", "n", "pos", "first", "second")]
-    each = lambda n: F.explode(F.sequence(F.lit(0), _blocks(n) - 1))
-    low = placed.select("key", F.col("band").alias("low"), F.col("own").alias("i"), *name("_x")).join(shape, ["key", "low"]).select("key", "low", "high", "i", each("mh").alias("j"), *[c + "_x" for c in ("id", "n", "pos", "first", "second")])
-    high = placed.select("key", F.col("band").alias("high"), F.col("own").alias("j"), *name("_y")).join(shape, ["key", "high"]).select("key", "low", "high", each("ml").alias("i"), "j", *[c + "_y" for c in ("id", "n", "pos", "first", "second")])
-    met = low.join(high, ["key", "low", "high", "i", "j"])
+    """(a, b, tiles) of the hot tiles' rows: band meets band and the next one up, block meets block."""
     c = F.col
+    band = F.floor(F.log(c("n").cast("double")) / F.lit(float(-np.log(threshold)))).cast("int") if threshold < 1 else c("n")
+    banded = rows.withColumn("gram", F.shiftright("key", CLASS_BITS)).withColumn("band", band)
+    sizes = banded.groupBy("gram", "band").agg(F.count(F.lit(1)).alias("m"))
+    placed = stage(banded.join(sizes, ["gram", "band"]).withColumn("own", classes.own_block("m", BLOCK)), "banded")
+    large = sizes.select("gram", F.explode(F.array("band", c("band") - 1)).alias("low"), c("band").alias("high"), c("m").alias("mh"))
+    #: (gram, low, high, ml, mh): which bands meet, and their sizes
+    shape = stage(sizes.select("gram", c("band").alias("low"), c("m").alias("ml")).join(large, ["gram", "low"]), "bands")
+    fields = ("id", "n", "pos", "first", "second")
+    name = lambda p: [c(f).alias(f + p) for f in fields]
+    low = placed.select("gram", c("band").alias("low"), c("own").alias("i"), *name("_x")).join(shape, ["gram", "low"]).select("gram", "low", "high", "i", classes.each_block("mh", BLOCK).alias("j"), *[f + "_x" for f in fields])
+    high = placed.select("gram", c("band").alias("high"), c("own").alias("j"), *name("_y")).join(shape, ["gram", "high"]).select("gram", "low", "high", classes.each_block("ml", BLOCK).alias("i"), "j", *[f + "_y" for f in fields])
+    met = low.join(high, ["gram", "low", "high", "i", "j"])
     need = F.ceil((c("n_x") + c("n_y")) * F.lit(threshold / (1 + threshold)) - F.lit(1e-9))
     in_order = (c("n_x") < c("n_y")) | (c("n_x") == c("n_y")) & (c("id_x") < c("id_y"))
-    fits = in_order & (c("id_x") != c("id_y")) & (c("n_x") >= c("n_y") * F.lit(threshold) - F.lit(1e-9)) & (c("pos_x") <= c("n_x") - need) & (c("pos_y") <= c("n_y") - need)
-    known = lambda x: (c(x) == c("first_y")) | F.coalesce(c(x) == c("second_y"), F.lit(False))
-    first = F.when(known("first_x"), c("key") == c("first_x")).otherwise(~F.coalesce(known("second_x"), F.lit(False)) | (c("key") == c("second_x")))
-    return met.where(fits & first).select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"))
+    fits = in_order & (c("id_x") != c("id_y")) & (c("n_x") >= c("n_y") * F.lit(threshold) - F.lit(1e-9)) & (c("pos_x") < c("n_x") - need + SHARED) & (c("pos_y") < c("n_y") - need + SHARED)
+    known = lambda x: (c(x) == c("first_y")) | (c(x) == c("second_y"))
+    here = F.when(known("first_x"), c("gram") == c("first_x")).otherwise(~known("second_x") | (c("gram") == c("second_x")))
+    tiles = F.when(known("first_x") | known("second_x") | (need < SHARED), SHARED).otherwise(1)
+    return met.where(fits & here).select(F.least("id_x", "id_y").alias("a"), F.greatest("id_x", "id_y").alias("b"), tiles.alias("tiles"))
 
 
 def _by_bitmap(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -272,12 +278,13 @@ class NearDuplicates:
         signed = stage(signatures(reps), "signatures")
         levels = spark.sparkContext.broadcast(gramsketch.merged(signed.where("part is not null").select("part", "counts")))
         met = stage(_tile_pairs(tile_rows(reps, levels, threshold), threshold, HOT), "tiles")
-        hot = met.where("a is null").select("key", "id", "n", "pos", "first", "second")
-        pairs = met.where("a is not null").select("a", "b")
+        hot = met.where("a is null").select("key", "pos", "id", "n", "first", "second")
+        pairs = met.where("a is not null").select("a", "b", "tiles")
         if not hot.isEmpty():
             pairs = pairs.union(_hot_pairs(hot, threshold))
+        enough = pairs.groupBy("a", "b").agg(F.sum("tiles").alias("tiles")).where(F.col("tiles") >= SHARED).select("a", "b")
         bits = signed.where("id is not null").select("id", "n", "bits").distinct()
-        near = pairs.distinct().join(bits.toDF("a", "n", "x"), "a").join(bits.toDF("b", "m", "y"), "b")
+        near = enough.join(bits.toDF("a", "n", "x"), "a").join(bits.toDF("b", "m", "y"), "b")
         # Staged, so that its size is known when the texts are met: a small table of ids is broadcast, a large one shuffled.
         left_over = stage(_by_bitmap(near, threshold), "candidates")
         wanted = left_over.select(F.col("a").alias("id")).union(left_over.select(F.col("b").alias("id"))).distinct()
@@ -289,20 +296,10 @@ class NearDuplicates:
     def pairs(self) -> DataFrame:
         """(a, b), a < b: every alike pair of documents, whatever the sizes of classes and groups.
 
-        Copies meet in blocks of about `BLOCK`, so a hot class spreads over as many tasks as it has pairs of blocks.
+        Copies meet in blocks (see `classes`), so a hot class spreads over as many tasks as it has pairs of blocks.
         """
-        own = F.pmod(F.xxhash64("id"), _blocks("copies")).cast("int")
-        each = F.explode(F.sequence(F.lit(0), _blocks("copies") - 1))
-        several = self.members.where("copies > 1").withColumn("own", own)
-        x, y = several.select("rep", F.col("id").alias("a"), F.col("own").alias("i"), each.alias("j")), several.select("rep", F.col("id").alias("b"), each.alias("i"), F.col("own").alias("j"))
-        within = x.join(y, ["rep", "i", "j"]).where("a < b").select("a", "b")
-        # A link moves to each block of its two classes, and meets the ids of a block there.
-        sizes = self.members.where("id = rep").select("rep", "copies").distinct()
-        linked = self.links.select(F.col("a").alias("ra"), F.col("b").alias("rb")).join(sizes.toDF("ra", "na"), "ra").join(sizes.toDF("rb", "nb"), "rb")
-        spread = linked.select("ra", "rb", "nb", F.explode(F.sequence(F.lit(0), _blocks("na") - 1)).alias("i")).select("ra", "rb", "i", F.explode(F.sequence(F.lit(0), _blocks("nb") - 1)).alias("j"))
-        members = self.members.select("id", "rep", own.alias("own"))
-        across = spread.join(members.toDF("x", "ra", "i"), ["ra", "i"]).join(members.toDF("y", "rb", "j"), ["rb", "j"]).where("x <> y")
-        return within.union(across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+        links = self.links.select("a", "b")
+        return classes.pairs_within(self.members, BLOCK).union(classes.pairs_across(links, self.members, self.members, BLOCK)).toDF("a", "b")
 
     def groups(self) -> DataFrame:
         """(id, class_id, group_id, copies, links): one row per document of 25 code points or more.
