@@ -1,15 +1,19 @@
 """Command line: the pipeline's stages over folders of JSON lines, and the label gates.
 
     python -m sastra.cli clean --input raw --output clean
-    python -m sastra.cli dedup --input clean --output dedup
+    python -m sastra.cli dedup --input clean --output dedup [--threshold 0.8] [--ngram 5] [--num-perm 128]
     python -m sastra.cli quality --input dedup --output filtered --rejected rejected
     python -m sastra.cli package --input filtered --output lm [--permissive-only] [--max-docs N] [--smoke]
-    python -m sastra.cli registry --config sources.yaml [--only a,b] [--smoke]
+    python -m sastra.cli registry --config sources.yaml [--list] [--only a,b] [--limit N] [--smoke]
     python -m sastra.cli manifest --labels labels --output manifests [--val-frac 0.05]
-    python -m sastra.cli box-sanity --labels labels        exit code 1 if the gate fails
+    python -m sastra.cli fonts --input font-codepoints.jsonl [--min-coverage 0.95]
+    python -m sastra.cli box-sanity --labels labels [--max-show 10]   exit code 1 if the gate fails
     python -m sastra.cli roundtrip --labels labels         exit code 1 if the gate fails
     python -m sastra.cli stats --labels labels
+    python -m sastra.cli ingest --input raw_documents --output real
     python -m sastra.cli from-export --input export.json --output labels
+    python -m sastra.cli dump --input dump.xml.bz2 --parser mediawiki --source wiki --output raw [--limit N]
+    python -m sastra.cli sample --input lm/jsonl --fonts font_manifest.json --output pages [--pages 100]
 """
 
 from __future__ import annotations
@@ -21,7 +25,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from sastra import schema
-from sastra.operators import cleaning, dedup, exports, manifests, packaging, pages, quality
+from sastra.operators import cleaning, dedup, exports, fonts, manifests, packaging, pages, quality, sampling
+from sastra.plans.stage import stage
 from sastra.sources import readers, writers
 
 
@@ -30,6 +35,11 @@ def _docs(spark, path):
     return packaging.number_rows(rows.withColumn("__o", F.struct("file", "line")), "__o", "doc_id").drop("__o", "file", "line")
 
 
+def given(value, default):
+    """The value of an option, also where it is zero."""
+    return default if value is None else value
+
+
 def _labels(spark, path):
     labels = readers.read_labels(spark, path)
     return labels.withColumnRenamed("id", "page_id"), pages.clean_leaves(readers.label_leaves(labels))
@@ -38,7 +48,7 @@ def _labels(spark, path):
 def main(args: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="sastra", description=__doc__.splitlines()[0])
     sub = p.add_subparsers(dest="command", required=True)
-    for name in ("clean", "dedup", "quality", "package", "registry", "manifest", "box-sanity", "roundtrip", "stats", "from-export"):
+    for name in ("clean", "dedup", "quality", "package", "registry", "manifest", "box-sanity", "roundtrip", "stats", "from-export", "fonts", "ingest", "dump", "sample"):
         s = sub.add_parser(name)
         s.add_argument("--input")
         s.add_argument("--output")
@@ -58,21 +68,34 @@ def main(args: list[str] | None = None) -> int:
         s.add_argument("--threshold", type=float, default=0.8)
         s.add_argument("--unverified", action="store_true", help="take every candidate for a near duplicate")
         s.add_argument("--val-frac", type=float, default=0.05)
+        s.add_argument("--ngram", type=int, default=5)
+        s.add_argument("--num-perm", type=int, default=128)
+        s.add_argument("--list", action="store_true", help="the configured sources, enabled or not")
+        s.add_argument("--min-coverage", type=float, default=0.95)
+        s.add_argument("--max-show", type=int, default=10, help="pages whose first issues are shown")
+        s.add_argument("--parser", choices=("mediawiki", "leipzig"))
+        s.add_argument("--source")
+        s.add_argument("--license")
+        s.add_argument("--fonts")
+        s.add_argument("--pages", type=int, default=100)
+        s.add_argument("--seed", type=int, default=42)
     a = p.parse_args(args)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     names = [part.split()[0] for part in schema.DOC.split(", ")]
     if a.command == "clean":
         carry = ["source", "license", "url", "non_commercial", "fetched_at", "extra"]
         docs = schema.as_documents(_docs(spark, a.input))
-        kept = cleaning.kept_segments(docs, carry, min_script=a.min_khmer or 0.5, min_chars=a.min_chars or 20, max_chars=a.max_chars)
+        kept = cleaning.kept_segments(docs, carry, min_script=given(a.min_khmer, 0.5), min_chars=given(a.min_chars, 20), max_chars=a.max_chars)
         writers.write_jsonl(kept.select(*names), a.output)
     elif a.command == "dedup":
-        marked = dedup.deduplicate(_docs(spark, a.input), threshold=a.threshold, verify=not a.unverified)
+        marked = dedup.deduplicate(_docs(spark, a.input), threshold=a.threshold, verify=not a.unverified, k=a.ngram, permutations=a.num_perm)
+        marked = stage(marked, "marked")
         writers.write_jsonl(schema.as_documents(marked.where("verdict = 'kept'")), a.output)
         marked.groupBy("verdict").count().show()
     elif a.command == "quality":
-        rules = {"min_chars": a.min_chars or 25, "max_symbol": a.max_symbol_ratio, "max_repetition": a.max_repetition, "min_script": a.min_khmer or 0.60}
-        kept, rejected = quality.route(readers.read_jsonl(spark, a.input), **rules)
+        rules = {"min_chars": given(a.min_chars, 25), "max_symbol": a.max_symbol_ratio, "max_repetition": a.max_repetition, "min_script": given(a.min_khmer, 0.60)}
+        # judged once for both outputs
+        kept, rejected = quality.split(stage(quality.assess(readers.read_jsonl(spark, a.input), **rules), "judged"))
         writers.write_jsonl(schema.as_documents(kept), a.output)
         if a.rejected:
             writers.write_jsonl(schema.as_documents(rejected), a.rejected)
@@ -84,6 +107,8 @@ def main(args: list[str] | None = None) -> int:
         writers.write_lines(docs, f"{a.output}/txt")
         writers.write_stats(packaging.corpus_totals(docs), f"{a.output}/stats")
         print(packaging.dataset_card(docs))
+    elif a.command == "registry" and a.list:
+        readers.registry(spark, a.config).select("source", "source_type", "license", "enabled").show(1000, False)
     elif a.command == "registry":
         readers.enabled_sources(readers.registry(spark, a.config), a.only.split(",") if a.only else None, a.limit, a.smoke).show(1000, False)
     elif a.command == "manifest":
@@ -92,6 +117,11 @@ def main(args: list[str] | None = None) -> int:
     elif a.command in ("box-sanity", "roundtrip"):
         labels, leaves = _labels(spark, a.labels)
         result = pages.gate(pages.leaf_issues(leaves, labels), "clean") if a.command == "box-sanity" else pages.gate(pages.roundtrip(leaves, labels), "same")
+        if a.command == "box-sanity" and a.max_show:
+            shown = pages.first_issues(leaves, labels)
+            first = shown.select("page_id").distinct().orderBy("page_id").limit(a.max_show)
+            for r in shown.join(first, "page_id", "left_semi").orderBy("page_id", "n").collect():
+                print(f"{r.page_id}: {r.issue}")
         row = result.first()
         print(f"{a.command}: {row.passed} of {row.total} ({row.rate} %)")
         return 0 if row.gate else 1
@@ -105,6 +135,21 @@ def main(args: list[str] | None = None) -> int:
         extra = leaves.withColumns({c: F.lit(None).cast("string") for c in ("tbl", "row_idx", "col_idx")})
         out = pages.grounded_targets(leaves).join(pages.markdown_pages(extra), "page_id").withColumn("source", F.lit("real"))
         out.write.mode("overwrite").json(a.output)
+    elif a.command == "fonts":
+        points = spark.read.schema("font string, codepoints array<int>").json(a.input)
+        fonts.coverage(points, least=a.min_coverage).orderBy("font").show(1000, False)
+    elif a.command == "ingest":
+        plan = readers.ingest_plan(readers.page_files(spark, a.input))
+        plan.write.mode("overwrite").json(f"{a.output}/plan")
+        readers.annotation_tasks(plan).write.mode("overwrite").json(f"{a.output}/tasks")
+    elif a.command == "dump":
+        writers.write_jsonl(readers.dump_documents(spark, a.input, a.parser, a.source, a.license, limit=200 if a.smoke else a.limit), a.output)
+    elif a.command == "sample":
+        found = readers.best_stage(_docs(spark, a.input)) if a.input else readers.best_stage(spark.createDataFrame([], "doc_id bigint, text string"))
+        numbered = packaging.number_rows(sampling.sample_sentences(found.select("doc_id", "text")).select("doc_id", "sentence"), "doc_id", "n")
+        styles = sampling.sample_pages(a.pages, spark, spark.read.option("multiLine", True).json(a.fonts), a.seed)
+        texts = sampling.page_leaf_texts(styles, numbered.select((F.col("n") - 1).alias("k"), "sentence"), a.seed)
+        styles.join(sampling.page_blocks(texts), "page").write.mode("overwrite").json(a.output)
     return 0
 
 

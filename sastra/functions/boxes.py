@@ -16,6 +16,15 @@ def scale(box: str | Column, sx: Column, sy: Column) -> Column:
     return F.transform(_c(box), lambda v, i: v * F.when(i % 2 == 0, sx).otherwise(sy))
 
 
+def scale_all(boxes: str | Column, sx: Column, sy: Column) -> Column:
+    """Each box of a list, for the lines of a leaf."""
+    return F.transform(_c(boxes), lambda b: scale(b, sx, sy))
+
+
+def rotate_all(boxes: str | Column, degrees: Column, width: Column, height: Column) -> Column:
+    return F.transform(_c(boxes), lambda b: rotate(b, degrees, width, height))
+
+
 def to_grid(box: str | Column, width: Column, height: Column) -> Column:
     """Coordinates as whole steps of 0 to 999, halves to even, cut off at the ends."""
     return F.transform(_c(box), lambda v, i: F.greatest(F.lit(0), F.least(F.lit(GRID), F.bround(v / F.when(i % 2 == 0, width).otherwise(height) * GRID))).cast("int"))

@@ -46,10 +46,15 @@ def strip(c: str | Column) -> Column:
     return F.regexp_replace(_c(c), f"^[{BLANKS}]+|[{BLANKS}]+$", "")
 
 
+def _number_of(c: str | Column, kind: str) -> Column:
+    """How many characters are of a class: the length without the runs of all others. (A count of matches makes an array of them all.)"""
+    return F.length(F.regexp_replace(_c(c), f"[^{kind}]++", ""))
+
+
 def script_ratio(c: str | Column, script: str = KHMER) -> Column:
     """Share of the script among letters (its digits, marks and signs count as letters); 0 without any."""
-    letters = F.regexp_count(_c(c), F.lit(rf"[\p{{L}}{script}]"))
-    return F.when(letters == 0, F.lit(0.0)).otherwise(F.regexp_count(_c(c), F.lit(f"[{script}]")) / letters)
+    letters = _number_of(c, rf"\p{{L}}{script}")
+    return F.when(letters == 0, F.lit(0.0)).otherwise(_number_of(c, script) / letters)
 
 
 def contains_script(c: str | Column, script: str = KHMER) -> Column:
@@ -58,8 +63,8 @@ def contains_script(c: str | Column, script: str = KHMER) -> Column:
 
 def symbol_ratio(c: str | Column, script: str = KHMER) -> Column:
     """Share of non-blank characters that are neither letters nor digits nor of the script; 1 without any."""
-    filled = F.regexp_count(_c(c), F.lit(f"[^{BLANKS}]"))
-    words = F.regexp_count(_c(c), F.lit(rf"[\p{{L}}\p{{N}}{script}]"))
+    filled = F.length(F.regexp_replace(_c(c), f"[{BLANKS}]++", ""))
+    words = _number_of(c, rf"\p{{L}}\p{{N}}{script}")
     return F.when(filled == 0, F.lit(1.0)).otherwise((filled - words) / filled)
 
 

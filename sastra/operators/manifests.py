@@ -22,7 +22,8 @@ def split_pages(labels: DataFrame, val_frac: float = 0.05) -> DataFrame:
     """
     made = labels.where("coalesce(source, 'synthetic') <> 'real'").select("image", "page_id").withColumn("key", F.struct("image", "page_id"))
     counted = number_rows(made, "key", "n")
-    cut = max(1, int(made.count() * val_frac))
+    # of the staged rows, so the labels aren't read again
+    cut = max(1, int(counted.count() * val_frac))
     split = counted.select("image", "page_id", F.lit("synthetic").alias("source"), F.when(F.col("n") <= cut, "val").otherwise("train").alias("split"))
     return split.union(valid_real(labels).select("image", "page_id", F.lit("real"), F.lit("test")))
 

@@ -19,10 +19,13 @@ SINGLE_COLUMN = ["article_single", "doc_with_table", "form_label_value", "mixed_
 def clean_leaves(blocks: DataFrame) -> DataFrame:
     """One row per leaf (page_id, pos), block types in lower case.
 
-    Repeated rows of a leaf differ at most in what is missing: of each column the greatest value stands.
+    Of repeated rows of a leaf the one with most filled columns stands, whole; of those, the greatest by column in order.
     """
     rest = [c for c in blocks.columns if c not in ("page_id", "pos")]
-    return blocks.withColumn("block_type", F.lower("block_type")).groupBy("page_id", "pos").agg(*[F.max(c).alias(c) for c in rest])
+    lower = blocks.withColumn("block_type", F.lower("block_type"))
+    filled = sum(F.when(F.col(c).isNotNull(), 1).otherwise(0) for c in rest)
+    best = lower.groupBy("page_id", "pos").agg(F.max(F.struct(filled.alias("__filled"), *rest)).alias("__row"))
+    return best.select("page_id", "pos", *[F.col("__row")[c].alias(c) for c in rest])
 
 
 def renderable(bbox: str = "bbox", text: str = "text") -> Column:
@@ -56,6 +59,16 @@ def leaf_issues(blocks: DataFrame, labels: DataFrame) -> DataFrame:
     return counts.withColumn("disorder", disorder).withColumn("clean", (F.col("out_of_bounds") + F.col("no_area") + F.col("off_grid") == 0) & ~disorder)
 
 
+def first_issues(blocks: DataFrame, labels: DataFrame, n: int = 5) -> DataFrame:
+    """(page_id, n, issue): the first issues of each page's leaves, in order of the leaves, for looking at a failed gate."""
+    sizes = labels.where("image_width is not null").select("page_id", "image_width", "image_height").distinct()
+    pos = F.col("pos").cast("string")
+    named = lambda bad, what: F.when(bad, F.concat(pos, F.lit(f": {what}")))
+    issues = F.array(named(B.out_of_bounds("bbox", F.col("image_width"), F.col("image_height")), "out of bounds"), named(B.no_area("bbox"), "no area"), named(B.off_grid("bbox_norm"), "off the grid"))
+    found = blocks.join(sizes, "page_id").select("page_id", "pos", F.posexplode(F.array_compact(issues)).alias("place", "issue"))
+    return found.select("page_id", F.row_number().over(W.partitionBy("page_id").orderBy("pos", "place")).alias("n"), "issue").where(F.col("n") <= n)
+
+
 def gate(rows: DataFrame, ok: str) -> DataFrame:
     """One row: total, pass, fail, rate in per cent, and whether the gate passes; no rows do not pass."""
     sums = rows.agg(F.count(F.lit(1)).alias("total"), F.coalesce(F.count_if(ok), F.lit(0)).alias("passed"))

@@ -44,17 +44,28 @@ def reasons(text_col: str = "text", confidence: Column | None = None, min_chars:
 
 
 def assess(docs: DataFrame, **rules) -> DataFrame:
-    return docs.withColumn("reasons", reasons(**rules))
+    """The documents with `reasons`, evaluated once, whatever later steps do with them."""
+    return docs.withColumn("reasons", T.once(reasons(**rules)))
 
 
 def route(docs: DataFrame, **rules) -> tuple[DataFrame, DataFrame]:
     """Kept rows, and rejected rows whose `extra` (JSON) also holds `reject_reasons`.
 
-    An `extra` that isn't a JSON object is replaced.
+    An `extra` that isn't a JSON object is replaced. Each of the two judges the documents it is read from; where
+    both are written, `split` takes documents that are judged and staged.
     """
-    judged = assess(docs, **rules)
-    old = F.coalesce(F.from_json("extra", "map<string,string>"), F.create_map().cast("map<string,string>"))
-    extra = F.to_json(F.map_concat(F.map_filter(old, lambda k, v: k != "reject_reasons"), F.create_map(F.lit("reject_reasons"), F.to_json("reasons"))))
+    return split(assess(docs, **rules))
+
+
+def split(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The kept and the rejected rows of `assess`; see `route`."""
+    parsed = F.try_parse_json("extra")
+    held = F.when(F.schema_of_variant(parsed).startswith("OBJECT"), F.to_json(parsed))
+    # the object's own text, values of all types as they are, without a trail of an earlier run
+    bare = F.regexp_replace(F.coalesce(held, F.lit("{}")), r',?"reject_reasons":\[[^\]]*\]', "")
+    inner = F.regexp_replace(bare, r"^\{,?|\}$", "")
+    trail = F.concat(F.lit('"reject_reasons":'), F.to_json("reasons"))
+    extra = F.concat(F.lit("{"), F.when(inner != "", F.concat(inner, F.lit(","))).otherwise(""), trail, F.lit("}"))
     kept = judged.where(F.size("reasons") == 0).drop("reasons")
     return kept, judged.where(F.size("reasons") > 0).withColumn("extra", extra)
 

@@ -61,6 +61,7 @@ def augmentation_plan(pages: DataFrame, key: str = "page_id", seed: int = 42) ->
 
     rotate_deg, contrast, brightness, gamma, noise_var, blur_kernel, motion_kernel (only without blur), shadow, jpeg_quality.
     """
+    # fixed values: the chances and ranges of the effects
     u = lambda k: uniform(seed + k, F.col(key))
     between = lambda k, low, high: low + u(k) * (high - low)
     any_ = u(0) <= 0.85
@@ -80,14 +81,38 @@ def augmentation_plan(pages: DataFrame, key: str = "page_id", seed: int = 42) ->
     )
 
 
+def scaled_leaves(leaves: DataFrame, sizes: DataFrame, page: str = "page_id") -> DataFrame:
+    """The leaves in pixels of the image: boxes and line boxes of the layout times (image_width / css_width, image_height / css_height)."""
+    joined = leaves.join(sizes.select(page, (F.col("image_width") / F.col("css_width")).alias("__x"), (F.col("image_height") / F.col("css_height")).alias("__y")), page)
+    x, y = F.col("__x"), F.col("__y")
+    return joined.withColumn("bbox", B.scale("bbox", x, y)).withColumn("line_boxes", B.scale_all("line_boxes", x, y)).drop("__x", "__y")
+
+
 def rotated_leaves(leaves: DataFrame, plan: DataFrame, sizes: DataFrame, page: str = "page_id") -> DataFrame:
-    """The leaves with their boxes turned as planned and clipped to the page, and grid boxes made anew."""
+    """The leaves with their boxes and line boxes turned as planned and clipped to the page, and grid boxes made anew."""
     joined = leaves.join(plan.select(page, "rotate_deg"), page, "left").join(sizes.select(page, "image_width", "image_height"), page)
-    w, h = F.col("image_width"), F.col("image_height")
-    turned = joined.withColumn("bbox", F.when(F.col("rotate_deg").isNotNull(), B.rotate("bbox", F.col("rotate_deg"), w, h)).otherwise(F.col("bbox")))
+    w, h, d = F.col("image_width"), F.col("image_height"), F.col("rotate_deg")
+    turned = joined.withColumn("bbox", F.when(d.isNotNull(), B.rotate("bbox", d, w, h)).otherwise(F.col("bbox")))
+    turned = turned.withColumn("line_boxes", F.when(d.isNotNull(), B.rotate_all("line_boxes", d, w, h)).otherwise(F.col("line_boxes")))
     return turned.withColumn("bbox_norm", B.to_grid("bbox", w, h)).drop("rotate_deg", "image_width", "image_height")
 
 
+def labels_of(leaves: DataFrame, pages: DataFrame, images: DataFrame, folder: str = "data/synthetic/images", ending: str = "jpg") -> DataFrame:
+    """One label per rendered page that has leaves: what a run of building a dataset writes.
+
+    leaves: (page_id, pos, block_type, text, bbox, line_boxes, tbl, row_idx, col_idx) in pixels of the image;
+    pages: (page_id, template, font, blocks); images: (page_id, image_width, image_height).
+    """
+    from sastra.functions.text import normalize
+    from sastra.operators.pages import grounded_targets, markdown_pages
+
+    sized = leaves.join(images.select("page_id", "image_width", "image_height"), "page_id")
+    grid = sized.withColumn("bbox_norm", B.to_grid("bbox", F.col("image_width"), F.col("image_height"))).drop("image_width", "image_height")
+    sources = source_texts(pages).select("page_id", normalize("source_text").alias("source_text"))
+    rows = pages.select("page_id", "template", "font").join(images.select("page_id", "image_width", "image_height"), "page_id").join(grounded_targets(grid), "page_id").join(markdown_pages(grid), "page_id").join(sources, "page_id", "left")
+    return rows.withColumn("image", F.concat(F.lit(folder + "/"), "page_id", F.lit("." + ending))).withColumn("source", F.lit("synthetic"))
+
+
 def render_with(pages: DataFrame, start: Callable[[], Callable[[dict], dict | None]], schema: str) -> DataFrame:
     """Runs a renderer over pages: `start` once per task, then its result per page; None leaves the page out."""
 
@@ -109,6 +134,7 @@ def page_range(spark: SparkSession, n: int, workers: int) -> DataFrame:
 def font_addresses(families: DataFrame, base: str, family: str = "family") -> DataFrame:
     """(family, pos, address): where a family's file may lie, by licence folder and file name, in order of trial."""
     stem = F.replace(F.col(family), F.lit(" "), F.lit(""))
+    # fixed values: the licence folders and the endings of file names
     endings = F.array(*[F.lit(x) for x in ("-Regular.ttf", "[wght].ttf", "[wdth,wght].ttf", ".ttf")])
     paths = F.flatten(F.transform(F.array(F.lit("ofl"), F.lit("apache")), lambda lic: F.transform(endings, lambda e: F.concat(F.lit(base.rstrip("/") + "/"), lic, F.lit("/"), F.lower(stem), F.lit("/"), stem, e))))
     return families.select(family, F.posexplode(paths).alias("pos", "address"))

@@ -1,10 +1,6 @@
 """Named queries over the test tables, each with its SQL where SQL can express it.
 
-All run over whole tables and whole texts, except those named here. A limit appears only where it is the
-feature. `sentence_table` takes texts without a line feed only; `sentence_table_lines` takes the lines of all.
-`html_main_text`, `feed_links` and `wiki_strip` leave out texts or addresses that hold markup characters; the
-queries of these names with `_all` take every one. `stream_first_arrivals` leaves out texts that occur more
-than once; `stream_arrived_texts` gives each distinct text once.
+All run over whole tables and whole texts. A limit appears only where it is the feature.
 """
 
 from __future__ import annotations
@@ -116,6 +112,18 @@ def _unmark(x: str) -> str:
     return f"regexp_replace({x}, 'https?://[^{_WS}]+', ' ', 'g')"
 
 
+def _u(seed: int, key: str) -> str:
+    return f"(('0x' || substr(md5('{seed}:' || {key}), 1, 12))::BIGINT::DOUBLE / 281474976710656)"
+
+
+def _whole(low: int, high: int, u: str) -> str:
+    return f"(floor({u} * {high - low + 1}) + {low})::INT"
+
+
+def _pick(items: list[str], u: str) -> str:
+    return f"[{', '.join(repr(x) for x in items)}][(floor({u} * {len(items)}) + 1)::BIGINT]"
+
+
 _CLEAN = f"SELECT doc_id, source, {_normalize(_unmark('text'))} AS clean FROM documents WHERE text <> ''"
 _PARTS = f"list_filter(list_transform(string_split_regex(clean, '\n[{_WS}]*\n'), lambda x: {_strip('x')}), lambda x: x <> '')"
 _SEGMENTS = f"""
@@ -251,20 +259,37 @@ def near_dup_pairs(t):
 
 @query()
 def lsh_candidates(t):
-    return dedup.near_candidates(t.texts("doc_id", "text").where("text <> ''").select(F.col("doc_id").alias("id"), "text"), bands=9, rows=13)
+    texts = t.texts("doc_id", "text").where("text <> ''").select(F.col("doc_id").alias("id"), "text")
+    return dedup.near_candidates(texts, bands=9, rows=13).select("a", "b")
 
 
 @query()
 def minhash_signature(t):
-    return t.texts("doc_id", "text").where("text <> ''").select("doc_id", minhash(T.char_shingles("text")).alias("signature"))
+    texts = t.texts("doc_id", "text").where("text <> ''").select(F.col("doc_id").alias("id"), "text")
+    return minhash(texts).select(F.col("id").alias("doc_id"), "signature")
+
+
+#: Keep-first over the alike pairs: one step per text that is in a pair, in order, with the kept ones so far.
+_GREEDY = f"""
+    WITH RECURSIVE pairs AS ({_PAIRS}),
+    nodes AS (SELECT id, row_number() OVER (ORDER BY id) AS r FROM (SELECT a AS id FROM pairs UNION SELECT b FROM pairs)),
+    earlier AS (SELECT n.r, n.id, coalesce(list(p.a) FILTER (p.a IS NOT NULL), []::BIGINT[]) AS before FROM nodes n LEFT JOIN pairs p ON p.b = n.id GROUP BY ALL),
+    walk(r, kept) AS (
+        SELECT 0::BIGINT, []::BIGINT[]
+        UNION ALL SELECT e.r, CASE WHEN list_has_any(w.kept, e.before) THEN w.kept ELSE list_append(w.kept, e.id) END FROM walk w JOIN earlier e ON e.r = w.r + 1
+    ),
+    kept AS (SELECT unnest(kept) AS id FROM (SELECT kept FROM walk ORDER BY r DESC LIMIT 1)),
+    near AS (SELECT id FROM nodes WHERE id NOT IN (SELECT id FROM kept))
+    SELECT doc_id, CASE WHEN verdict <> 'first' THEN verdict WHEN doc_id IN (SELECT id FROM near) THEN 'near_dup' ELSE 'kept' END AS verdict FROM ({_EXACT})
+"""
 
 
-@query()
+@query(_GREEDY)
 def dedup_near_greedy(t):
     return dedup.deduplicate(t.texts("doc_id", "text")).select("doc_id", "verdict")
 
 
-@query()
+@query(f"SELECT verdict, count(*) AS docs FROM ({_GREEDY}) GROUP BY verdict")
 def dedup_stats(t):
     return dedup.deduplicate(t.texts("doc_id", "text")).groupBy("verdict").agg(F.count(F.lit(1)).alias("docs"))
 
@@ -288,9 +313,14 @@ def quality_kept(t):
     return quality.route(t.texts("doc_id", "text", "lang_mix", "extra"))[0].select("doc_id")
 
 
-@query()
+@query(
+    f"""{_JUDGED} SELECT doc_id, reasons, to_json(reasons)::VARCHAR AS trail, CASE WHEN json_valid(extra) THEN extra->>'$.shard' END AS shard, CASE WHEN json_valid(extra) THEN extra->>'$.tries' END AS tries
+    FROM j JOIN (SELECT doc_id AS id, extra FROM documents) ON id = doc_id WHERE len(reasons) > 0"""
+)
 def quality_rejected(t):
-    return quality.route(t.texts("doc_id", "text", "lang_mix", "extra"))[1].select("doc_id", "reasons", "extra")
+    rejected = quality.route(t.texts("doc_id", "text", "lang_mix", "extra"))[1]
+    part = lambda name: F.get_json_object("extra", f"$.{name}").alias(name)
+    return rejected.select("doc_id", "reasons", part("reject_reasons").alias("trail"), part("shard"), part("tries"))
 
 
 @query(f"{_JUDGED} SELECT reason, count(*) AS docs FROM (SELECT unnest(reasons) AS reason FROM j) GROUP BY reason")
@@ -385,15 +415,16 @@ def lag_inversions(t):
 
 # Pages -----------------------------------------------------------------------------------------
 
-_LEAVES = """(SELECT page_id, pos, max(font) AS font, max(lower(block_type)) AS block_type, max(text) AS text, max(bbox) AS bbox, max(line_boxes) AS line_boxes,
-    max(tbl) AS tbl, max(row_idx) AS row_idx, max(col_idx) AS col_idx, max(bbox_norm) AS bbox_norm FROM page_blocks GROUP BY page_id, pos)"""
+_REST = ["font", "block_type", "text", "bbox", "line_boxes", "tbl", "row_idx", "col_idx", "bbox_norm"]
+_LEAVES = f"""(SELECT DISTINCT ON (page_id, pos) page_id, pos, font, block_type, text, bbox, line_boxes, tbl, row_idx, col_idx, bbox_norm FROM (SELECT * REPLACE (lower(block_type) AS block_type) FROM page_blocks)
+    ORDER BY page_id, pos, {' + '.join(f'({c} IS NOT NULL)::INT' for c in _REST)} DESC, {', '.join(f'{c} DESC NULLS LAST' for c in _REST)})"""
 _SIZES = "(SELECT DISTINCT page_id, template, image_width, image_height FROM page_labels WHERE image_width IS NOT NULL)"
 _MD = """CASE block_type WHEN 'title' THEN '# ' || coalesce(text, '') WHEN 'section_header' THEN '## ' || coalesce(text, '') WHEN 'list_item' THEN '- ' || coalesce(text, '')
     WHEN 'caption' THEN '*' || coalesce(text, '') || '*' WHEN 'form_label' THEN '**' || coalesce(text, '') || '**' ELSE coalesce(text, '') END"""
 
 
 def _leaves(t):
-    return pages.clean_leaves(t.page_blocks)
+    return pages.clean_leaves(t.page_blocks.select("page_id", "pos", *_REST))
 
 
 def _grid(v: str, n: str) -> str:
@@ -458,8 +489,7 @@ def bbox_rotate(t):
     return _leaves(t).join(sizes, "page_id").select("page_id", "pos", F.transform(turned, lambda v: F.round(v, 4)).alias("turned"))
 
 
-@query(
-    f"""WITH b AS (SELECT page_id, pos, template, bbox, bbox_norm, image_width AS w, image_height AS h, coalesce(block_type <> 'table_cell', true) AS flow, (bbox[2] + bbox[4]) / 2 AS mid
+_ISSUES = f"""WITH b AS (SELECT page_id, pos, template, bbox, bbox_norm, image_width AS w, image_height AS h, coalesce(block_type <> 'table_cell', true) AS flow, (bbox[2] + bbox[4]) / 2 AS mid
         FROM {_LEAVES} JOIN {_SIZES} USING (page_id)),
     l AS (SELECT *, lag(mid) OVER (PARTITION BY page_id, flow ORDER BY pos) AS above FROM b),
     c AS (SELECT page_id, template, count(*) AS blocks,
@@ -469,16 +499,32 @@ def bbox_rotate(t):
         count(*) FILTER (flow AND mid < above - 0.02::DOUBLE * h) AS inversions, count(*) FILTER (flow) AS flowing FROM l GROUP BY page_id, template),
     d AS (SELECT *, coalesce(template IN ('article_single', 'doc_with_table', 'form_label_value', 'mixed_km_en'), false) AND inversions > greatest(1.0::DOUBLE, flowing * 0.1::DOUBLE) AS disorder FROM c)
     SELECT *, out_of_bounds + no_area + off_grid = 0 AND NOT disorder AS clean FROM d"""
-)
+
+
+@query(_ISSUES)
 def box_issues(t):
     return pages.leaf_issues(_leaves(t), t.page_labels)
 
 
-@query()
+@query(
+    f"""SELECT total, passed, total - passed AS failed, CASE WHEN total = 0 THEN 0 ELSE round(passed * 100 / total, 1) END::DOUBLE AS rate, total > 0 AND total = passed AS gate
+    FROM (SELECT count(*) AS total, count(*) FILTER (clean) AS passed FROM ({_ISSUES}))"""
+)
 def box_gate(t):
     return pages.gate(pages.leaf_issues(_leaves(t), t.page_labels), "clean")
 
 
+@query(
+    f"""SELECT page_id, n, issue FROM (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY pos, place)::INT AS n, issue FROM (
+        SELECT page_id, pos, 1 AS place, pos || ': out of bounds' AS issue FROM {_LEAVES} JOIN {_SIZES} USING (page_id)
+            WHERE NOT (least(bbox[1], bbox[3]) >= 0 AND greatest(bbox[1], bbox[3]) <= image_width + 1 AND least(bbox[2], bbox[4]) >= 0 AND greatest(bbox[2], bbox[4]) <= image_height + 1)
+        UNION ALL SELECT page_id, pos, 2, pos || ': no area' FROM {_LEAVES} JOIN {_SIZES} USING (page_id) WHERE bbox[3] <= bbox[1] OR bbox[4] <= bbox[2]
+        UNION ALL SELECT page_id, pos, 3, pos || ': off the grid' FROM {_LEAVES} JOIN {_SIZES} USING (page_id) WHERE len(list_filter(bbox_norm, lambda v: v < 0 OR v > 999)) > 0)) WHERE n <= 5"""
+)
+def box_first_issues(t):
+    return pages.first_issues(_leaves(t), t.page_labels)
+
+
 @query(f"SELECT page_id, pos, {_MD} AS md FROM {_LEAVES}")
 def md_text(t):
     return _leaves(t).select("page_id", "pos", B.markdown_text("block_type", F.coalesce("text", F.lit(""))).alias("md"))
@@ -561,15 +607,56 @@ def expected_leaves(t):
     return rendering.expected_leaves(sizes.select("page_id", blocks.alias("blocks")))
 
 
-@query()
+_V = lambda k: _u(42 + k, "page_id")
+_ANY = f"{_V(0)} <= 0.85::DOUBLE"
+_EFFECT = lambda k, chance, value: f"CASE WHEN {_ANY} AND {_V(k)} < {chance}::DOUBLE THEN {value} END"
+_BETWEEN = lambda k, low, high: f"({low}::DOUBLE + {_V(k)} * {high - low!r}::DOUBLE)"
+_AUGMENTED = f"""SELECT page_id, {_EFFECT(1, 0.5, _BETWEEN(2, -2.0, 2.0))} AS rotate_deg, {_EFFECT(3, 0.5, '1 + ' + _BETWEEN(4, -0.12, 0.12))} AS contrast,
+    {_EFFECT(3, 0.5, _BETWEEN(5, -0.12, 0.12) + ' * 255')} AS brightness, {_EFFECT(6, 0.2, _BETWEEN(7, 0.8, 1.2))} AS gamma, {_EFFECT(8, 0.4, _BETWEEN(11, 5.0, 25.0))} AS noise_var,
+    {_EFFECT(9, 0.3, _whole(1, 2, _V(10)) + ' * 2 + 1')} AS blur_kernel,
+    CASE WHEN NOT ({_ANY} AND {_V(9)} < 0.3::DOUBLE) THEN {_EFFECT(12, 0.1, _whole(1, 3, _V(13)) + ' * 2 + 1')} END AS motion_kernel,
+    {_EFFECT(14, 0.15, 'true')} AS shadow, {_EFFECT(15, 0.6, _whole(55, 92, _V(16)))} AS jpeg_quality FROM """
+
+
+@query(_AUGMENTED + "(SELECT DISTINCT page_id FROM page_labels WHERE source IS NULL OR source <> 'real')")
 def augmentation_plan(t):
     return rendering.augmentation_plan(t.page_labels.where("source is null or source <> 'real'").select("page_id").distinct())
 
 
-@query()
+def _rotated(box: str) -> str:
+    """A box turned by rotate_deg about the page's centre and clipped, to three places."""
+    corners = [(1, 2), (3, 2), (3, 4), (1, 4)]
+    xs = ", ".join(f"(co * ({box}[{a}] - image_width / 2) + si * ({box}[{b}] - image_height / 2) + image_width / 2)" for a, b in corners)
+    ys = ", ".join(f"(-si * ({box}[{a}] - image_width / 2) + co * ({box}[{b}] - image_height / 2) + image_height / 2)" for a, b in corners)
+    cut = lambda f, v, n: f"greatest(0, least({n}, {f}({v})))::DOUBLE"
+    return f"CASE WHEN rotate_deg IS NULL THEN {box} ELSE [{cut('least', xs, 'image_width')}, {cut('least', ys, 'image_height')}, {cut('greatest', xs, 'image_width')}, {cut('greatest', ys, 'image_height')}] END"
+
+
+_PLACES3 = lambda x: f"list_transform({x}, lambda v: round(v, 3))"
+
+
+@query(
+    f"""WITH p AS ({_AUGMENTED} (SELECT DISTINCT page_id FROM page_labels WHERE image_width IS NOT NULL)),
+    l AS (SELECT l.page_id, pos, bbox, line_boxes, image_width, image_height, rotate_deg, cos(radians(rotate_deg)) AS co, sin(radians(rotate_deg)) AS si FROM {_LEAVES} l JOIN {_SIZES} s ON l.page_id = s.page_id JOIN p ON p.page_id = l.page_id),
+    r AS (SELECT *, {_rotated('bbox')} AS box, list_transform(line_boxes, lambda b: {_rotated('b')}) AS boxes FROM l)
+    SELECT page_id, pos, {_PLACES3('box')} AS bbox, list_transform(boxes, lambda b: {_PLACES3('b')}) AS line_boxes,
+        [{_grid('box[1]', 'image_width')}, {_grid('box[2]', 'image_height')}, {_grid('box[3]', 'image_width')}, {_grid('box[4]', 'image_height')}] AS bbox_norm FROM r"""
+)
 def rotated_leaves(t):
     sizes = t.page_labels.where("image_width is not null").select("page_id", "image_width", "image_height").distinct()
-    return rendering.rotated_leaves(_leaves(t), rendering.augmentation_plan(sizes.select("page_id")), sizes).select("page_id", "pos", "bbox", "bbox_norm")
+    turned = rendering.rotated_leaves(_leaves(t), rendering.augmentation_plan(sizes.select("page_id")), sizes)
+    places = lambda c: F.transform(c, lambda v: F.round(v, 3))
+    return turned.select("page_id", "pos", places("bbox").alias("bbox"), F.transform("line_boxes", places).alias("line_boxes"), "bbox_norm")
+
+
+@query(
+    f"""SELECT page_id, pos, [bbox[1] * 1.5::DOUBLE, bbox[2] * 1.5::DOUBLE, bbox[3] * 1.5::DOUBLE, bbox[4] * 1.5::DOUBLE] AS bbox,
+        list_transform(line_boxes, lambda b: [b[1] * 1.5::DOUBLE, b[2] * 1.5::DOUBLE, b[3] * 1.5::DOUBLE, b[4] * 1.5::DOUBLE]) AS line_boxes FROM {_LEAVES} JOIN {_SIZES} USING (page_id)"""
+)
+def scaled_leaves(t):
+    sizes = t.page_labels.where("image_width is not null").select("page_id", F.col("image_width").alias("css_width"), F.col("image_height").alias("css_height")).distinct()
+    sizes = sizes.withColumns({"image_width": F.col("css_width") * 1.5, "image_height": F.col("css_height") * 1.5})
+    return rendering.scaled_leaves(_leaves(t), sizes).select("page_id", "pos", "bbox", "line_boxes")
 
 
 # Fonts -----------------------------------------------------------------------------------------
@@ -637,10 +724,6 @@ def manifest_pages(t):
 # Sampling --------------------------------------------------------------------------------------
 
 
-def _u(seed: int, key: str) -> str:
-    return f"(('0x' || substr(md5('{seed}:' || {key}), 1, 12))::BIGINT::DOUBLE / 281474976710656)"
-
-
 @query(
     f"""WITH w AS (SELECT font, weight, sum(weight) OVER (ORDER BY font ROWS UNBOUNDED PRECEDING) / sum(weight) OVER () AS high FROM font_manifest WHERE usable AND weight > 0),
     d AS (SELECT doc_id, {_u(42, 'doc_id')} AS u FROM documents)
@@ -658,15 +741,96 @@ def sample_sentences(t):
     return sampling.sample_sentences(t.texts("doc_id", "text"))
 
 
-@query()
+def _chosen(seed: int, of: str, name: str, n: int) -> str:
+    """(page, name) by weight; see weighted_sample."""
+    return f"""(SELECT page, arg_min({name}, high) AS {name} FROM (SELECT range AS page, {_u(seed, 'range')} AS u FROM range({n}))
+        JOIN (SELECT {name}, sum(weight) OVER (ORDER BY {name} ROWS UNBOUNDED PRECEDING) / sum(weight) OVER () AS high FROM {of} WHERE weight > 0) ON high > u GROUP BY page)"""
+
+
+_TEMPLATES = "(SELECT unnest([" + ", ".join(repr(k) for k in sorted(sampling.TEMPLATES)) + "]) AS template, unnest([" + ", ".join(f"{sampling.TEMPLATES[k]}::DOUBLE" for k in sorted(sampling.TEMPLATES)) + "]) AS weight)"
+
+
+def _pages(n: int) -> str:
+    v = lambda k: _u(42 + k, "page")
+    return f"""(SELECT page, printf('syn_%07d', page) AS page_id, template, font, 1240 AS width, {_whole(60, 140, v(4))} AS margin, CASE WHEN {v(5)} < 0.6::DOUBLE THEN '#ffffff' ELSE {_pick(sampling.PAPERS, v(6))} END AS page_bg, body AS body_px,
+        floor(body * scale)::INT AS title_px, floor(body * (1 + (scale - 1) * 0.6::DOUBLE))::INT AS header_px, round(1.4::DOUBLE + {v(7)} * 0.6::DOUBLE, 2) AS line_height, round({v(8)} * 0.5::DOUBLE, 2) AS letter_spacing,
+        {_pick(sampling.COLOURS, v(9))} AS color, {_pick(sampling.ALIGNMENTS, v(10))} AS align, CASE WHEN template = 'article_multicol' THEN 2 ELSE 1 END AS columns,
+        CASE WHEN template IN ('article_single', 'article_multicol', 'mixed_km_en') THEN {_whole(3, 9, v(11))} END AS paragraphs, CASE WHEN template = 'doc_with_table' THEN {_whole(3, 8, v(12))} END AS table_rows,
+        CASE WHEN template = 'doc_with_table' THEN {_whole(2, 5, v(13))} END AS table_cols, CASE WHEN template = 'form_label_value' THEN least(8, {_whole(4, 10, v(14))}) END AS fields
+        FROM (SELECT page, template, font, {_whole(16, 26, v(2))} AS body, 1.4::DOUBLE + {v(3)} * 0.8::DOUBLE AS scale FROM {_chosen(42, _TEMPLATES, 'template', n)} JOIN {_chosen(43, "(SELECT * FROM font_manifest WHERE usable)", 'font', n)} USING (page)))"""
+
+
+@query(f"SELECT * FROM {_pages(2000)}")
 def sample_page(t):
     return sampling.sample_pages(2000, t.spark, t.font_manifest)
 
 
-@query()
+_POOL = f"(SELECT row_number() OVER (ORDER BY doc_id) - 1 AS k, coalesce(s[(floor({_u(42, 'doc_id')} * len(s)) + 1)::BIGINT], text) AS sentence FROM (SELECT doc_id, text, {_SENT} AS s FROM documents WHERE text <> ''))"
+
+
+def _pool(t):
+    numbered = packaging.number_rows(sampling.sample_sentences(t.texts("doc_id", "text")).select("doc_id", "sentence"), "doc_id", "n")
+    return numbered.select((F.col("n") - 1).alias("k"), "sentence")
+
+
+@query(
+    f"""WITH pool AS {_POOL}, d AS (SELECT page, pos, floor({_u(42, "page || ':' || pos")} * (SELECT count(*) FROM pool))::BIGINT AS k FROM (SELECT page, unnest(range(coalesce(paragraphs, 2) + 1)) AS pos FROM {_pages(500)}))
+    SELECT page, pos::INT AS pos, sentence FROM d JOIN pool USING (k)"""
+)
 def sample_page_texts(t):
-    pool = packaging.number_rows(sampling.sample_sentences(t.texts("doc_id", "text")).select("doc_id", "sentence"), "doc_id", "n").select((F.col("n") - 1).alias("k"), "sentence")
-    return sampling.page_texts(sampling.sample_pages(500, t.spark, t.font_manifest), pool)
+    return sampling.page_texts(sampling.sample_pages(500, t.spark, t.font_manifest), _pool(t))
+
+
+def _page_texts() -> str:
+    v = lambda k, *more: _u(42 + k, " || ':' || ".join(["page", *more]))
+    labels, n = sampling.LABELS, len(sampling.LABELS)
+    order = f"list_transform(list_sort([{', '.join(f'{{u: {v(33, repr(str(i)))}, i: {i}}}' for i in range(n))}]), lambda x: x.i)"
+    return f"""WITH pool AS {_POOL}, pages AS {_pages(500)},
+    a AS (SELECT page, template, unnest(range(paragraphs)) AS i FROM pages WHERE paragraphs IS NOT NULL),
+    c AS (SELECT page, template, table_rows, unnest(range(table_cols)) AS c FROM pages WHERE table_cols IS NOT NULL),
+    places AS (
+        SELECT page, template, 10 AS place, CASE template WHEN 'form_label_value' THEN 'form_title' ELSE 'title' END AS kind, CASE template WHEN 'form_label_value' THEN 0 ELSE 1 END AS n, 0 AS part FROM pages
+        UNION ALL SELECT page, template, 11, 'byline', 0, 0 FROM pages WHERE paragraphs IS NOT NULL
+        UNION ALL SELECT page, template, 19 + 2 * i, 'section_header', 1, 0 FROM a WHERE i > 0 AND {v(21, 'i')} < 0.4::DOUBLE
+        UNION ALL SELECT page, template, 20 + 2 * i, 'text', {_whole(2, 6, v(22, 'i'))}, 0 FROM a
+        UNION ALL SELECT page, template, 60, 'list_item', 1, unnest(range({_whole(3, 5, v(24))})) FROM pages WHERE paragraphs IS NOT NULL AND {v(23)} < 0.3::DOUBLE
+        UNION ALL SELECT page, template, 20, 'text', {_whole(2, 4, v(25))}, 0 FROM pages WHERE table_rows IS NOT NULL
+        UNION ALL SELECT page, template, 300, 'text', {_whole(2, 4, v(26))}, 0 FROM pages WHERE table_rows IS NOT NULL
+        UNION ALL SELECT page, template, 199, 'header', 1, c FROM c WHERE {v(27)} < 0.9::DOUBLE
+        UNION ALL SELECT page, template, 200 + unnest(range(table_rows)), 'cell', 1, c FROM c
+        UNION ALL SELECT page, template, 20, 'field', 0, unnest(range(fields)) FROM pages WHERE fields IS NOT NULL),
+    said AS (SELECT page, place, part, string_agg(sentence, '' ORDER BY s) AS said FROM (
+        SELECT page, place, part, s, floor({_u(72, "page || ':' || place || ':' || part || ':' || s")} * (SELECT count(*) FROM pool))::BIGINT AS k FROM (SELECT page, place, part, unnest(range(1, n + 1)) AS s FROM places)) JOIN pool USING (k) GROUP BY ALL)
+    SELECT p.page, p.place::INT AS place, p.part::INT AS part, kind, CASE kind WHEN 'byline' THEN '{sampling.BYLINE}' || {_pick(sampling.PAPER_NAMES, v(35).replace('page', 'p.page'))} WHEN 'header' THEN substr(said, 1, 12) WHEN 'cell' THEN substr(said, 1, 14)
+        WHEN 'text' THEN said || CASE WHEN template = 'mixed_km_en' AND {v(31, 'place').replace('page', 'p.page').replace('|| place', '|| p.place')} < 0.6::DOUBLE THEN ' (' || {_pick(sampling.ENGLISH, v(32, 'place').replace('page', 'p.page').replace('|| place', '|| p.place'))} || ')' ELSE '' END
+        WHEN 'form_title' THEN {_pick(sampling.FORM_TITLES, v(36).replace('page', 'p.page'))}
+        WHEN 'field' THEN [{', '.join(repr(x) for x in labels)}][{order.replace('page', 'p.page')}[p.part + 1] + 1] || chr(9) || {_pick(sampling.VALUES, v(34, 'part').replace('page', 'p.page').replace('|| part', '|| p.part'))} ELSE said END AS text
+    FROM places p LEFT JOIN said ON said.page = p.page AND said.place = p.place AND said.part = p.part"""
+
+
+@query(_page_texts())
+def sample_page_leaves(t):
+    return sampling.page_leaf_texts(sampling.sample_pages(500, t.spark, t.font_manifest), _pool(t))
+
+
+@query(
+    f"""SELECT page, (row_number() OVER (PARTITION BY page ORDER BY place, part, half) - 1)::INT AS pos,
+        CASE kind WHEN 'byline' THEN 'caption' WHEN 'header' THEN 'table_cell' WHEN 'cell' THEN 'table_cell' WHEN 'form_title' THEN 'title' WHEN 'field' THEN CASE half WHEN 1 THEN 'form_label' ELSE 'form_value' END ELSE kind END AS block_type,
+        CASE kind WHEN 'field' THEN split_part(text, chr(9), half) ELSE text END AS text, CASE WHEN kind IN ('header', 'cell') THEN '0' END AS tbl,
+        CASE kind WHEN 'header' THEN '0' WHEN 'cell' THEN (place - 199)::VARCHAR END AS row_idx, CASE WHEN kind IN ('header', 'cell') THEN part::VARCHAR END AS col_idx
+    FROM (SELECT *, unnest(CASE kind WHEN 'field' THEN [1, 2] ELSE [1] END) AS half FROM ({_page_texts()}))"""
+)
+def page_model_leaves(t):
+    # the whole way: styles, texts, blocks, and the leaves that a template gives
+    blocks = sampling.page_blocks(sampling.page_leaf_texts(sampling.sample_pages(500, t.spark, t.font_manifest), _pool(t)))
+    return rendering.expected_leaves(blocks, "page")
+
+
+@query(
+    f"""SELECT font, coalesce(difficulty, '?') AS difficulty, CASE WHEN coverage IS NULL THEN 'n/a' ELSE round(coverage * 100)::INT || '%' END AS coverage, '{fonts.QA_TITLE}' || font AS title FROM font_manifest WHERE usable"""
+)
+def font_qa_pages(t):
+    return fonts.qa_pages(t.font_manifest.where("usable")).select("font", F.coalesce("difficulty", F.lit("?")).alias("difficulty"), fonts.coverage_text().alias("coverage"), F.col("blocks")[0]["text"].alias("title"))
 
 
 # Ingest ----------------------------------------------------------------------------------------
@@ -677,16 +841,6 @@ def dataset_rows(t):
     return readers.dataset_rows(t.documents, "published", "CC BY 4.0").select("text", "source", "license", "url", "non_commercial")
 
 
-@query(
-    f"""SELECT doc_id, nullif(array_to_string(list_filter(list_transform(string_split(text, {_NL}), lambda x: {_strip('x')}), lambda x: x <> ''), {_NL}), '') AS main
-    FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[<>&]')"""
-)
-def html_main_text(t):
-    docs = t.documents.where("text is not null and not text rlike '[<>&]'")
-    page = F.concat(F.lit("<html><head><style>p{}</style><script>if (a) { b(); }</script></head><body><nav>Home</nav><!-- ad -->"), F.replace("text", F.lit("\n"), F.lit("<br/>")), F.lit("<footer>Foot</footer></body></html>"))
-    return docs.select("doc_id", readers.html_text(page).alias("main"))
-
-
 def _escaped(c: str):
     for char, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
         c = F.replace(c, F.lit(char), F.lit(name))
@@ -697,84 +851,89 @@ def _escaped(c: str):
     f"""SELECT doc_id, nullif(array_to_string(list_filter(list_transform(string_split(text, {_NL}), lambda x: {_strip('x')}), lambda x: x <> ''), {_NL}), '') AS main
     FROM documents WHERE text IS NOT NULL"""
 )
-def html_main_text_all(t):
+def html_main_text(t):
     docs = t.documents.where("text is not null")
     page = F.concat(F.lit("<html><head><style>p{}</style><script>if (a) { b(); }</script></head><body><nav>Home</nav><!-- ad -->"), F.replace(_escaped("text"), F.lit("\n"), F.lit("<br/>")), F.lit("<footer>Foot</footer></body></html>"))
     return docs.select("doc_id", readers.html_text(page).alias("main"))
 
 
-@query(
-    """SELECT doc_id, 0 AS pos, url AS link FROM documents WHERE url <> '' AND NOT regexp_matches(url, '[<>&]')"""
-)
+@query(f"SELECT doc_id, pos, CASE pos WHEN 0 THEN {_strip('url')} ELSE 'https://site.example/' || doc_id || CASE pos WHEN 1 THEN '' ELSE '?a=1&b=2' END END AS link FROM documents, (SELECT unnest([0, 1, 2]) AS pos) WHERE {_strip('url')} <> ''")
 def feed_links(t):
-    docs = t.documents.where("url <> '' and not url rlike '[<>&]'")
-    xml = F.concat(F.lit("<rss version=\"2.0\"><channel><link>https://site.example</link><item><title>t</title><link> "), "url", F.lit(" </link></item></channel></rss>"))
-    return readers.feed_links(docs.select("doc_id", xml.alias("xml")), keep=("doc_id",))
-
-
-@query(f"SELECT doc_id, 0 AS pos, {_strip('url')} AS link FROM documents WHERE {_strip('url')} <> ''")
-def feed_links_all(t):
+    # an item, a second item, and an entry with two links, of which the one with an address counts
     docs = t.documents.where("url <> ''")
-    xml = F.concat(F.lit("<rss version=\"2.0\"><channel><link>https://site.example</link><item><title>t</title><link> "), _escaped("url"), F.lit(" </link></item></channel></rss>"))
+    item = lambda link: F.concat(F.lit("<item><title>t</title><link> "), link, F.lit(" </link></item>"))
+    more = F.concat(F.lit("https://site.example/"), F.col("doc_id").cast("string"))
+    entry = F.concat(F.lit("<entry><link>none</link><link rel='alternate' href='"), more, F.lit("?a=1&amp;b=2'/></entry>"))
+    xml = F.concat(F.lit("<rss version=\"2.0\"><channel><link>https://site.example</link>"), item(_escaped("url")), item(more), entry, F.lit("</channel></rss>"))
     return readers.feed_links(docs.select("doc_id", xml.alias("xml")), keep=("doc_id",))
 
 
-@query(f"SELECT doc_id, {_strip('text')} AS plain FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[<>{{}}|]|\\[|\\]')")
-def wiki_strip(t):
-    docs = t.documents.where(r"text is not null and not text rlike '[<>{}|]|\\[|\\]'")
-    markup = F.concat(F.lit("{{box|a\nb}}<ref name=x>"), "text", F.lit("</ref>{{end}}"))
-    return docs.select("doc_id", readers.strip_wiki(markup).alias("plain"))
-
-
 _PLAIN = r"regexp_replace(regexp_replace(regexp_replace(text, '(?s)\{\{.*?\}\}', '', 'g'), '\[\[(?:[^\]|]*\|)?([^\]]*)\]\]', '\1', 'g'), '<[^>]+>', '', 'g')"
 
 
 @query(f"SELECT doc_id, {_strip(_PLAIN)} AS plain FROM documents WHERE text IS NOT NULL")
-def wiki_strip_all(t):
+def wiki_strip(t):
     # the stored texts themselves, with whatever markup they hold
     return t.documents.where("text is not null").select("doc_id", readers.strip_wiki("text").alias("plain"))
 
 
-@query(f"SELECT {_strip('text')} AS text FROM documents WHERE {_strip('text')} <> '' AND text NOT LIKE '%' || chr(10) || '%'")
-def sentence_table(t):
-    lines = t.documents.where("text not like '%\n%'").select(F.concat(F.col("doc_id").cast("string"), F.lit("\t"), "text").alias("value"))
-    return readers.sentence_table(lines)
-
-
 @query(f"SELECT {_strip('line')} AS text FROM (SELECT unnest(string_split(text, {_NL})) AS line FROM documents WHERE text IS NOT NULL) WHERE {_strip('line')} <> ''")
-def sentence_table_lines(t):
+def sentence_table(t):
     # whole texts: each line is a numbered line of the table
     lines = t.documents.where("text is not null").select(F.posexplode(F.split("text", "\n")).alias("n", "line"))
     return readers.sentence_table(lines.select(F.concat(F.col("n").cast("string"), F.lit("\t"), "line").alias("value")))
 
 
 @query(
-    f"""SELECT page_id AS image, pos::VARCHAR AS id, block_type, bbox_norm AS bbox, text FROM {_LEAVES} WHERE text <> '' AND bbox_norm IS NOT NULL AND block_type IS NOT NULL"""
+    f"""SELECT page_id AS image, pos::VARCHAR AS id, coalesce(block_type, 'text') AS block_type, CASE WHEN bbox_norm IS NULL THEN [0, 0, 999, 999] ELSE bbox_norm END AS bbox, text FROM {_LEAVES} WHERE text <> ''"""
 )
 def region_merge(t):
-    leaf = _leaves(t).where("bbox_norm is not null and block_type is not null")
-    part = lambda i: F.col("bbox_norm")[i] / F.lit(9.99)
+    """Leaves as annotated regions and back: without a grid box the whole page, without a type no label, texts as lists or plain strings, results under either name."""
+    leaf = _leaves(t)
+    part = lambda i, whole: F.coalesce(F.col("bbox_norm")[i] / F.lit(9.99), F.lit(whole))
     none = lambda kind: F.lit(None).cast(kind)
 
     def result(x, y, width, height, labels, text):
         value = F.struct(x.alias("x"), y.alias("y"), width.alias("width"), height.alias("height"), labels.alias("rectanglelabels"), text.alias("text"))
         return F.struct(F.col("pos").cast("string").alias("id"), value.alias("value"))
 
-    box = result(part(0), part(1), part(2) - part(0), part(3) - part(1), F.array("block_type"), none("array<string>"))
-    words = result(*[none("double")] * 4, none("array<string>"), F.array("text"))
+    labels = F.when(F.col("block_type").isNotNull(), F.array("block_type"))
+    box = result(part(0, 0.0), part(1, 0.0), part(2, 100.0) - part(0, 0.0), part(3, 100.0) - part(1, 0.0), labels, none("string"))
+    said = F.when(F.col("text").isNotNull(), F.when(F.col("pos") % 2 == 0, F.to_json(F.array("text"))).otherwise(F.col("text")))
+    words = result(*[none("double")] * 4, none("array<string>"), said)
     lists = leaf.select("page_id", box.alias("box"), words.alias("words")).groupBy("page_id").agg(F.concat(F.collect_list("box"), F.collect_list("words")).alias("result"))
-    tasks = lists.select(F.struct(F.col("page_id").alias("image")).alias("data"), F.array(F.struct("result")).alias("annotations"))
+    odd = F.pmod(F.xxhash64("page_id"), F.lit(2)) == 1
+    found = F.array(F.struct("result"))
+    tasks = lists.select(F.struct(F.col("page_id").alias("image")).alias("data"), F.when(~odd, found).alias("annotations"), F.when(odd, found).alias("completions"))
     return exports.regions(tasks).drop("pos")
 
 
+@query(
+    f"""SELECT printf('real_%04d', row_number() OVER (ORDER BY name, page) - 1) AS page_id, name, page::INT AS page FROM (
+        SELECT regexp_extract(image, '([^/]+)$', 1) AS name, 0 AS page FROM (SELECT DISTINCT image FROM page_labels WHERE regexp_matches(lower(image), '\\.(png|jpg|jpeg|webp|bmp|tif|tiff)$'))
+        UNION ALL SELECT page_id || '.pdf', unnest(range(2)) FROM (SELECT DISTINCT page_id FROM page_labels))"""
+)
+def ingest_plan(t):
+    # the labels' images, and a PDF of two pages for each label
+    images = t.page_labels.select(F.col("image").alias("path")).distinct()
+    pdfs = t.page_labels.select(F.concat("page_id", F.lit(".pdf")).alias("path")).distinct()
+    plan = readers.ingest_plan(images.union(pdfs), pdfs.withColumn("pages", F.lit(2)))
+    return plan.select("page_id", F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "page")
+
+
 # Streaming -------------------------------------------------------------------------------------
 
 
-def _stream(t, name: str, schema_of: DataFrame, build) -> DataFrame:
-    """Runs a stream over a table to its end, into a folder of its own, and reads that."""
+def _raw_stream(t, name: str, schema_of: DataFrame) -> tuple[DataFrame, str]:
+    """A table as a stream, and a folder for its run."""
     base = f"{shared_dir(t.spark)}/sastra-stream-{uuid.uuid4().hex}"
     source = t.spark.readStream.schema(schema_of.schema)
-    raw = source.parquet(f"{t.folder}/{name}.parquet") if _is_folder(t, name) else source.option("pathGlobFilter", f"{name}.parquet").parquet(t.folder)
+    return source.parquet(f"{t.folder}/{name}.parquet") if _is_folder(t, name) else source.option("pathGlobFilter", f"{name}.parquet").parquet(t.folder), base
+
+
+def _stream(t, name: str, schema_of: DataFrame, build) -> DataFrame:
+    """Runs a stream over a table to its end, into a folder of its own, and reads that."""
+    raw, base = _raw_stream(t, name, schema_of)
     incremental.run_to_table(build(raw), f"{base}/out", f"{base}/checkpoint")
     return t.spark.read.parquet(f"{base}/out")
 
@@ -784,21 +943,15 @@ def _is_folder(t, name: str) -> bool:
     return path.getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory()
 
 
-@query("SELECT min(doc_id) AS doc_id FROM documents WHERE text <> '' GROUP BY sha1(text) HAVING count(*) = 1")
+@query("SELECT sha1(text) AS text_sha1, length(any_value(text))::INT AS n_chars FROM documents WHERE text <> '' GROUP BY sha1(text)")
 def stream_first_arrivals(t):
-    # texts that occur once; which of equal texts comes first depends on the files' order
-    docs = t.documents
-    out = _stream(t, "documents", docs, lambda s: incremental.first_arrivals(s, late="3650 days").select("doc_id", "text_sha1"))
-    several = docs.where("text <> ''").groupBy(F.sha1("text").alias("text_sha1")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return out.join(several, "text_sha1", "left_anti").select("doc_id")
+    # every text once, by its hash, which does not depend on the files' order; the table spans under half a year
+    return _stream(t, "documents", t.documents, lambda s: incremental.first_arrivals(s, late="180 days").select("text_sha1", F.length("text").alias("n_chars")))
 
 
-@query("SELECT DISTINCT sha1(text) AS text_sha1 FROM documents WHERE text <> ''")
-def stream_arrived_texts(t):
-    # every text once, by its hash, which does not depend on the files' order
-    return _stream(t, "documents", t.documents, lambda s: incremental.first_arrivals(s, late="3650 days").select("text_sha1"))
-
-
-@query()
+@query("SELECT date_trunc('day', ingested_at AT TIME ZONE 'UTC') AS day, source, count(*) AS docs, sum(length(text))::BIGINT AS chars FROM documents WHERE ingested_at IS NOT NULL GROUP BY ALL")
 def stream_daily_counts(t):
-    return _stream(t, "documents", t.documents, lambda s: incremental.arrivals_per_source(s)).select(F.col("window.start").alias("day"), "source", "docs", "chars")
+    raw, base = _raw_stream(t, "documents", t.documents)
+    incremental.run_updates(incremental.arrivals_per_source(raw), f"{base}/out", f"{base}/checkpoint")
+    found = incremental.latest(t.spark, f"{base}/out", ["window", "source"])
+    return found.select(F.col("window.start").alias("day"), "source", "docs", "chars")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,16 +23,20 @@ LABEL = f"id STRING, image STRING, template STRING, font STRING, image_width INT
 
 MANIFEST = "image STRING, prompt STRING, answer STRING, source STRING, label STRING"
 
-#: One exported annotation task.
-TASK = (
-    "data STRUCT<image STRING>, annotations ARRAY<STRUCT<result ARRAY<STRUCT<id STRING, value STRUCT<"
-    "x DOUBLE, y DOUBLE, width DOUBLE, height DOUBLE, rectanglelabels ARRAY<STRING>, text ARRAY<STRING>>>>>>"
-)
+_RESULTS = "ARRAY<STRUCT<result ARRAY<STRUCT<id STRING, value STRUCT<x DOUBLE, y DOUBLE, width DOUBLE, height DOUBLE, rectanglelabels ARRAY<STRING>, text STRING>>>>>"
+
+#: One exported annotation task. `completions` is another name of `annotations`; `text` is a string, or the JSON of a list of strings.
+TASK = f"data STRUCT<image STRING>, annotations {_RESULTS}, completions {_RESULTS}"
+
+
+def as_documents(rows: DataFrame, now: str | None = None) -> DataFrame:
+    """Only the fields of a document; missing ones null, and null licence, flag and time of fetching at their defaults.
 
-def as_documents(rows: DataFrame) -> DataFrame:
-    """Only the fields of a document; missing ones null, and null licence and flag at their defaults."""
+    `now`: the time of fetching where there is none (ISO, to the second); by default that of this call, in UTC.
+    """
+    now = now or datetime.now(timezone.utc).isoformat(timespec="seconds")
     names = [part.split()[0] for part in DOC.split(", ")]
     kinds = dict(part.split() for part in DOC.split(", "))
     columns = [F.col(n) if n in rows.columns else F.lit(None) for n in names]
     typed = rows.select(*[c.cast(kinds[n]).alias(n) for c, n in zip(columns, names)])
-    return typed.fillna({"license": "unknown", "non_commercial": False})
+    return typed.fillna({"license": "unknown", "non_commercial": False, "fetched_at": now})

@@ -5,12 +5,18 @@ Fetching over the network is left to the caller; these read what lies in folders
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from pyspark.sql.window import Window as W
 
 from sastra import schema
 from sastra.functions.text import strip
+from sastra.operators.packaging import number_rows
+from sastra.operators.sampling import POOL
 
 
 def read_jsonl(spark: SparkSession, path: str, ddl: str = schema.DOC, mode: str = "FAILFAST") -> DataFrame:
@@ -83,12 +89,20 @@ def feed_links(feeds: DataFrame, xml: str = "xml", per_feed: int = 200, keep: tu
     return links.where(F.col("pos") < per_feed)
 
 
+@F.pandas_udf(StringType())
+def _unescaped(s: pd.Series) -> pd.Series:
+    return s.map(lambda t: None if t is None else html.unescape(t))
+
+
+def unescaped(c: Column) -> Column:
+    """With all named and numbered entities as characters. Only texts with an ampersand reach Python; the others pass as nulls."""
+    return F.coalesce(_unescaped(F.when(F.contains(c, F.lit("&")), c)), c)
+
+
 def html_text(c: str | Column) -> Column:
     """The text of a page without scripts, styles, navigation, header and footer; null if nothing is left."""
     t = F.regexp_replace(c, r"(?is)<(script|style|nav|header|footer)\b[^>]*>.*?</\1\s*>", "")
-    t = F.regexp_replace(F.regexp_replace(t, r"(?s)<!--.*?-->", ""), r"(?s)<[^>]+>", "\n")
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        t = F.replace(t, F.lit(name), F.lit(char))
+    t = unescaped(F.regexp_replace(F.regexp_replace(t, r"(?s)<!--.*?-->", ""), r"(?s)<[^>]+>", "\n"))
     lines = F.filter(F.transform(F.split(t, "\n"), strip), lambda x: x != "")
     return F.nullif(F.array_join(lines, "\n"), F.lit(""))
 
@@ -115,15 +129,57 @@ def read_tasks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schema.TASK).option("multiLine", True).json(path)
 
 
-def number_files(spark: SparkSession, folder: str, pattern: str = "*.{png,jpg,jpeg,webp,tif,tiff,pdf}") -> DataFrame:
-    """(page_id, path): files of images in name order as real_0000, real_0001, ..."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
-    return files.select(F.format_string("real_%04d", F.row_number().over(W.orderBy("path")) - 1).alias("page_id"), "path")
+#: The endings of page images.
+IMAGES = ("png", "jpg", "jpeg", "webp", "bmp", "tif", "tiff")
+
+
+def page_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(path) of the files in a folder; contents are not read."""
+    return spark.read.format("binaryFile").load(folder).select("path")
+
+
+def ingest_plan(files: DataFrame, page_counts: DataFrame | None = None, folder: str = "data/real/images") -> DataFrame:
+    """(page_id, path, page, image): where each page of the (path) files goes: images in name order as real_0000, real_0001, ...
+
+    Files of other kinds are left out; a PDF gives as many pages as `page_counts` (path, pages) has for it, none
+    without, since counting them needs a reader. Numbers come from counts per range of names, not from one task.
+    """
+    ending = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
+    known = files.select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), ending.alias("ending"))
+    made = known.where(F.col("ending").isin(*IMAGES)).select("name", "path", F.lit(0).alias("page"), "ending")
+    if page_counts is not None:
+        pdfs = known.where("ending = 'pdf'").join(page_counts.where("pages > 0"), "path")
+        made = made.union(pdfs.select("name", "path", F.explode(F.sequence(F.lit(0), F.col("pages").cast("int") - 1)), F.lit("png")))
+    numbered = number_rows(made.withColumn("__o", F.struct("name", "path", "page")), "__o", "__n")
+    page_id = F.format_string("real_%04d", F.col("__n") - 1)
+    return numbered.select(page_id.alias("page_id"), "path", "page", F.concat(F.lit(folder + "/"), page_id, F.lit("."), "ending").alias("image"))
+
+
+def annotation_tasks(plan: DataFrame) -> DataFrame:
+    """(data): the tasks to import for annotating, one per image of an ingest plan."""
+    return plan.select(F.struct(F.col("image").alias("image")).alias("data"))
+
+
+def dump_documents(spark: SparkSession, path: str, parser: str, source: str, license_: str | None = None, url: str | None = None, limit: int | None = None) -> DataFrame:
+    """A dump as documents, by its parser: pages of a wiki, or lines of a sentence table; up to `limit`.
+
+    Blank texts give none. The licence is that of the parser's usual dumps where none is named.
+    """
+    # fixed values: the parsers and the licences of their dumps
+    usual = {"mediawiki": "CC BY-SA 4.0", "leipzig": "CC BY 4.0"}
+    if parser == "mediawiki":
+        texts = wiki_pages(spark, path).select(strip_wiki("markup").alias("text")).where("text <> ''")
+    elif parser == "leipzig":
+        texts = sentence_table(spark.read.text(path))
+    else:
+        raise ValueError(f"unknown parser {parser!r}")
+    docs = texts.withColumns({"source": F.lit(source), "license": F.lit(license_ or usual[parser]), "url": F.lit(url)})
+    return schema.as_documents(docs.limit(limit) if limit else docs)
 
 
 def best_stage(*stages: DataFrame) -> DataFrame:
-    """The first stage that isn't empty, in order of preference; the last otherwise."""
-    for df in stages[:-1]:
-        if not df.isEmpty():
+    """The first stage with a text, in order of preference; where there is none, the built-in sentences."""
+    for df in stages:
+        if not df.where("text <> ''").isEmpty():
             return df
-    return stages[-1]
+    return stages[0].sparkSession.createDataFrame([(i, t) for i, t in enumerate(POOL)], "doc_id bigint, text string")

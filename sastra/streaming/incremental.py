@@ -35,3 +35,24 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Appends all that is there now as Parquet, exactly once per row, and stops."""
     query = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
+
+
+def run_updates(stream: DataFrame, path: str, checkpoint: str) -> None:
+    """Runs a windowed aggregate over all that is there now; each batch leaves the groups it changed in a folder of its own.
+
+    A batch that is run again replaces its folder. Open windows are there too, as they stand.
+    """
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    query = stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).outputMode("update").trigger(availableNow=True).start()
+    query.awaitTermination()
+
+
+def latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """Each group as its last batch left it."""
+    rows = spark.read.parquet(path)
+    rest = [c for c in rows.columns if c not in (*keys, "batch")]
+    last = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("__last"))
+    return last.select(*keys, "__last.*")
