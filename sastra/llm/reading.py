@@ -1,7 +1,7 @@
 """Problem 10: reading level of each document, from an ordinal regression on hand grades.
 
-Features over the whole text: lengths (sentences, words, text), lexical diversity (distinct 5-grams for
-the length), word rarity (share and rank of common words), connectives and clause-depth proxies
+Features over the whole text: lengths (sentences, words, text), lexical diversity (distinct words in scripts that part them, distinct 5-grams in
+others, for the length), word rarity (share and rank of common words), connectives and clause-depth proxies
 (subordinators, commas, brackets and compounds a sentence). The model is a proportional-odds regression
 with ridge penalty; raters get penalised offsets of their own, which the estimate leaves out. It is fitted
 on the driver on at most `MAX_GRADES` grades, the first ones by a hash of document and rater; scoring
@@ -103,6 +103,28 @@ def raw_features(flat: np.ndarray, offsets: np.ndarray, grams_share: np.ndarray,
     return out, letters
 
 
+def word_diversity(flat: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """Distinct runs of letters to the root of twice their number: a share that doesn't fall with the length of the text."""
+    n = len(offsets) - 1
+    letter = kind == LETTER
+    edge = np.ones(len(flat), bool)
+    edge[1:] = ~letter[:-1]
+    edge[offsets[:-1][offsets[:-1] < len(flat)]] = True
+    start = np.flatnonzero(letter & edge)
+    if not len(start):
+        return np.zeros(n)
+    run = np.cumsum(letter & edge) - 1
+    place = np.arange(len(flat)) - start[np.maximum(run, 0)]
+    cells = np.where(letter, textops.mix64(flat.astype(np.uint64) | (place.astype(np.uint64) << np.uint64(21))), np.uint64(0))
+    words = np.add.reduceat(cells, start)
+    row = np.searchsorted(offsets, start, side="right") - 1
+    order = np.lexsort((words, row))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (words[order][1:] != words[order][:-1]) | (row[order][1:] != row[order][:-1])
+    distinct, number = np.bincount(row[order][fresh], minlength=n), np.bincount(row, minlength=n)
+    return distinct / np.sqrt(2.0 * np.maximum(number, 1))
+
+
 def scripts_of(flat: np.ndarray, offsets: np.ndarray, letters: np.ndarray) -> np.ndarray:
     """0 for Latin and others, 1, 2, ... by the order of SCRIPTS."""
     row = textops.rows_of(offsets)
@@ -123,9 +145,10 @@ def feature_rows(docs: DataFrame, words: list[tuple[str, int]], id_col: str = "d
                 whole, places = textops.codepoints(texts.slice(s, e - s))
                 flat, offsets = folded(whole, places)
                 _, starts = textops.grams(flat, offsets)
-                share = np.diff(starts) / np.maximum(np.diff(offsets) - textops.GRAM + 1, 1)
+                kind = char_table()[flat]
+                script = scripts_of(flat, offsets, _sum(kind == LETTER, offsets[:-1], offsets[1:]))
+                share = np.where(script == 0, word_diversity(flat, offsets, kind), np.diff(starts) / np.maximum(np.diff(offsets) - textops.GRAM + 1, 1))
                 x, letters = raw_features(flat, offsets, share, known)
-                script = scripts_of(flat, offsets, letters)
                 ids, some = batch.column(0).slice(s, e - s), letters > 0
                 if score is None:
                     keep = pa.array(some)
@@ -211,11 +234,44 @@ def graded_features(docs: DataFrame, grades: DataFrame, words: list[tuple[str, i
     return bounded.join(rows, "id")
 
 
-def train(docs: DataFrame, grades: DataFrame, words: list[tuple[str, int]]) -> OrdinalModel:
+def graded(docs: DataFrame, grades: DataFrame, words: list[tuple[str, int]]) -> tuple[np.ndarray, ...]:
+    """Documents, features, scripts, grades and raters of at most `MAX_GRADES` grades, in a fixed order."""
     rows = graded_features(docs, grades, words).orderBy("id", "rater", "grade").collect()
     if not rows:
         raise ValueError("no graded document")
-    return fit_ordinal(np.array([r.x for r in rows]), np.array([r.script for r in rows]), np.array([r.grade for r in rows]), np.array([r.rater for r in rows]))
+    return tuple(np.array([r[c] for r in rows]) for c in ("id", "x", "script", "grade", "rater"))
+
+
+def train(docs: DataFrame, grades: DataFrame, words: list[tuple[str, int]]) -> OrdinalModel:
+    return fit_ordinal(*graded(docs, grades, words)[1:])
+
+
+def fold_of(ids: np.ndarray, folds: int) -> np.ndarray:
+    """The fold of each document, by a hash of its id: all grades of a document are in one fold."""
+    return (textops.mix64(ids.astype(np.uint64)) % np.uint64(folds)).astype(int)
+
+
+def cross_validated(docs: DataFrame, grades: DataFrame, words: list[tuple[str, int]], folds: int = 5) -> DataFrame:
+    """(fold, grades, mean_error, within_one, correlation) on documents that the model of the fold hasn't seen, and fold null for all.
+
+    mean_error: mean difference of the expected from the given grade; within_one: share of grades at most one level
+    from the likeliest. Folds without grades, or without others to fit on, are left out.
+    """
+    ids, x, script, grade, rater = graded(docs, grades, words)
+    fold = fold_of(ids, folds)
+    level, expected = np.zeros(len(ids)), np.full(len(ids), np.nan)
+    for f in range(folds):
+        held = fold == f
+        if held.any() and not held.all():
+            chances = fit_ordinal(x[~held], script[~held], grade[~held], rater[~held]).chances(x[held], script[held])
+            level[held], expected[held] = chances.argmax(1) + 1, chances @ np.arange(1, LEVELS + 1)
+    rows = []
+    for f in (*range(folds), None):
+        some = ~np.isnan(expected) & ((fold == f) | (f is None))
+        if some.any():
+            varied = some.sum() > 1 and grade[some].std() > 0 and expected[some].std() > 0
+            rows.append((f, int(some.sum()), float(np.abs(expected[some] - grade[some]).mean()), float((np.abs(level[some] - grade[some]) <= 1).mean()), float(np.corrcoef(expected[some], grade[some])[0, 1]) if varied else None))
+    return docs.sparkSession.createDataFrame(rows, "fold int, grades int, mean_error double, within_one double, correlation double")
 
 
 def reading_levels(docs: DataFrame, grades: DataFrame, words: list[tuple[str, int]], id_col: str = "doc_id") -> DataFrame:
