@@ -2,7 +2,7 @@
 
 Per text: ignorable characters go, compatibility decomposition (full-width forms, ligatures, fraction
 signs), marks of Khmer and Thai clusters in one order, runs of blanks and line breaks as one blank,
-canonical composition. Tokens that hold Greek or Cyrillic letters are then read as a lattice: each
+canonical composition. Tokens that hold Greek, Cyrillic or Armenian letters are then read as a lattice: each
 letter may stand for any letter that looks like it, and Viterbi takes the path with the best character
 bigram score, where paths pay for each change of script. The bigram counts come from all documents; their
 number is bounded by the alphabets (`ALPHABET` squared), whatever the corpus.
@@ -27,41 +27,79 @@ from sastra.llm import textops
 from sastra.plans.stage import stage
 
 MIN_CHARS = 25
-#: Documents of one form up to which all their pairs are given; None: all pairs of every group.
-EXPAND: int | None = None
 #: Texts, or copies of one text, that meet others within one task.
 BLOCK = 1000
 
 # Characters that show nothing.
 _IGNORABLE = re.compile("[­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯ㅤ︀-️﻿ﾠ\U000e0000-\U000e0fff]+")
 
-# Latin letters and the Cyrillic and Greek letters of the same shape ("-": none).
-_LATIN_SHAPES = "A B C E H I J K M N O P S T X Y Z a c e i j o p s x y v".split()
-_CYRILLIC_SHAPES = "А В С Е Н І Ј К М - О Р Ѕ Т Х Ү - а с е і ј о р ѕ х у ѵ".split()
-_GREEK_SHAPES = "Α Β - Ε Η Ι Ϳ Κ Μ Ν Ο Ρ - Τ Χ Υ Ζ - ϲ - - ϳ ο - - - - ν".split()
-
-LATIN, GREEK, CYRILLIC = 0, 1, 2
-#: Code points of the three alphabets that the bigram table covers.
-ALPHABET = 0x530
+# Latin letters and the Greek, Cyrillic and Armenian letters of the same shape.
+_SHAPES = """
+A Α А
+B Β В
+C Ϲ С
+E Ε Е
+F Ϝ
+G Ԍ
+H Η Н
+I Ι І Ӏ
+J Ϳ Ј
+K Κ К
+M Μ М
+N Ν
+O Ο О Օ
+P Ρ Р
+Q Ԛ
+S Ѕ Տ
+T Τ Т
+U Ս
+V Ѵ
+W Ԝ
+X Χ Х
+Y Υ Ү
+Z Ζ
+a а
+c ϲ с
+d ԁ
+e е
+g ց
+h һ հ
+i і
+j ϳ ј
+l ӏ
+n ո
+o ο о օ
+p р
+q ԛ զ
+s ѕ
+u ս
+v ν ѵ
+w ԝ
+x х
+y у
+""".split("\n")
+
+LATIN, GREEK, CYRILLIC, ARMENIAN = 0, 1, 2, 3
+#: Code points of the four alphabets that the bigram table covers.
+ALPHABET = 0x590
 
 
 @lru_cache(1)
 def shapes() -> dict[str, list[tuple[str, int]]]:
     """The letters, with their scripts, that each letter may stand for."""
     out: dict[str, list[tuple[str, int]]] = {}
-    for latin, cyrillic, greek in zip(_LATIN_SHAPES, _CYRILLIC_SHAPES, _GREEK_SHAPES):
-        same = [(c, s) for c, s in ((latin, LATIN), (greek, GREEK), (cyrillic, CYRILLIC)) if c != "-"]
-        for c, _ in same:
-            out[c] = same
+    for line in _SHAPES:
+        same = [(c, script_of(c)) for c in line.split()]
+        out |= {c: same for c, _ in same}
     return out
 
 
 def script_of(c: str) -> int:
     o = ord(c)
-    return GREEK if 0x370 <= o < 0x400 else CYRILLIC if 0x400 <= o < 0x530 else LATIN
+    return GREEK if 0x370 <= o < 0x400 else CYRILLIC if 0x400 <= o < 0x530 else ARMENIAN if 0x530 <= o < 0x590 else LATIN
 
 
-_OTHER_SCRIPT = re.compile("[Ͱ-ԯ]")
+_OTHER_SCRIPT = re.compile("[Ͱ-֏]")
 _TOKEN = re.compile("[^\\W\\d_฀-๿ក-៿]+(?:[̀-ͯ]+[^\\W\\d_฀-๿ក-៿]*)*")
 
 #: Log-score that a path pays where neighbouring letters are of two scripts.
@@ -161,7 +199,7 @@ def letters() -> np.ndarray:
 
 
 def letter_bigrams(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Counts of neighbouring letters (word ends as 0) of the three alphabets over all documents."""
+    """Counts of neighbouring letters (word ends as 0) of the four alphabets over all documents."""
 
     def run(batches):
         total = np.zeros(ALPHABET * ALPHABET, np.int64)
@@ -223,22 +261,6 @@ def _every_pair(keyed: DataFrame) -> DataFrame:
 def same_to_the_eye(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id_a, doc_id_b): documents of one form whose stored texts differ, the smaller id first.
 
-    All pairs by default, whatever the group's size. With `EXPAND` set, a group of more documents gives each
-    document paired with the group's first of another text instead.
+    All pairs, whatever the group's size; see `_every_pair`.
     """
-    keyed = one_form(docs, id_col, text_col).where(F.col("n_chars") >= MIN_CHARS).select("id", "text_key", F.unhex(F.md5("form")).alias("key"))
-    if EXPAND is None:
-        return _every_pair(stage(keyed, "keyed"))
-    # Only forms with more than one stored text can give pairs; the rest stops at the count.
-    groups = keyed.groupBy("key").agg(F.min("text_key").alias("lo"), F.max("text_key").alias("hi"), F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "text_key")).alias("first")).where("lo <> hi")
-    shared = stage(keyed.join(groups.select("key", "n", "first"), "key").select("id", "text_key", "key", "n", "first"), "forms")
-    small = shared.where(F.col("n") <= EXPAND).select("id", "text_key", "key")
-    a, b = small.toDF("a", "ka", "key"), small.toDF("b", "kb", "key")
-    every = a.join(b, "key").where("a < b and ka <> kb").select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
-    # larger groups: all documents with other texts meet the first; those with its text meet the first of the others
-    large = shared.where(F.col("n") > EXPAND)
-    others = large.where(F.col("text_key") != F.col("first.text_key"))
-    second = others.groupBy("key").agg(F.min("id").alias("second"))
-    star = others.select(F.col("first.id").alias("x"), F.col("id").alias("y"))
-    same = large.where((F.col("text_key") == F.col("first.text_key")) & (F.col("id") != F.col("first.id"))).join(second, "key").select(F.col("id").alias("x"), F.col("second").alias("y"))
-    return every.union(star.union(same).select(F.least("x", "y").alias("doc_id_a"), F.greatest("x", "y").alias("doc_id_b")))
+    return _every_pair(stage(one_form(docs, id_col, text_col).where(F.col("n_chars") >= MIN_CHARS).select("id", "text_key", F.unhex(F.md5("form")).alias("key")), "keyed"))
