@@ -37,6 +37,8 @@ from sastra.plans.stage import stage
 
 #: Rows of a tile that one task pairs by itself; larger tiles are parted by size bands and blocks.
 HOT = 400
+#: Rows of tiles per task.
+TASK_ROWS = 2_000_000
 #: Tiles that a pair must meet in.
 SHARED = 5
 #: Rows of a band, or copies of a class, that meet others within one task.
@@ -147,8 +149,8 @@ def tile_pairs(key, pos, id_, n, first, second, threshold: float) -> tuple[np.nd
     return np.minimum(x, y), np.maximum(x, y), tiles
 
 
-def _tile_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
-    """(a, b, tiles) of the tiles of up to `hot` rows, and the rows of larger ones as they are (a null)."""
+def _tile_pairs(rows: DataFrame, threshold: float, hot: int, parts: int) -> DataFrame:
+    """(a, b, tiles) of the tiles of up to `hot` rows, and the rows of larger ones as they are (a null); in `parts` tasks."""
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
     names = ["a", "b", "tiles", "key", "pos", "id", "n", "first", "second"]
 
@@ -193,7 +195,7 @@ def _tile_pairs(rows: DataFrame, threshold: float, hot: int) -> DataFrame:
             yield from given(held)
 
     # the key alone is the order: the gram, then the size class
-    met = rows.repartition(F.shiftright("key", CLASS_BITS)).sortWithinPartitions("key")
+    met = rows.repartition(parts, F.shiftright("key", CLASS_BITS)).sortWithinPartitions("key")
     return met.mapInArrow(run, f"a bigint, b bigint, tiles int, {_TILE}")
 
 
@@ -277,7 +279,10 @@ class NearDuplicates:
         reps = sized.withColumn("h", F.xxhash64("text")).join(copies, ["id", "h"], "left_anti").select("id", "text")
         signed = stage(signatures(reps), "signatures")
         levels = spark.sparkContext.broadcast(gramsketch.merged(signed.where("part is not null").select("part", "counts")))
-        met = stage(_tile_pairs(tile_rows(reps, levels, threshold), threshold, HOT), "tiles")
+        # as many tasks as the tiles' rows need, and no fewer than usual
+        grams = signed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+        parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(grams * (1 - threshold) // TASK_ROWS) + 1)
+        met = stage(_tile_pairs(tile_rows(reps, levels, threshold), threshold, HOT, parts), "tiles")
         hot = met.where("a is null").select("key", "pos", "id", "n", "first", "second")
         pairs = met.where("a is not null").select("a", "b", "tiles")
         if not hot.isEmpty():
