@@ -144,11 +144,33 @@ def p9_shares(spark: SparkSession, sf: str) -> DataFrame:
     return mixture_shares(_texts(spark, sf, "documents", "doc_id", "source", "text"), _t(spark, sf, "mix_targets"))
 
 
+def p9_mix_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    # as many tokens as the target sources hold: small ones are repeated, and fall short where their caps end
+    from sastra.llm.mixing import mixture
+
+    return mixture(_texts(spark, sf, "documents", "doc_id", "source", "text"), _t(spark, sf, "mix_targets"), strict=False)
+
+
+def p9_shares_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.mixing import mixture_shares
+
+    return mixture_shares(_texts(spark, sf, "documents", "doc_id", "source", "text"), _t(spark, sf, "mix_targets"), strict=False)
+
+
+def _ranked_words(spark: SparkSession, sf: str) -> list[tuple[str, int]]:
+    return [(r.word, r.freq_rank) for r in _t(spark, sf, "common_words").select("word", "freq_rank").orderBy("word", "freq_rank").collect()]
+
+
 def p10_levels(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.reading import reading_levels
 
-    words = [(r.word, r.freq_rank) for r in _t(spark, sf, "common_words").select("word", "freq_rank").orderBy("word", "freq_rank").collect()]
-    return reading_levels(_texts(spark, sf, "documents", "doc_id", "text"), _t(spark, sf, "reading_grades"), words)
+    return reading_levels(_texts(spark, sf, "documents", "doc_id", "text"), _t(spark, sf, "reading_grades"), _ranked_words(spark, sf))
+
+
+def p10_held_out(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.reading import cross_validated
+
+    return cross_validated(_texts(spark, sf, "documents", "doc_id", "text"), _t(spark, sf, "reading_grades"), _ranked_words(spark, sf))
 
 
 def queries() -> dict:

@@ -290,7 +290,7 @@ def test_lattice_keeps_real_cyrillic():
         for a, b in zip("\0" + word, word + "\0"):
             counts[ord(a), ord(b)] += 1
     lattice = lookalike.Lattice(counts)
-    assert lattice.best("соmmon") == "common"
+    assert lattice.best("соmmon") == "common" and lattice.best("cօmmօո") == "common"
     assert lattice.best("москвa") == "москва"
 
 
@@ -320,6 +320,10 @@ def test_route_meets_quotas_with_least_repeats():
     small, flows = mixing.route(patterns, {"a": 0.5, "b": 0.5}, {"a": 3, "b": 1}, total=200)
     assert small == 200 and max(u for _, u, _ in flows) == 1  # no repeats while there are enough
     assert mixing.route({}, {"a": 1.0}, {"a": 1}) == (0, {})
+    # as much as there is: the small source is repeated to its cap and falls short
+    total, flows = mixing.route(patterns, {"a": 0.5, "b": 0.5}, {"a": 3, "b": 1}, strict=False)
+    got = {s: sum(t for (p, u, x), t in flows.items() if x == s) for s in "ab"}
+    assert total == 1150 and got == {"a": 450, "b": 575} and max(u for _, u, x in flows if x == "a") == 3
 
 
 def test_mixture(spark):
@@ -333,6 +337,25 @@ def test_mixture(spark):
     shares = {r.source: r for r in mixing.mixture_shares(df, targets).collect()}
     assert abs(shares["big"].actual_share - 0.5) < 0.02 and shares["none"].tokens == 0
     assert sorted(map(tuple, chosen)) == sorted(map(tuple, mixing.mixture(df, targets).collect()))
+    full = {r.source: r for r in mixing.mixture_shares(df, targets, strict=False).collect()}
+    assert full["small"].most_repeats == 2 and full["small"].shortfall < 0.02 and full["none"].shortfall == 0.1
+
+
+def test_mixture_with_few_patterns(spark, monkeypatch):
+    records = spark.createDataFrame([("a", "x", 1, 10, "x"), ("b", "x", 2, 99, "x\ny"), ("b", "y", 3, 99, "x\ny"), ("c", "y", 4, 5, "y")], "cls string, source string, doc_id bigint, n_tokens bigint, pattern string")
+    got = {(r.cls, r.source): r.pattern for r in mixing.bounded_patterns(records, 1).collect()}
+    assert got == {("a", "x"): "x", ("b", "x"): "x\ny", ("b", "y"): "x\ny", ("c", "y"): "y"}
+    more = records.union(spark.createDataFrame([("d", "x", 5, 7, "x\nz"), ("d", "z", 6, 7, "x\nz")], records.schema))
+    got = {(r.cls, r.source): r.pattern for r in mixing.bounded_patterns(more, 1).collect()}
+    assert got["d", "x"] == got["d", "z"] == "z" and got["b", "x"] == "x\ny" and len(got) == 6
+
+
+def test_segments_are_repaired(spark):
+    line = spark.createDataFrame([("p", c, n) for c, n in (("a", 50), ("b", 30), ("c", 21), ("d", 7))], "pattern string, cls string, n_tokens bigint")
+    hit = spark.createDataFrame([("p", 1, "s", "a", 50), ("p", 2, "s", "a", 50), ("p", 2, "s", "d", 7)], "pattern string, use int, source string, cls string, n_tokens bigint")
+    cuts = spark.createDataFrame([("p", 1, "s", 0, 70), ("p", 2, "s", 0, 51), ("p", 1, "t", 70, 108)], "pattern string, use int, source string, low bigint, high bigint")
+    got = {(r.use, r.source, r.cls) for r in mixing.repaired(line, hit.select("pattern", "use", "source", "cls", "n_tokens"), cuts).collect()}
+    assert got == {(1, "s", "a"), (1, "s", "c"), (1, "t", "b"), (2, "s", "a")}
 
 
 # Reading level -------------------------------------------------------------------------------------
@@ -353,3 +376,16 @@ def test_reading_levels(spark):
     with pytest.raises(ValueError):
         reading.reading_levels(d, g.limit(0), [("the", 1)])
     assert not math.isnan(got[0].expected)
+    folds = reading.cross_validated(d, g, [("the", 1), ("and", 2)], 4).collect()
+    assert folds[-1].fold is None and folds[-1].grades == sum(r.grades for r in folds[:-1]) == 100 and folds[-1].within_one > 0.9 and folds[-1].correlation > 0.8
+    # all grades of a document are in one fold
+    assert len(set(reading.fold_of(np.array([7, 7, 7]), 4))) == 1
+
+
+def test_word_diversity():
+    from sastra.llm.quality import char_table
+
+    texts = ["a b a b", "ab ba", "x", "", "12 !"]
+    flat, offsets = textops.codepoints(pa.array(texts))
+    got = reading.word_diversity(flat, offsets, char_table()[flat])
+    assert np.allclose(got, [2 / math.sqrt(8), 2 / math.sqrt(4), 1 / math.sqrt(2), 0, 0])
