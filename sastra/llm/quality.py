@@ -70,6 +70,8 @@ def fold_table() -> np.ndarray:
     looks = {c: same[0][0] for c, same in shapes().items()}
     for o in (*range(0x2000), *range(0xFF00, 0xFFEF)):
         c = unicodedata.normalize("NFKD", chr(o))[0]
+        if c == " ":  # a mark that stands alone is no blank
+            continue
         table[o] = ord(looks.get(c, c).lower()[0]) if not 0x780 <= o < 0x1E00 else o
     table[0x300:0x370] = 0
     table[char_table() == IGNORE] = 0
@@ -84,6 +86,13 @@ def folded(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out[keep], np.concatenate(([0], np.cumsum(keep)))[offsets]
 
 
+def row_starts(offsets: np.ndarray, n: int) -> np.ndarray:
+    """Which of n code points begin a text."""
+    out = np.zeros(n, bool)
+    out[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    return out
+
+
 class WordMarks:
     """Marks the code points that stand in known words, each word with bits of its own."""
 
@@ -115,9 +124,11 @@ class WordMarks:
         at = np.minimum(np.searchsorted(known[0], values), len(known[0]) - 1)
         return np.where(known[0][at] == values, known[1][at], 0)
 
-    def marks(self, flat: np.ndarray, kind: np.ndarray) -> np.ndarray:
-        """The bits of all words that each code point stands in (uint32), in one pass for all lists of words."""
+    def marks(self, flat: np.ndarray, kind: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """The bits of all words that each code point stands in (uint32), in one pass for all lists of words; no word crosses a text's end."""
         n = len(flat)
+        first = row_starts(offsets, n)
+        end = np.repeat(offsets[1:], np.diff(offsets))
         out = np.zeros(n, np.uint32)
         p = np.uint64(0x9E3779B97F4A7C15)
         plain = np.zeros(n, bool)
@@ -126,7 +137,7 @@ class WordMarks:
         at = np.flatnonzero(plain & (kind == LETTER))
         h = np.zeros(len(at), np.uint64)
         for k in range(1, max(self.joined, default=0) + 1):
-            inside = at + k <= n
+            inside = at + k <= end[at]
             at, h = at[inside], h[inside]
             h = h * p + flat[at + k - 1] + np.uint64(1)
             if k in self.joined:
@@ -136,8 +147,8 @@ class WordMarks:
                     out[at[hit] + j] |= bits[hit]
         # words of spaced scripts: whole runs of letters
         word = (kind == LETTER) & ~plain
-        start = np.flatnonzero(word & ~np.concatenate(([False], word[:-1])))
-        size = np.flatnonzero(word & ~np.concatenate((word[1:], [False]))) + 1 - start
+        start = np.flatnonzero(word & (first | ~np.concatenate(([False], word[:-1]))))
+        size = np.flatnonzero(word & ~np.concatenate((word[1:] & ~first[1:], [False]))) + 1 - start
         for k, known in self.spaced.items():
             at = start[size == k]
             h = np.zeros(len(at), np.uint64)
@@ -185,7 +196,7 @@ def line_features(flat: np.ndarray, offsets: np.ndarray, marks: np.ndarray) -> d
     out = {"row": row, "start": a, "end": b, "filled": _sum(seen, a, b), "letters": _sum(kind == LETTER, a, b), "digits": _sum(kind == DIGIT, a, b)}
     out["symbols"] = _sum(kind == SYMBOL, a, b)
     out["separators"] = _sum(role & 4 > 0, a, b)
-    begins = seen & ~np.concatenate(([False], seen[:-1]))
+    begins = seen & (row_starts(offsets, n) | ~np.concatenate(([False], seen[:-1])))
     out["words"] = _sum(begins, a, b)
     out["code"] = _sum(role & 16 > 0, a, b)
     out["keyed"] = _sum((flat == 0x3A) | (flat == 0xFF1A), a, b) > 0
@@ -276,7 +287,7 @@ def document_statistics(docs: DataFrame, words: list[tuple[str, str | None]], id
                 n = e - s
                 a, b = offsets[:-1], offsets[1:]
                 kind = char_table()[flat]
-                marks = np.where(kind == LETTER, known.marks(flat, kind), 0)
+                marks = np.where(kind == LETTER, known.marks(flat, kind, offsets), 0)
                 f = line_features(flat, offsets, marks)
                 row = f["row"]
                 per = lambda x: np.bincount(row, weights=x, minlength=n)[:n]  # noqa: B023, E731

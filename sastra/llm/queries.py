@@ -34,6 +34,12 @@ def p1_statistics(spark: SparkSession, sf: str) -> DataFrame:
     return flagged(_texts(spark, sf, "documents", "doc_id", "text"), _common_words(spark, sf))
 
 
+def p1_counts(spark: SparkSession, sf: str) -> DataFrame:
+    from sastra.llm.quality import document_statistics
+
+    return document_statistics(_texts(spark, sf, "documents", "doc_id", "text"), _common_words(spark, sf)).select(F.col("id").alias("doc_id"), "n_chars", "n_words", "n_lines")
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     from sastra.llm.neardup import NearDuplicates
 
@@ -194,6 +200,34 @@ _READING = r"""
 """
 
 
+_GRAMS = """g AS (SELECT DISTINCT id, side, substr(t, i::BIGINT, 5) AS g FROM (SELECT id, side, t, unnest(range(1, length(t) - 3)) AS i FROM f)), n AS (SELECT id, count(*) AS n FROM g GROUP BY id)"""
+
+_GROUPS = f"""
+    WITH RECURSIVE d AS (SELECT doc_id AS id, translate(text, chr(10), ' ') AS t FROM documents WHERE length(text) >= 25),
+    c AS (SELECT t, min(id) AS id, count(*) AS copies FROM d GROUP BY t), f AS (SELECT id, true AS side, t FROM c), {_GRAMS},
+    e AS (SELECT x.id AS a, y.id AS b, count(*) AS shared FROM g x JOIN g y ON x.g = y.g AND x.id <> y.id GROUP BY ALL),
+    l AS (SELECT a, b FROM e JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE shared >= 0.8::DOUBLE * (x.n + y.n - shared) - 1e-9),
+    r(id, least) AS (SELECT id, id FROM c UNION SELECT l.b, r.least FROM r JOIN l ON l.a = r.id WHERE r.least < l.b)
+    SELECT d.id AS doc_id, c.id AS class_id, m.least AS group_id, copies, coalesce(k.links, 0) AS links FROM d JOIN c ON d.t = c.t JOIN (SELECT id, min(least) AS least FROM r GROUP BY id) m ON m.id = c.id
+    LEFT JOIN (SELECT a, count(*) AS links FROM l GROUP BY a) k ON k.a = c.id
+"""
+
+_REPORT = f"""
+    WITH f AS (SELECT id, side, t FROM ({_READING}) WHERE length(t) >= 25), {_GRAMS},
+    o AS (SELECT y.id AS b, x.id AS a, count(*) AS shared FROM g x JOIN g y ON x.g = y.g AND x.side AND NOT y.side GROUP BY ALL),
+    m AS (SELECT b, max((shared = x.n AND shared = y.n)::INT) AS same FROM o JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE shared >= 0.8::DOUBLE * (x.n + y.n - shared) - 1e-9 GROUP BY b)
+    SELECT split, source, count(*) AS rows, count(m.b) AS overlapping, coalesce(sum(same), 0)::BIGINT AS exact FROM f JOIN manifest w ON w.row_id = f.id LEFT JOIN m ON m.b = f.id WHERE NOT side GROUP BY split, source
+"""
+
+#: Code points that show nothing or only change a letter, as the statistics leave them out.
+_HIDDEN = r"[\p{Cf}\x{300}-\x{36F}]"
+_COUNTS = rf"""
+    SELECT doc_id, length(text)::BIGINT AS n_chars, len(regexp_extract_all(t, '[^\t-\r\x1c-\x20\x{{85}}\pZ]+'))::BIGINT AS n_words,
+        len(list_filter(string_split_regex(t, '[\n\r\x{{2028}}]'), lambda x: regexp_matches(x, '[^\t-\r\x1c-\x20\x{{85}}\pZ]')))::BIGINT AS n_lines
+    FROM (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '{_HIDDEN}', '', 'g') AS t FROM documents)
+"""
+
+
 _KEY = r"regexp_replace(trim(regexp_replace({}, '[ \t\r\x{{A0}}]+', ' ', 'g'), ' '), '[0-9\x{{17E0}}-\x{{17E9}}]+', '0', 'g')"
 _FREQUENT = rf"""
     WITH lines AS (SELECT DISTINCT doc_id, source, {_KEY.format('line')} AS line_key FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL)),
@@ -224,6 +258,9 @@ _SEQUENCES = rf"""
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p1_counts": _COUNTS,
+        "p2_groups": _GROUPS,
+        "p3_report": _REPORT,
         "p4_sequences": _SEQUENCES,
         "p2_found": _alike_sql("SELECT doc_id AS id, true AS side, translate(text, chr(10), ' ') AS t FROM documents", "doc_id_a", "doc_id_b", ""),
         "p3_found": _alike_sql(_READING, "row_id_a", "row_id_b", " AND x.side <> y.side"),

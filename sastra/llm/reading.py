@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from sastra.functions.text import valid
 from sastra.llm import textops
-from sastra.llm.quality import BLANK, DIGIT, LETTER, SCRIPTS, WordMarks, _sum, char_table, folded, role_table
+from sastra.llm.quality import BLANK, DIGIT, LETTER, SCRIPTS, WordMarks, _sum, char_table, folded, role_table, row_starts
 from sastra.plans.stage import stage
 
 MAX_GRADES = 20_000
@@ -59,20 +59,21 @@ def raw_features(flat: np.ndarray, offsets: np.ndarray, grams_share: np.ndarray,
     letters = _sum(letter, a, b).astype(float)
     some = np.maximum(letters, 1)
     inside = kind != BLANK
+    first = row_starts(offsets, n)
     begins = inside.copy()
-    begins[1:] &= ~inside[:-1]
+    begins[1:] &= ~inside[:-1] | first[1:]
     words = np.maximum(_sum(begins, a, b), 1)
     mark = (role & 1 > 0) | (flat == 10)
     stop = mark.copy()
-    stop[1:] &= ~mark[:-1]
+    stop[1:] &= ~mark[:-1] | first[1:]
     sentences = np.maximum(_sum(stop, a, b), 1).astype(float)
-    ends = np.flatnonzero(letter & ~np.concatenate((letter[1:], [False])))[: n or None] if n else np.zeros(0, np.int64)
-    starts = np.flatnonzero(letter & ~np.concatenate(([False], letter[:-1]))) if n else np.zeros(0, np.int64)
+    ends = np.flatnonzero(letter & ~np.concatenate((letter[1:] & ~first[1:], [False]))) if n else np.zeros(0, np.int64)
+    starts = np.flatnonzero(letter & (first | ~np.concatenate(([False], letter[:-1])))) if n else np.zeros(0, np.int64)
     long = np.zeros(n, bool)
     long[starts[(ends - starts + 1) >= 9]] = True
     run = np.zeros(n, bool)
     run[starts] = True
-    marks = known.marks(flat, kind)
+    marks = known.marks(flat, kind, offsets)
     covered = marks & 7 > 0
     weight = np.zeros(len(a))
     for value, (bit, _) in enumerate(RANKS, 1):
@@ -109,7 +110,7 @@ def word_diversity(flat: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> n
     letter = kind == LETTER
     edge = np.ones(len(flat), bool)
     edge[1:] = ~letter[:-1]
-    edge[offsets[:-1][offsets[:-1] < len(flat)]] = True
+    edge |= row_starts(offsets, len(flat))
     start = np.flatnonzero(letter & edge)
     if not len(start):
         return np.zeros(n)

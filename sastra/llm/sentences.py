@@ -39,6 +39,8 @@ from sastra.functions.text import valid
 
 #: A span's length class is the number of doublings; weights of the length's and the words' log-odds.
 CLASSES, LENGTH_WEIGHT = 18, 0.25
+#: Possible ends of a line up to which each start is tried for each end.
+FEW = 12
 #: Cells of the tables of words, and the counts that each log-odds is drawn to nothing by.
 CELLS, PRIOR = 1 << 17, 2.0
 
@@ -316,26 +318,12 @@ def line_ends(line: str, model: Model | None = None) -> list[int]:
         begun.setdefault(at, []).append(j)
     # Ends and starts only grow, so each start passes from one length class to the next, and the starts of a class
     # differ in their best score only: a queue with falling scores keeps the maximum of each class.
-    classes: list[deque[int]] = [deque() for _ in range(CLASSES)]
+    classes: list[deque[int]] = [deque() for _ in range(CLASSES if n > FEW else 0)]
     passed = [0] * (CLASSES + 1)  # how many starts have come to each class
     for k in range(1, n + 1):
         end, score, quote, kind = ends[k - 1] if k < n else (right, 0.0, -1, "")
-        tried = set()
-        for c in range(CLASSES):
-            queue, most = classes[c], k if c == 0 else passed[c - 1]
-            while passed[c] < most and (c == 0 or end - starts[passed[c]] >= 1 << c):
-                while queue and best[queue[-1]] < best[passed[c]]:
-                    queue.pop()
-                queue.append(passed[c])
-                passed[c] += 1
-        for c in range(CLASSES):
-            queue, gone = classes[c], passed[c + 1] if c + 1 < CLASSES else 0
-            while queue and queue[0] < gone:
-                queue.popleft()
-            if queue:
-                tried.add(queue[0])
-        tried.update(j for j in begun.get(quote, ()) if j < k)
-        for j in sorted(tried):
+        tried = range(k) if n <= FEW else _tried(classes, passed, best, starts, begun.get(quote, ()), end, k)
+        for j in tried:
             s = best[j] + score + model.length[length_class(end - starts[j])]
             if k < n and quote >= 0 and quote != starts[j]:
                 s -= 4.0 if kind == "A" else 16.0  # a quotation that opened in mid-sentence
@@ -348,6 +336,25 @@ def line_ends(line: str, model: Model | None = None) -> list[int]:
     return out[::-1]
 
 
+def _tried(classes: list[deque[int]], passed: list[int], best: list[float], starts: list[int], same: tuple | list, end: int, k: int) -> list[int]:
+    """The starts that may be best for an end: one of each length class, and those where its quotation opens."""
+    for c in range(CLASSES):
+        queue, most = classes[c], k if c == 0 else passed[c - 1]
+        while passed[c] < most and (c == 0 or end - starts[passed[c]] >= 1 << c):
+            while queue and best[queue[-1]] < best[passed[c]]:
+                queue.pop()
+            queue.append(passed[c])
+            passed[c] += 1
+    tried = {j for j in same if j < k}
+    for c in range(CLASSES):
+        queue, gone = classes[c], passed[c + 1] if c + 1 < CLASSES else 0
+        while queue and queue[0] < gone:
+            queue.popleft()
+        if queue:
+            tried.add(queue[0])
+    return sorted(tried)
+
+
 def _clean(line: str, end: int) -> str:
     return _nothing().sub("", line[max(0, end - 48) : end])
 

@@ -136,7 +136,8 @@ def test_best_path_equals_all_paths(monkeypatch):
     # the queues by length class against a search of all paths, with scores that lengths and quotations move
     rng = random.Random(5)
     monkeypatch.setattr(sentences, "_score", lambda *a: 0.0)
-    for _ in range(60):
+    for round_ in range(60):
+        monkeypatch.setattr(sentences, "FEW", 12 if round_ % 2 else 0)
         lengths = [-3.0 * rng.random() for _ in range(sentences.CLASSES)]
         model = sentences.Model.neutral()
         model.length = lengths
@@ -153,3 +154,11 @@ def test_best_path_equals_all_paths(monkeypatch):
 
         best = max(total([*c, right]) for n in range(len(marks) + 1) for c in combinations(marks, n))
         assert abs(total(sentences.line_ends(line, model)) - best) < 1e-9
+
+
+def test_words_end_with_their_text(spark):
+    # texts in one batch, whose ends and beginnings would make other words together
+    words = [("the", "en"), ("then", "en"), ("និង", "km")]
+    texts = ["and the", "n so", "x និ", "ង y", "", "the"]
+    got = [(r.n_words, r.n_lines, round(r.common_share * 7, 3) if r.common_share else r.common_share) for r in quality.document_statistics(frame(spark, texts).coalesce(1), words).orderBy("id").collect()]
+    assert got == [(2, 1, 3.5), (2, 1, 0.0), (2, 1, 0.0), (2, 1, 0.0), (0, 0, None), (1, 1, 7.0)]
