@@ -33,6 +33,10 @@ from sastra.llm import classes, gramsketch, textops
 from sastra.plans.stage import stage
 
 MIN_CHARS = 25
+#: Evaluation texts of a term that are listed under one key.
+BLOCK = 1000
+#: In place of a second term where a text has one only; terms are not negative.
+_MISSING = -1
 
 
 def reading_text(answer) -> F.Column:
@@ -68,8 +72,15 @@ def weights_of(level: np.ndarray, texts: int | None) -> np.ndarray:
     return np.log1p(texts / np.maximum(np.exp2(level / 8.0) - 1, 0.5))
 
 
-def postings(texts: DataFrame, table, threshold: float, idf: int | None, seen_only: bool) -> DataFrame:
-    """(term, id, residual, rest, top): the lists of (id, text); see the module's text, 3."""
+_LIST = "term bigint, block int, id bigint, residual float, rest float, top float, first bigint, second bigint"
+
+
+def postings(texts: DataFrame, table, threshold: float, idf: int | None, evaluation: bool, block: int = BLOCK) -> DataFrame:
+    """(term, block, id, residual, rest, top, first, second): the lists of (id, text); see the module's text, 3.
+
+    A term that more than `block` evaluation texts may have is parted: each of these is in a block of its own
+    choice, and the training texts are in all blocks. `first` and `second` are the first two listed terms of the text.
+    """
 
     def run(batches):
         for batch in batches:
@@ -93,23 +104,42 @@ def postings(texts: DataFrame, table, threshold: float, idf: int | None, seen_on
                     some = sizes > 0
                     top[some] = np.maximum.reduceat(w, starts[:-1][some])
                 keep = residual >= threshold - 1e-6
-                if seen_only:
+                if not evaluation:
                     keep &= level > 0
+                at, row = np.flatnonzero(keep), row[keep]
+                begin = np.searchsorted(row, np.arange(b - a))[row]
+                after = np.minimum(begin + 1, max(len(row) - 1, 0))
+                listed = terms[at].view(np.int64)
+                first, second = listed[begin], np.where(row[after] == row, listed[after], _MISSING)
+                blocks = np.maximum(np.ceil((np.exp2(level[at] / 8.0) - 1) / block), 1).astype(np.int64)
+                ids = ids_all[a:b][row]
+                if evaluation:
+                    each, part = np.arange(len(at)), (textops.mix64(ids.astype(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)
+                else:
+                    each = np.repeat(np.arange(len(at)), blocks)
+                    part = np.arange(len(each)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+                floats = (pa.array(x[each].astype(np.float32)) for x in (residual[at], rest[at], top[row]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(terms[keep].view(np.int64)), pa.array(ids_all[a:b][row[keep]]), *(pa.array(x[keep].astype(np.float32)) for x in (residual, rest, top[row]))],
-                    ["term", "id", "residual", "rest", "top"],
+                    [pa.array(listed[each]), pa.array(part, pa.int32()), pa.array(ids[each]), *floats, pa.array(first[each]), pa.array(second[each])],
+                    ["term", "block", "id", "residual", "rest", "top", "first", "second"],
                 )
 
-    return texts.select("id", "text").mapInArrow(run, "term bigint, id bigint, residual float, rest float, top float")
+    return texts.select("id", "text").mapInArrow(run, _LIST)
+
 
+def cosine_candidates(left: DataFrame, right: DataFrame, table, threshold: float, idf: int | None = None, block: int = BLOCK) -> DataFrame:
+    """(a, b): a superset of the pairs of (id, text) rows whose cosine reaches the threshold; `table` counts the right side.
 
-def cosine_candidates(left: DataFrame, right: DataFrame, table, threshold: float, idf: int | None = None) -> DataFrame:
-    """(a, b): a superset of the pairs of (id, text) rows whose cosine reaches the threshold; `table` counts the right side."""
-    x = postings(left, table, threshold, idf, True).toDF("term", "a", "ra", "sa", "ta")
-    y = postings(right, table, threshold, idf, False).toDF("term", "b", "rb", "sb", "tb")
+    A pair is given at the first term that both have, as far as the first two terms of each tell which that is.
+    """
+    x = postings(left, table, threshold, idf, False, block).toDF("term", "block", "a", "ra", "sa", "ta", "fx", "gx")
+    y = postings(right, table, threshold, idf, True, block).toDF("term", "block", "b", "rb", "sb", "tb", "fy", "gy")
+    c = F.col
     slack = F.lit(threshold - 1e-4)
-    met = x.join(y, "term").where((F.col("ra") * F.col("rb") >= slack) & (F.col("sa") * F.col("tb") >= slack) & (F.col("sb") * F.col("ta") >= slack))
-    return met.select("a", "b").distinct()
+    near = (c("ra") * c("rb") >= slack) & (c("sa") * c("tb") >= slack) & (c("sb") * c("ta") >= slack)
+    known = lambda t: (c(t) == c("fy")) | (c(t) == c("gy"))
+    here = F.when(known("fx"), c("term") == c("fx")).otherwise(~known("gx") | (c("gx") == _MISSING) | (c("term") == c("gx")))
+    return x.join(y, ["term", "block"]).where(near & here).select("a", "b").distinct()
 
 
 def exact_scores(pairs: DataFrame, table=None, idf: int | None = None) -> DataFrame:

@@ -169,6 +169,12 @@ def test_overlap_equals_brute_force(spark):
     want = {(min(i, j), max(i, j)) for i, (s, x) in texts.items() for j, (t, y) in texts.items() if s == "train" and t != "train" and jaccard(x, y) >= 0.8}
     found = overlap.SplitOverlap(df)
     assert {tuple(r) for r in found.pairs().collect()} == want
+    # terms parted into blocks of a few evaluation texts
+    sides = [r for r in texts.items() if r[1][0] == "train"], [r for r in texts.items() if r[1][0] != "train"]
+    left, right = (spark.createDataFrame([(i, t) for i, (_, t) in side], "id bigint, text string") for side in sides)
+    table = spark.sparkContext.broadcast(overlap.count_table(right))
+    by = [{tuple(r) for r in overlap.cosine_candidates(left, right, table, 8 / 9, None, block).collect()} for block in (1000, 1)]
+    assert by[0] == by[1] and {(min(p), max(p)) for p in by[0]} >= want
     report = {r.split: r for r in found.report().collect()}
     assert report["val"].rows == sum(s == "val" for s, _ in texts.values())
     assert overlap.SplitOverlap(df.where("split = 'val'")).pairs().count() == 0
