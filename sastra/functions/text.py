@@ -7,7 +7,9 @@ runs of marks.
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -36,14 +38,25 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is evaluated once, however often the body refers to it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def valid(c: str | Column) -> Column:
     """Bytes that are no UTF-8 as replacement characters, so that Python can read the text."""
     return F.make_valid_utf8(_c(c))
 
 
+def _listed(ranges: str) -> str:
+    """The characters of a class of ranges."""
+    spread = re.sub("(.)-(.)", lambda m: "".join(map(chr, range(ord(m[1]), ord(m[2]) + 1))), ranges, flags=re.S)
+    return "".join(dict.fromkeys(spread))
+
+
 def strip(c: str | Column) -> Column:
-    """Without white space at both ends."""
-    return F.regexp_replace(_c(c), f"^[{BLANKS}]+|[{BLANKS}]+$", "")
+    """Without white space at both ends; only these are looked at."""
+    return F.trim(_c(c), F.lit(_listed(BLANKS)))
 
 
 def _number_of(c: str | Column, kind: str) -> Column:
@@ -53,8 +66,8 @@ def _number_of(c: str | Column, kind: str) -> Column:
 
 def script_ratio(c: str | Column, script: str = KHMER) -> Column:
     """Share of the script among letters (its digits, marks and signs count as letters); 0 without any."""
-    letters = _number_of(c, rf"\p{{L}}{script}")
-    return F.when(letters == 0, F.lit(0.0)).otherwise(_number_of(c, script) / letters)
+    counts = F.struct(_number_of(c, rf"\p{{L}}{script}").alias("letters"), _number_of(c, script).alias("own"))
+    return let(counts, lambda n: F.when(n["letters"] == 0, F.lit(0.0)).otherwise(n["own"] / n["letters"]))
 
 
 def contains_script(c: str | Column, script: str = KHMER) -> Column:
@@ -63,9 +76,8 @@ def contains_script(c: str | Column, script: str = KHMER) -> Column:
 
 def symbol_ratio(c: str | Column, script: str = KHMER) -> Column:
     """Share of non-blank characters that are neither letters nor digits nor of the script; 1 without any."""
-    filled = F.length(F.regexp_replace(_c(c), f"[{BLANKS}]++", ""))
-    words = _number_of(c, rf"\p{{L}}\p{{N}}{script}")
-    return F.when(filled == 0, F.lit(1.0)).otherwise((filled - words) / filled)
+    counts = F.struct(F.length(F.regexp_replace(_c(c), f"[{BLANKS}]++", "")).alias("filled"), _number_of(c, rf"\p{{L}}\p{{N}}{script}").alias("words"))
+    return let(counts, lambda n: F.when(n["filled"] == 0, F.lit(1.0)).otherwise((n["filled"] - n["words"]) / n["filled"]))
 
 
 def filled_lines(c: str | Column) -> Column:
@@ -129,9 +141,14 @@ _IN_ORDER = f"(?s)^(?:[^{BASE}]++|[{BASE}]{_CLUSTER}(?![{MARKS}]))*+\\z"
 def reorder_clusters(c: str | Column) -> Column:
     """Each Khmer cluster's marks in storage order: ROBAT, subscripts, shifters, vowels, signs, others.
 
-    A subscript (COENG and the character after it) is one unit; units of one rank keep their order.
+    A subscript (COENG and the character after it) is one unit; units of one rank keep their order. Most texts are
+    in order already, which one pass over them shows.
     """
-    tokens = F.regexp_extract_all(_c(c), F.lit(f"(?s)[{BASE}](?:{COENG}.|[{MARKS}])*+|[^{BASE}]++"), F.lit(0))
+    return let(_c(c), lambda t: F.when(t.rlike(_IN_ORDER), t).otherwise(_reordered(t)))
+
+
+def _reordered(c: Column) -> Column:
+    tokens = F.regexp_extract_all(c, F.lit(f"(?s)[{BASE}](?:{COENG}.|[{MARKS}])*+|[^{BASE}]++"), F.lit(0))
 
     def ranked(token: Column) -> Column:
         units = F.regexp_extract_all(token.substr(F.lit(2), F.length(token)), F.lit(f"(?s){COENG}.|."), F.lit(0))
@@ -144,14 +161,18 @@ def reorder_clusters(c: str | Column) -> Column:
         return F.concat(token.substr(1, 1), F.array_join(F.transform(F.array_sort(order), lambda x: x["u"]), ""))
 
     fixed = F.transform(tokens, lambda t: F.when(t.rlike(f"(?s)^[{BASE}]") & ~t.rlike(f"(?s)^.{_CLUSTER}\\z"), ranked(t)).otherwise(t))
-    # most texts are in order already, which one pass over them shows
-    return F.when(_c(c).rlike(_IN_ORDER), _c(c)).otherwise(F.array_join(fixed, ""))
+    return F.array_join(fixed, "")
 
 
 def even_blanks(c: str | Column) -> Column:
     """Zero-width joiners and spaces out, no-break spaces plain, runs of blanks and of line ends short."""
-    t = F.translate(_c(c), "\u00a0\u200b\u200c\u200d", " ")
-    t = F.regexp_replace(F.regexp_replace(t, "[ \t]+", " "), " *\n *", "\n")
+    # whole-character replacements by bytes: most texts have none of them
+    t = F.replace(_c(c), F.lit("\u00a0"), F.lit(" "))
+    for joiner in "\u200b\u200c\u200d":
+        t = F.replace(t, F.lit(joiner), F.lit(""))
+    t = F.regexp_replace(t, "[ \t]{2,}+|\t", " ")
+    # runs are one blank by now
+    t = F.replace(F.replace(t, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
     return F.regexp_replace(t, "\n{3,}", "\n\n")
 
 
@@ -182,7 +203,7 @@ def char_shingles(c: str | Column, k: int = 5) -> Column:
     One regex pass with look-ahead, which also takes a character so that it never stops inside a surrogate
     pair; substring per position would scan the text for each.
     """
-    t = F.translate(_c(c), "\n", " ")
+    t = F.replace(_c(c), F.lit("\n"), F.lit(" "))
     return F.when(F.length(t) <= k, F.array(t)).otherwise(F.array_distinct(F.regexp_extract_all(t, F.lit(f"(?s)(?=(.{{{k}}}))."), F.lit(1))))
 
 

@@ -59,7 +59,7 @@ def assign_shards(docs: DataFrame, order: str = "doc_id", size: int = 50_000, pr
 
 def text_lines(docs: DataFrame) -> DataFrame:
     """(value): each text as one line."""
-    return docs.where("text is not null").select(F.translate("text", "\n", " ").alias("value"))
+    return docs.where("text is not null").select(F.replace("text", F.lit("\n"), F.lit(" ")).alias("value"))
 
 
 def dataset_card(docs: DataFrame, title: str = "Text corpus") -> str:
