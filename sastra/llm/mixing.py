@@ -161,13 +161,13 @@ def bounded_patterns(records: DataFrame, most: int = PATTERNS) -> DataFrame:
     supply = records.groupBy("source").agg(F.sum("n_tokens").alias("__supply"))
     scarcest = records.join(supply, "source").groupBy("cls").agg(F.min_by("source", F.struct("__supply", "source")).alias("__scarcest"))
     joined = records.join(kept, "pattern", "left").join(scarcest, "cls")
-    return joined.withColumn("pattern", F.when(F.col("__kept"), F.col("pattern")).otherwise(F.col("__scarcest"))).drop("__kept", "__scarcest")
+    return stage(joined.withColumn("pattern", F.when(F.col("__kept"), F.col("pattern")).otherwise(F.col("__scarcest"))).drop("__kept", "__scarcest"), "bounded")
 
 
 def mixture(docs: DataFrame, targets: DataFrame, total: int | None = None, seed: int = 17, file: str | None = None, strict: bool = True) -> DataFrame:
     """(doc_id, source, repeats, n_tokens): the chosen records, how often each is used for its source."""
     spark = docs.sparkSession
-    records = stage(bounded_patterns(stage(counted_records(docs, targets, file), "records")), "bounded")
+    records = bounded_patterns(stage(counted_records(docs, targets, file), "records"))
     texts = records.groupBy("cls", "pattern").agg(F.min("n_tokens").alias("n_tokens"))
     sums = texts.groupBy("pattern").agg(F.sum("n_tokens").alias("tokens"))
     # PATTERNS rows and one per target at most
